@@ -121,12 +121,28 @@ _HISTORY_SQL = """trips AS (
 _VIEW_SQL = {"events": _EVENTS_SQL, "lineitem": _LINEITEM_SQL, "history": _HISTORY_SQL}
 
 
-def _trips(view: str) -> Builder:
+TripBuilder = Callable[..., DataFrame]
+
+
+def _trips(view: str) -> TripBuilder:
+    """(spark, sf_dir, *fields) -> trips.  Only the lineitem view uses
+    ``fields``: it then joins just the tables those fields come from."""
     if view == "events":
-        return events_trips
-    if view == "history":
-        return events_history_trips
-    return lineitem_trips
+        return lambda spark, sf_dir, *fields: events_trips(spark, sf_dir)
+    return lambda spark, sf_dir, *fields: lineitem_trips(spark, sf_dir, fields)
+
+
+# trip fields, for the lineitem view's join choice
+TIME, PU, DO, DIST, PAX, AMT, RATE, PAY = (
+    "tpep_pickup_datetime",
+    "PULocationID",
+    "DOLocationID",
+    "trip_distance",
+    "passenger_count",
+    "total_amount",
+    "RatecodeID",
+    "payment_type",
+)
 
 
 def _with(view: str, body: str, ctes: tuple[str, ...] = ()) -> str:
@@ -160,7 +176,7 @@ def _registry() -> list[RegisteredQuery]:
             label = "pickups" if role == "pickup" else "dropoffs"
             add(
                 f"{label}_by_zone_{view}",
-                lambda s, d, t=trips, r=role: pickups_by_zone(t(s, d), zones_view(s, d), role=r),
+                lambda s, d, t=trips, r=role, k=key: pickups_by_zone(t(s, d, k), zones_view(s, d), role=r),
                 _with(
                     view,
                     f"""SELECT c.{key}, c.totalTrips, z.Borough, z.Zone
@@ -170,7 +186,7 @@ JOIN zones z ON c.{key} = z.LocationID""",
             )
         add(
             f"pickups_by_borough_{view}",
-            lambda s, d, t=trips: pickups_by_borough(pickups_by_zone(t(s, d), zones_view(s, d))),
+            lambda s, d, t=trips: pickups_by_borough(pickups_by_zone(t(s, d, PU), zones_view(s, d), sort=False)),
             _with(
                 view,
                 """SELECT z.Borough, CAST(COUNT(*) AS BIGINT) AS totalTrips
@@ -179,7 +195,7 @@ FROM trips t JOIN zones z ON t.PULocationID = z.LocationID GROUP BY z.Borough"""
         )
         add(
             f"pickups_by_hour_{view}",
-            lambda s, d, t=trips: pickups_by_hour(t(s, d)),
+            lambda s, d, t=trips: pickups_by_hour(t(s, d, TIME)),
             _with(
                 view,
                 """SELECT CAST(hour(tpep_pickup_datetime) AS INTEGER) AS hour, COUNT(*) AS totalTrips
@@ -188,12 +204,12 @@ FROM trips GROUP BY 1""",
         )
         add(
             f"total_trip_count_{view}",
-            lambda s, d, t=trips: total_trip_count(t(s, d)),
+            lambda s, d, t=trips: total_trip_count(t(s, d, TIME)),
             _with(view, "SELECT COUNT(*) AS total_trips FROM trips"),
         )
         add(
             f"distance_stats_{view}",
-            lambda s, d, t=trips: distance_stats(t(s, d)),
+            lambda s, d, t=trips: distance_stats(t(s, d, DIST)),
             _with(
                 view,
                 f"""SELECT COUNT(*) AS count, {DEFAULT_LONG_THRESHOLD} AS threshold,
@@ -204,12 +220,12 @@ FROM trips""",
         )
         add(
             f"trips_by_length_{view}",
-            lambda s, d, t=trips: trips_by_length(t(s, d)),
+            lambda s, d, t=trips: trips_by_length(t(s, d, DIST)),
             _with(view, f"SELECT {LONG} AS isLong, COUNT(*) AS count FROM trips GROUP BY 1"),
         )
         add(
             f"pickups_by_hour_and_length_{view}",
-            lambda s, d, t=trips: pickups_by_hour_and_length(t(s, d)),
+            lambda s, d, t=trips: pickups_by_hour_and_length(t(s, d, TIME, DIST)),
             _with(
                 view,
                 f"""SELECT CAST(hour(tpep_pickup_datetime) AS INTEGER) AS hour, {LONG} AS isLong,
@@ -220,7 +236,7 @@ FROM trips GROUP BY 1, 2""",
         for cls, pred, where in (("short", short_trips, f"NOT ({LONG})"), ("long", long_trips, LONG)):
             add(
                 f"zone_pair_popularity_{cls}_{view}",
-                lambda s, d, t=trips, p=pred: zone_pair_popularity(t(s, d), zones_view(s, d), p()),
+                lambda s, d, t=trips, p=pred: zone_pair_popularity(t(s, d, PU, DO, DIST), zones_view(s, d), p()),
                 _with(
                     view,
                     f"""SELECT c.totalTrips, zp.Zone AS Pickup_Zone, zd.Zone AS Dropoff_Zone
@@ -233,7 +249,7 @@ JOIN zones zd ON c.DOLocationID = zd.LocationID""",
         for role, key in (("pickup", "PULocationID"), ("dropoff", "DOLocationID")):
             add(
                 f"top3_{role}_zones_by_length_{view}",
-                lambda s, d, t=trips, r=role: top_zones_by_length(t(s, d), zones_view(s, d), role=r, k=3),
+                lambda s, d, t=trips, r=role, k=key: top_zones_by_length(t(s, d, k, DIST), zones_view(s, d), role=r, k=3),
                 _with(
                     view,
                     f"""SELECT isLong, rank, {key}, totalTrips, Borough, Zone FROM (
@@ -247,12 +263,12 @@ WHERE rank <= 3""",
             )
         add(
             f"rate_code_distribution_{view}",
-            lambda s, d, t=trips: rate_code_distribution(t(s, d)),
+            lambda s, d, t=trips: rate_code_distribution(t(s, d, RATE)),
             _with(view, "SELECT RatecodeID AS RateCodeID, COUNT(*) AS totalTrips FROM trips GROUP BY 1"),
         )
         add(
             f"rate_code_evolution_{view}",
-            lambda s, d, t=trips: rate_code_evolution(t(s, d)),
+            lambda s, d, t=trips: rate_code_evolution(t(s, d, TIME, RATE)),
             _with(
                 view,
                 """SELECT CAST(tpep_pickup_datetime AS DATE) AS pickup_day, RatecodeID AS RateCodeID,
@@ -262,7 +278,7 @@ FROM trips GROUP BY 1, 2""",
         )
         add(
             f"groupable_trip_count_{view}",
-            lambda s, d, t=trips: groupable_trip_count(t(s, d)),
+            lambda s, d, t=trips: groupable_trip_count(t(s, d, PAX)),
             _with(view, "SELECT COUNT(*) AS groupable_trips FROM trips WHERE passenger_count < 3"),
         )
         nearest_body = f"""SELECT g.PULocationID, g.total_trips, round(g.total_amount, {DIGITS}) AS total_amount,
@@ -273,17 +289,19 @@ FROM (SELECT {NEAREST} AS b, PULocationID, COUNT(*) AS total_trips,
 JOIN zones z ON g.PULocationID = z.LocationID"""
         add(
             f"rideshare_groups_nearest_{view}",
-            lambda s, d, t=trips: rideshare_groups_nearest(t(s, d), zones_view(s, d)),
+            lambda s, d, t=trips: rideshare_groups_nearest(t(s, d, TIME, PU, AMT, PAX), zones_view(s, d)),
             _with(view, nearest_body.format(extra="")),
         )
         add(
             f"rideshare_short_trips_{view}",
-            lambda s, d, t=trips: rideshare_groups_nearest(t(s, d), zones_view(s, d), predicate=short_trips()),
+            lambda s, d, t=trips: rideshare_groups_nearest(
+                t(s, d, TIME, PU, AMT, PAX, DIST), zones_view(s, d), predicate=short_trips()
+            ),
             _with(view, nearest_body.format(extra=f" AND NOT ({LONG})")),
         )
         add(
             f"rideshare_groups_window_{view}",
-            lambda s, d, t=trips: rideshare_groups_window(t(s, d), zones_view(s, d)),
+            lambda s, d, t=trips: rideshare_groups_window(t(s, d, TIME, PU, AMT, PAX), zones_view(s, d)),
             _with(
                 view,
                 f"""SELECT g.PULocationID, g.total_trips, round(g.total_amount, {DIGITS}) AS total_amount,
@@ -296,7 +314,7 @@ JOIN zones z ON g.PULocationID = z.LocationID""",
         )
         add(
             f"average_trip_amount_{view}",
-            lambda s, d, t=trips: average_trip_amount(t(s, d)),
+            lambda s, d, t=trips: average_trip_amount(t(s, d, AMT)),
             _with(view, f"SELECT round(avg(total_amount), {DIGITS}) AS avg_total_amount FROM trips"),
         )
         impact_cols = f"""total_trips * CAST(0.05 AS DOUBLE) AS groupedRides,
@@ -312,7 +330,7 @@ JOIN zones z ON g.PULocationID = z.LocationID""",
         add(
             f"rideshare_impact_{view}",
             lambda s, d, t=trips: rideshare_impact(
-                rideshare_groups_nearest(t(s, d), zones_view(s, d)), t(s, d)
+                rideshare_groups_nearest(t(s, d, TIME, PU, AMT, PAX), zones_view(s, d)), t(s, d, AMT)
             ),
             _with(
                 view,
@@ -328,7 +346,10 @@ FROM impact""",
         add(
             f"rideshare_impact_total_{view}",
             lambda s, d, t=trips: rideshare_impact_total(
-                rideshare_impact(rideshare_groups_nearest(t(s, d), zones_view(s, d)), t(s, d))
+                rideshare_impact(
+                    rideshare_groups_nearest(t(s, d, TIME, PU, AMT, PAX), zones_view(s, d), sort=False),
+                    t(s, d, AMT),
+                )
             ),
             _with(
                 view,
@@ -344,7 +365,7 @@ FROM impact""",
       FROM trips WHERE tpep_pickup_datetime IS NOT NULL GROUP BY 1, 2)"""
             add(
                 f"peak_demand_{tag}_{view}",
-                lambda s, d, t=trips, du=duration: peak_demand(t(s, d), zones_view(s, d), du),
+                lambda s, d, t=trips, du=duration: peak_demand(t(s, d, TIME, PU), zones_view(s, d), du),
                 _with(
                     view,
                     f"""SELECT c.ws AS "peak-range-start", c.ws + {_interval(duration)} AS "peak-range-end",
@@ -357,7 +378,7 @@ JOIN zones z ON c.PULocationID = z.LocationID""",
                 continue
             add(
                 f"peak_share_{tag}_{view}",
-                lambda s, d, t=trips, du=duration: peak_share(t(s, d), zones_view(s, d), du),
+                lambda s, d, t=trips, du=duration: peak_share(t(s, d, TIME, PU), zones_view(s, d), du),
                 _with(
                     view,
                     f"""SELECT c.ws AS "peak-range-start", c.ws + {_interval(duration)} AS "peak-range-end",
@@ -369,7 +390,7 @@ JOIN zones z ON c.PULocationID = z.LocationID""",
             )
             add(
                 f"peak_per_zone_{tag}_{view}",
-                lambda s, d, t=trips, du=duration: peak_per_zone(t(s, d), zones_view(s, d), du),
+                lambda s, d, t=trips, du=duration: peak_per_zone(t(s, d, TIME, PU), zones_view(s, d), du),
                 _with(
                     view,
                     f"""SELECT r.PULocationID, r.ws AS "peak-range-start", r.ws + {_interval(duration)} AS "peak-range-end",
@@ -384,7 +405,7 @@ WHERE r.rn = 1""",
     # payment type exists on the lineitem view only
     add(
         "payment_by_length_lineitem",
-        lambda s, d: payment_by_length(lineitem_trips(s, d)),
+        lambda s, d: payment_by_length(lineitem_trips(s, d, (PAY, DIST))),
         _with(
             "lineitem",
             f"SELECT payment_type, {LONG} AS isLong, COUNT(*) AS totalTrips FROM trips GROUP BY 1, 2",
@@ -392,7 +413,7 @@ WHERE r.rn = 1""",
     )
     add(
         "payment_evolution_lineitem",
-        lambda s, d: payment_evolution(lineitem_trips(s, d)),
+        lambda s, d: payment_evolution(lineitem_trips(s, d, (TIME, PAY))),
         _with(
             "lineitem",
             """SELECT CAST(tpep_pickup_datetime AS DATE) AS pickup_day, payment_type, COUNT(*) AS totalTrips
@@ -414,8 +435,8 @@ FROM trips GROUP BY 1, 2""",
          * (CAST(0.6 AS DOUBLE) * (SELECT avg(total_amount) FROM trips) - 5) AS accepted,
        total_trips * CAST(0.05 AS DOUBLE) * (1 - CAST(0.3 AS DOUBLE)) * 2 AS rejected"""
 
-    def scaled(s: SparkSession, d: str) -> DataFrame:
-        return rideshare_groups_scaled(events_history_trips(s, d), zones_view(s, d), HISTORY_TRIPS)
+    def scaled(s: SparkSession, d: str, sort: bool = True) -> DataFrame:
+        return rideshare_groups_scaled(events_history_trips(s, d), zones_view(s, d), HISTORY_TRIPS, sort=sort)
 
     add(
         "rideshare_groups_scaled_events",
@@ -446,7 +467,7 @@ FROM impact""",
     add(
         "rideshare_impact_scaled_total_events",
         lambda s, d: rideshare_impact_total(
-            rideshare_impact(scaled(s, d), events_history_trips(s, d), cols=HISTORY_TRIPS)
+            rideshare_impact(scaled(s, d, sort=False), events_history_trips(s, d), cols=HISTORY_TRIPS)
         ),
         _with(
             "history",
