@@ -39,8 +39,7 @@ def nearest_bucket(ts: Column | str, seconds: int = 300) -> Column:
 
 def bucket_label(bucket: Column | str, seconds: int = 300) -> Column:
     """Wall-clock text ``yyyy-MM-dd HH:mm:ss`` of ``bucket * seconds``."""
-    epoch = F.lit("1970-01-01 00:00:00").cast(T.TimestampNTZType())
-    start = F.timestamp_add("SECOND", _col(bucket) * F.lit(seconds), epoch)
+    start = F.timestamp_add("SECOND", _col(bucket) * F.lit(seconds), _epoch_ntz())
     return F.date_format(start, LABEL_FORMAT)
 
 
@@ -58,3 +57,22 @@ def tumbling_window(ts: Column | str, duration: str) -> Column:
     Spark turns this into one arithmetic projection (no row expansion).
     """
     return F.window(_col(ts), duration)
+
+
+def _epoch_ntz() -> Column:
+    return F.lit("1970-01-01 00:00:00").cast(T.TimestampNTZType())
+
+
+def wall_clock_to_instant(ts: Column | str) -> Column:
+    """The zoned ``timestamp`` whose UTC reading is the wall clock ``ts``.
+
+    Pure micro-second arithmetic, so the session zone plays no part.
+    Streaming watermarks need a zoned timestamp; this is how a wall-clock
+    pickup time gets one without moving windows.
+    """
+    return F.timestamp_micros(F.timestamp_diff("MICROSECOND", _epoch_ntz(), _col(ts)))
+
+
+def instant_to_wall_clock(ts: Column | str) -> Column:
+    """Inverse of ``wall_clock_to_instant``: back to ``timestamp_ntz``."""
+    return F.timestamp_add("MICROSECOND", F.unix_micros(_col(ts)), _epoch_ntz())
