@@ -1,0 +1,72 @@
+"""The physical plans we want at scale, checked on the sf0.001 tables."""
+
+import pytest
+
+from mobility.operators import peak_share, pickups_by_zone, rideshare_groups_nearest, top_zones_by_length
+from mobility.operators.dimension import bounded_broadcast, is_bounded
+from mobility.plans.registry import BY_NAME
+from mobility.sources.views import events_trips, lineitem_trips, zones_view
+from tests.plan_text import plan_text
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def trips(spark):
+    return events_trips(spark, SF)
+
+
+@pytest.fixture(scope="module")
+def zone_view(spark):
+    return zones_view(spark, SF)
+
+
+def test_zones_broadcast_on_build_right(trips, zone_view):
+    plan = plan_text(pickups_by_zone(trips, zone_view), "simple")
+    assert "BroadcastHashJoin" in plan and "BuildRight" in plan
+    assert "SortMergeJoin" not in plan
+
+
+def test_aggregate_before_join_and_partial(trips, zone_view):
+    plan = plan_text(rideshare_groups_nearest(trips, zone_view), "simple")
+    assert plan.index("BroadcastHashJoin") < plan.index("partial_count")
+    assert "partial_sum" in plan
+
+
+def test_pruned_scan_and_pushed_filter(trips, zone_view):
+    plan = plan_text(rideshare_groups_nearest(trips, zone_view), "formatted")
+    assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,user_id:bigint,value:double>" in plan
+    assert "PushedFilters: [IsNotNull(event_id)]" in plan
+
+
+def test_share_uses_scalar_subquery_not_global_window(trips, zone_view):
+    plan = plan_text(peak_share(trips, zone_view), "formatted")
+    assert "Subquery" in plan
+    assert "Window" not in plan.replace("WindowGroupLimit", "")
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_top_k_limits_before_shuffle(trips, zone_view):
+    plan = plan_text(top_zones_by_length(trips, zone_view), "simple")
+    assert "WindowGroupLimit" in plan and "Partial" in plan
+
+
+def test_impact_total_has_no_sort(spark):
+    plan = plan_text(BY_NAME["rideshare_impact_total_events"].build(spark, SF), "simple")
+    assert "rangepartitioning" not in plan
+    assert "Subquery" in plan
+
+
+def test_lineitem_view_joins_only_what_is_needed(spark):
+    only_pickup = plan_text(lineitem_trips(spark, SF, ("PULocationID",)), "simple")
+    assert "supplier" in only_pickup and "orders" not in only_pickup and "customer" not in only_pickup
+    volume = plan_text(lineitem_trips(spark, SF, ("total_amount",)), "simple")
+    assert "Join" not in volume
+
+
+def test_broadcast_only_when_bounded(spark):
+    small = spark.range(10)
+    assert is_bounded(small, max_rows=10)
+    big = spark.range(11)
+    assert not is_bounded(big, max_rows=10)
+    assert "broadcast" not in plan_text(bounded_broadcast(big, max_rows=10), "extended").lower().split("== physical plan ==")[0]
