@@ -11,7 +11,6 @@ one row per group, not one per trip.
 
 from __future__ import annotations
 
-import weakref
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -21,20 +20,27 @@ from pyspark.sql import functions as F
 # executor, well under spark.sql.autoBroadcastJoinThreshold's 8 GB hard cap.
 DIMENSION_BROADCAST_MAX_ROWS = 100_000
 
-_checked: "weakref.WeakKeyDictionary[DataFrame, bool]" = weakref.WeakKeyDictionary()
+# (semantic hash, max_rows) -> [(plan, bounded)]; plans are compared with
+# sameSemantics, so a dimension read again by a later query is not recounted.
+_checked: dict[tuple[int, int], list[tuple[DataFrame, bool]]] = {}
 
 
 def is_bounded(df: DataFrame, max_rows: int = DIMENSION_BROADCAST_MAX_ROWS) -> bool:
     """True when ``df`` has at most ``max_rows`` rows.
 
-    Counts at most ``max_rows + 1`` rows (one small job); the answer is
-    remembered per DataFrame object so repeated joins pay it once.
+    Counts at most ``max_rows + 1`` rows (one small job).  The answer is
+    remembered for the session per logical plan (``semanticHash`` /
+    ``sameSemantics``), so every query joining the same zone table pays it
+    once.  The files of a dimension are assumed not to grow past the bound
+    while a session runs.
     """
-    hit = _checked.get(df)
-    if hit is None:
-        hit = df.limit(max_rows + 1).count() <= max_rows
-        _checked[df] = hit
-    return hit
+    key = (df.semanticHash(), max_rows)
+    for seen, bounded in _checked.get(key, ()):
+        if seen.sameSemantics(df):
+            return bounded
+    bounded = df.limit(max_rows + 1).count() <= max_rows
+    _checked.setdefault(key, []).append((df, bounded))
+    return bounded
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = DIMENSION_BROADCAST_MAX_ROWS) -> DataFrame:
