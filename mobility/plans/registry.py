@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from mobility.functions.length import DEFAULT_LONG_THRESHOLD
+from mobility.functions.length import DEFAULT_LONG_THRESHOLD, with_length_flag
 from mobility.operators import (
     average_trip_amount,
     distance_stats,
@@ -44,7 +44,8 @@ from mobility.operators import (
     zone_pair_popularity,
 )
 from mobility.operators.rideshare import GROUPABLE_TRIPS_DAY, ALL_TRIPS_DAY
-from mobility.schema import HISTORY_TRIPS
+from mobility.schema import DAY_TRIPS, HISTORY_TRIPS
+from mobility.sources.files import read_trips
 from mobility.sources.views import (
     events_history_trips,
     events_trips,
@@ -402,6 +403,24 @@ WHERE r.rn = 1""",
                 ),
             )
 
+    # O05: every trip with its length flag
+    add(
+        "with_length_flag_events",
+        lambda s, d: with_length_flag(events_trips(s, d)),
+        _with(
+            "events",
+            f"""SELECT tpep_pickup_datetime, PULocationID, DOLocationID, round(trip_distance, {DIGITS}) AS trip_distance,
+       passenger_count, round(total_amount, {DIGITS}) AS total_amount, RatecodeID, {LONG} AS isLong
+FROM trips""",
+        ),
+    )
+    # O24: the trip source on a whole table, pickup time made wall clock
+    add(
+        "read_trips_events",
+        lambda s, d: read_trips(s, f"{d}/events.parquet", DAY_TRIPS.with_(pickup_time="ts")),
+        f"SELECT event_id, ts, user_id, event_type, round(value, {DIGITS}) AS value, props FROM events",
+    )
+
     # payment type exists on the lineitem view only
     add(
         "payment_by_length_lineitem",
