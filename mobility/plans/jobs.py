@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from mobility.operators.impact import DEFAULT_PARAMS, ImpactParams, rideshare_impact, rideshare_impact_total
 from mobility.operators.rideshare import GROUPABLE_SHARE, rideshare_groups_nearest, rideshare_groups_scaled
 from mobility.schema import DAY_TRIPS, HISTORY_TRIPS, TripColumns
+from mobility.session import apply_scale_conf
 from mobility.sources.files import read_trips, read_zones
 from mobility.sources.sinks import write_result_csv
 
@@ -102,7 +103,7 @@ def main(argv: list[str] | None = None) -> int:
         solo_extra_cost=args.solo_extra_cost,
         cost_reduction_share=args.cost_reduction_share,
     )
-    spark = SparkSession.builder.appName("mobility-impact").getOrCreate()
+    spark = apply_scale_conf(SparkSession.builder.appName("mobility-impact").getOrCreate())
     if args.layout == "day":
         day_impact_job(spark, args.trips, args.zones, args.out, params)
     else:

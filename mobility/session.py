@@ -19,15 +19,33 @@ SCALE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Session zone only affects zoned timestamps at the source; every trip
-    # operator works on wall-clock (timestamp_ntz) values.
-    "spark.sql.session.timeZone": "UTC",
 }
+# The session zone is left alone: it decides the wall clock a zoned pickup
+# time is read as at the source (e.g. America/New_York for NYC trips); every
+# operator after that works on wall-clock (timestamp_ntz) values.
 
 
-def apply_scale_conf(spark: SparkSession) -> SparkSession:
+# Target size of one shuffle partition before AQE coalescing.
+SHUFFLE_PARTITION_BYTES = 256 * 1024 * 1024
+
+
+def shuffle_partitions_for(input_bytes: int, partition_bytes: int = SHUFFLE_PARTITION_BYTES) -> int:
+    """Initial shuffle partition count for a job reading ``input_bytes``.
+
+    One partition per ``partition_bytes`` of input (at least 200); AQE then
+    merges the ones that turn out small after partial aggregation, so the
+    count is an upper bound that keeps each reducer's share in memory.
+    """
+    return max(200, -(-input_bytes // partition_bytes))
+
+
+def apply_scale_conf(spark: SparkSession, input_bytes: int | None = None) -> SparkSession:
+    """Set ``SCALE_CONF`` and, given the input size, the shuffle partitions."""
     for key, value in SCALE_CONF.items():
         spark.conf.set(key, value)
+    if input_bytes is not None:
+        spark.conf.set("spark.sql.shuffle.partitions", str(shuffle_partitions_for(input_bytes)))
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(SHUFFLE_PARTITION_BYTES // 2))
     return spark
 
 
@@ -55,6 +73,7 @@ def local_session(app: str = "mobility", cores: int | str = "*", shuffle_partiti
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", os.environ.get("MOBILITY_DRIVER_MEMORY", "8g"))
+        .config("spark.sql.session.timeZone", "UTC")
     )
     for key, value in SCALE_CONF.items():
         builder = builder.config(key, value)

@@ -1,0 +1,20 @@
+from mobility.session import apply_scale_conf, checkpoint_dir, shuffle_partitions_for
+
+
+def test_shuffle_partitions_scale_with_input():
+    assert shuffle_partitions_for(1024) == 200
+    assert shuffle_partitions_for(100 * 1024**4) == 409600  # 100 TB / 256 MB
+
+
+def test_checkpoint_dir_is_read_from_session(spark):
+    assert checkpoint_dir(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_apply_scale_conf(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        apply_scale_conf(spark, input_bytes=10 * 1024**3)
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "200"
+        assert spark.conf.get("spark.sql.adaptive.skewJoin.enabled") == "true"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
