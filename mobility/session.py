@@ -52,12 +52,15 @@ def apply_scale_conf(spark: SparkSession, input_bytes: int | None = None) -> Spa
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    Set only when the session has none (tests, local runs): then a fresh
-    temporary folder is used.  On a cluster the setting must point to
-    shared storage and is left as it is.
+    The setting is read from the session and left as it is.  Only a local
+    session (tests, local runs) without one gets a fresh temporary folder;
+    on a cluster a machine-local folder would be lost with its machine, so a
+    missing setting is an error there.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder on shared storage")
         current = tempfile.mkdtemp(prefix="mobility-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
         spark.sparkContext.setCheckpointDir(current)
