@@ -24,10 +24,6 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-from mobility.functions.time import to_wall_clock
 
 # Fixed values of the views.
 EVENT_ZONE_MODULUS = 30
@@ -77,37 +73,53 @@ def zones_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """LocationID int, Borough, Zone, service_zone from nation and region."""
     nation = table(spark, sf_dir, "nation")
     region = table(spark, sf_dir, "region")
-    return nation.join(region, nation["n_regionkey"] == region["r_regionkey"], "inner").select(
-        F.col("n_nationkey").cast(T.IntegerType()).alias("LocationID"),
-        F.col("r_name").alias("Borough"),
-        F.col("n_name").alias("Zone"),
-        F.lit(SERVICE_ZONE).alias("service_zone"),
+    return nation.join(region, nation["n_regionkey"] == region["r_regionkey"], "inner").selectExpr(
+        "CAST(n_nationkey AS INT) AS LocationID",
+        "r_name AS Borough",
+        "n_name AS Zone",
+        f"'{SERVICE_ZONE}' AS service_zone",
     )
 
 
+# The views as SQL expressions (one call per projection when a plan is built);
+# they read like the DuckDB forms in ``mobility.plans.registry``.
+_EVENT_TRIP_EXPRS = (
+    "CAST(ts AS TIMESTAMP_NTZ) AS tpep_pickup_datetime",
+    f"CAST(user_id % {EVENT_ZONE_MODULUS} AS INT) AS PULocationID",
+    f"CAST(event_id % {EVENT_ZONE_MODULUS} AS INT) AS DOLocationID",
+    "CAST(get_json_object(props, '$.k') AS DOUBLE) AS trip_distance",
+    f"CAST(event_id % {EVENT_PASSENGER_MODULUS} + 1 AS INT) AS passenger_count",
+    "value AS total_amount",
+    "event_type AS RatecodeID",
+)
+
+_EVENT_HISTORY_EXPRS = (
+    "CAST(ts AS TIMESTAMP_NTZ) AS pickup_datetime",
+    f"CAST(user_id % {EVENT_ZONE_MODULUS} AS INT) AS pickup_taxizone_id",
+    "value AS total_amount",
+)
+
+_LINEITEM_EXPRS = {
+    "tpep_pickup_datetime": "CAST(l_shipdate AS TIMESTAMP_NTZ) AS tpep_pickup_datetime",
+    "PULocationID": "CAST(s_nationkey AS INT) AS PULocationID",
+    "DOLocationID": "CAST(c_nationkey AS INT) AS DOLocationID",
+    "trip_distance": "CAST(l_quantity AS DOUBLE) AS trip_distance",
+    "passenger_count": "CAST(l_linenumber AS INT) AS passenger_count",
+    "total_amount": "CAST(l_extendedprice AS DOUBLE) AS total_amount",
+    "RatecodeID": "l_returnflag AS RatecodeID",
+    "payment_type": "o_orderpriority AS payment_type",
+}
+
+
 def events_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Day-layout trips from ``events`` (no joins; a plain projection)."""
-    ev = table(spark, sf_dir, "events")
-    return ev.select(
-        to_wall_clock("ts").alias("tpep_pickup_datetime"),
-        (F.col("user_id") % EVENT_ZONE_MODULUS).cast(T.IntegerType()).alias("PULocationID"),
-        (F.col("event_id") % EVENT_ZONE_MODULUS).cast(T.IntegerType()).alias("DOLocationID"),
-        F.get_json_object("props", "$.k").cast(T.DoubleType()).alias("trip_distance"),
-        (F.col("event_id") % EVENT_PASSENGER_MODULUS + 1).cast(T.IntegerType()).alias("passenger_count"),
-        F.col("value").alias("total_amount"),
-        F.col("event_type").alias("RatecodeID"),
-    )
+    return table(spark, sf_dir, "events").selectExpr(*_EVENT_TRIP_EXPRS)
 
 
 def events_history_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Multi-year-layout trips from ``events``: pickup_datetime,
     pickup_taxizone_id, total_amount."""
-    ev = table(spark, sf_dir, "events")
-    return ev.select(
-        to_wall_clock("ts").alias("pickup_datetime"),
-        (F.col("user_id") % EVENT_ZONE_MODULUS).cast(T.IntegerType()).alias("pickup_taxizone_id"),
-        F.col("value").alias("total_amount"),
-    )
+    return table(spark, sf_dir, "events").selectExpr(*_EVENT_HISTORY_EXPRS)
 
 
 def lineitem_trips(
@@ -125,8 +137,7 @@ def lineitem_trips(
     unknown = set(fields) - set(LINEITEM_FIELDS)
     if unknown:
         raise ValueError(f"unknown trip fields {sorted(unknown)}")
-    li = table(spark, sf_dir, "lineitem")
-    out = li
+    out = table(spark, sf_dir, "lineitem")
     if "PULocationID" in fields:
         supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
         out = out.join(supplier, out["l_suppkey"] == supplier["s_suppkey"], "left")
@@ -136,14 +147,4 @@ def lineitem_trips(
             customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
             orders = orders.join(customer, orders["o_custkey"] == customer["c_custkey"], "left")
         out = out.join(orders, out["l_orderkey"] == orders["o_orderkey"], "left")
-    exprs = {
-        "tpep_pickup_datetime": to_wall_clock("l_shipdate"),
-        "PULocationID": F.col("s_nationkey").cast(T.IntegerType()),
-        "DOLocationID": F.col("c_nationkey").cast(T.IntegerType()),
-        "trip_distance": F.col("l_quantity").cast(T.DoubleType()),
-        "passenger_count": F.col("l_linenumber").cast(T.IntegerType()),
-        "total_amount": F.col("l_extendedprice").cast(T.DoubleType()),
-        "RatecodeID": F.col("l_returnflag"),
-        "payment_type": F.col("o_orderpriority"),
-    }
-    return out.select(*[exprs[f].alias(f) for f in fields])
+    return out.selectExpr(*[_LINEITEM_EXPRS[f] for f in fields])
