@@ -1,5 +1,3 @@
-from pyspark.sql import functions as F
-
 from mobility.functions import with_length_flag
 from mobility.operators import (
     distance_stats,
@@ -73,4 +71,3 @@ def test_top_dropoff_zones(spark, zones):
     rows = [trip(do=161), trip(do=161), trip(do=237)]
     out = top_zones_by_length(make_trips(spark, rows), zones, role="dropoff", k=1).collect()
     assert [(r.DOLocationID, r.totalTrips) for r in out] == [(161, 2)]
-    assert F is not None

@@ -87,3 +87,21 @@ def test_instant_round_trip_ignores_zone(spark, session_zone):
         ).first()
         assert r.back == dt.datetime(2018, 1, 25, 18, 30, 0, 123456)
         assert r.ws == dt.datetime(2018, 1, 25, 18, 0)
+
+
+def test_operators_ignore_session_zone(spark, zones, session_zone):
+    from mobility.operators import peak_demand, pickups_by_hour, rate_code_evolution, rideshare_groups_nearest
+
+    df = make_trips(spark, [trip(s, pu=z) for s in range(0, 86400 * 2, 3037) for z in (237, 161)])
+    seen = []
+    for tz in ZONES:
+        session_zone(tz)
+        seen.append(
+            (
+                sorted(tuple(r) for r in rideshare_groups_nearest(df, zones).collect()),
+                sorted(tuple(r) for r in peak_demand(df, zones, "3 hours").collect()),
+                sorted(tuple(r) for r in pickups_by_hour(df).collect()),
+                sorted(tuple(r) for r in rate_code_evolution(df).collect()),
+            )
+        )
+    assert all(s == seen[0] for s in seen)
