@@ -66,3 +66,21 @@ def test_results_ignore_shuffle_partitions(spark, zones, rows):
         assert results[0] == results[1]
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+@SETTINGS
+@given(rows=trip_rows)
+def test_impact_total_is_linear_in_groupable_trips(spark, zones, rows):
+    from mobility.plans.jobs import day_impact
+
+    df = make_trips(spark, rows)
+    total = day_impact(df, zones).first().total
+    known = {1, 56, 57, 103, 161, 237, 264}
+    groupable = sum(1 for r in rows if r[3] is not None and r[3] < 3 and r[1] in known)
+    amounts = [r[5] for r in rows if r[5] is not None]
+    if groupable == 0 or not amounts:
+        assert total is None or total == 0
+        return
+    avg = sum(amounts) / len(amounts)
+    per_trip = 0.05 * 0.3 * (0.6 * avg - 5) + 0.05 * 0.7 * 2
+    assert abs(total - groupable * per_trip) <= 1e-9 * max(1.0, abs(groupable * per_trip))
