@@ -20,9 +20,10 @@ from pyspark.sql import functions as F
 # executor, well under spark.sql.autoBroadcastJoinThreshold's 8 GB hard cap.
 DIMENSION_BROADCAST_MAX_ROWS = 100_000
 
-# (semantic hash, max_rows) -> [(plan, bounded)]; plans are compared with
-# sameSemantics, so a dimension read again by a later query is not recounted.
-_checked: dict[tuple[int, int], list[tuple[DataFrame, bool]]] = {}
+# (session, semantic hash, max_rows) -> [(plan, bounded)]; plans are compared
+# with sameSemantics, so a dimension read again by a later query is not
+# recounted.
+_checked: dict[tuple[int, int, int], list[tuple[DataFrame, bool]]] = {}
 
 
 def is_bounded(df: DataFrame, max_rows: int = DIMENSION_BROADCAST_MAX_ROWS) -> bool:
@@ -34,7 +35,7 @@ def is_bounded(df: DataFrame, max_rows: int = DIMENSION_BROADCAST_MAX_ROWS) -> b
     once.  The files of a dimension are assumed not to grow past the bound
     while a session runs.
     """
-    key = (df.semanticHash(), max_rows)
+    key = (id(df.sparkSession), df.semanticHash(), max_rows)
     for seen, bounded in _checked.get(key, ()):
         if seen.sameSemantics(df):
             return bounded
