@@ -76,16 +76,23 @@ def peak_demand(
     duration: str = "2 hours",
     cols: TripColumns = DAY_TRIPS,
     sort: bool = True,
+    flatten: bool = True,
 ) -> DataFrame:
     """Trips per (tumbling window of ``duration``, pickup zone), busiest first.
 
     -> peak-range-start, peak-range-end, <zone id>, total_trips, Borough, Zone.
     All trips count (no passenger filter).  Ties: Borough, then start and id.
+    ``flatten=False`` returns the window as one struct column ``peak-range``
+    (start, end) in place of the two columns.
     """
     out = attach_zone(_window_counts(trips, cols, duration), zones, cols.pickup_zone)
-    return maybe_sort(
+    out = maybe_sort(
         out, sort, desc("total_trips"), F.col("Borough"), F.col("peak-range-start"), F.col(cols.pickup_zone)
     )
+    if flatten:
+        return out
+    window = F.struct(F.col("peak-range-start").alias("start"), F.col("peak-range-end").alias("end"))
+    return out.select(window.alias("peak-range"), cols.pickup_zone, "total_trips", "Borough", "Zone")
 
 
 def peak_share(

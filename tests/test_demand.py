@@ -91,3 +91,12 @@ def test_peak_per_zone_ties_take_earliest(spark, zones):
     assert out[237]["peak-range-start"] == dt.datetime(2018, 1, 25, 22, 0)
     assert out[161].total_trips == 1
     assert out[161]["peak-range-start"] == dt.datetime(2018, 1, 25, 18, 0)
+
+
+def test_peak_demand_struct_window(spark, zones):
+    out = peak_demand(_trips(spark), zones, "2 hours", flatten=False)
+    assert out.columns == ["peak-range", "PULocationID", "total_trips", "Borough", "Zone"]
+    first = out.first()
+    assert first["peak-range"].start == dt.datetime(2018, 1, 25, 18, 0)
+    assert first["peak-range"].end == dt.datetime(2018, 1, 25, 20, 0)
+    assert first.total_trips == 3
