@@ -80,6 +80,47 @@ def stream_rideshare_groups(
     return attach_zone(counts, zones, cols.pickup_zone)
 
 
+def stream_rideshare_groups_nearest(
+    trips: DataFrame,
+    zones: DataFrame,
+    cols: TripColumns = DAY_TRIPS,
+    seconds: int = 300,
+    watermark: str = "10 minutes",
+) -> DataFrame:
+    """Streaming O12: groupable trips per (nearest mark, pickup zone).
+
+    -> <zone id>, total_trips, total_amount, approximate_datetime, Borough, Zone.
+    The mark ``b`` covers [b*s - s/2, b*s + s/2): a tumbling window of ``s``
+    seconds started ``s/2`` after the epoch, labelled by its start + s/2.
+    Same groups as the batch operator for times after 1970 (before it, the
+    batch rounding sends exact half marks away from zero).  Trips without a
+    pickup time are left out, as a stream cannot close their group.
+    """
+    cols.require("passengers")
+    half = seconds // 2
+    groupable = trips.where(F.col(cols.passengers) < MAX_SHARED_PASSENGERS + 1)
+    zone = cols.pickup_zone
+    timed = groupable.withColumn(
+        EVENT_TIME, wall_clock_to_instant(F.col(cols.pickup_time).cast(T.TimestampNTZType()))
+    ).withWatermark(EVENT_TIME, watermark)
+    counts = (
+        timed.groupBy(
+            F.window(EVENT_TIME, f"{seconds} seconds", f"{seconds} seconds", f"{half} seconds").alias("__w"),
+            F.col(zone),
+        )
+        .agg(F.count(F.lit(1)).alias("total_trips"), F.sum(cols.amount).alias("total_amount"))
+        .select(
+            zone,
+            "total_trips",
+            "total_amount",
+            F.date_format(
+                F.timestamp_add("SECOND", F.lit(half), instant_to_wall_clock("__w.start")), "yyyy-MM-dd HH:mm:ss"
+            ).alias("approximate_datetime"),
+        )
+    )
+    return attach_zone(counts, zones, zone)
+
+
 def stream_peak_demand(
     trips: DataFrame,
     zones: DataFrame,

@@ -68,3 +68,31 @@ def test_incremental_parquet_sink_resumes(spark, zones, tmp_path):
     assert len(rows) == 3
     assert sorted(r.total_trips for r in rows) == [12, 12, 12]
     assert len({r["peak-range-start"] for r in rows}) == 3
+
+
+def test_streaming_nearest_groups_match_batch(spark, zones, tmp_path):
+    from mobility.operators import rideshare_groups_nearest
+    from mobility.streaming import stream_rideshare_groups_nearest
+
+    src = str(tmp_path / "in")
+    # times on, just before and just after half marks, plus a late closer
+    rows = [trip(s + d, pu=z) for s in range(0, 3600, 300) for d in (0, 149, 150, 299) for z in (237, 999)]
+    rows += [trip(86400)]
+    batch = make_trips(spark, rows)
+    batch.write.parquet(src)
+    stream = read_trip_stream(spark, src, TRIP_SCHEMA)
+    q = write_stream(
+        stream_rideshare_groups_nearest(stream, zones),
+        "nearest_stream",
+        fmt="memory",
+        checkpoint_location=str(tmp_path / "ckpt"),
+    )
+    q.processAllAvailable()
+    q.stop()
+    got = {(r.approximate_datetime, r.PULocationID, r.total_trips) for r in spark.table("nearest_stream").collect()}
+    want = {
+        (r.approximate_datetime, r.PULocationID, r.total_trips)
+        for r in rideshare_groups_nearest(batch, zones).collect()
+        if r.approximate_datetime < "2018-01-26"
+    }
+    assert got == want and len(got) == 13
