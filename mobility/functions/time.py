@@ -11,6 +11,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# Fixed value: the text form of a bucket label.
 LABEL_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
 

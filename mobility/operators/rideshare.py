@@ -20,16 +20,15 @@ from mobility.operators._common import count_all, desc, maybe_sort
 from mobility.operators.dimension import attach_zone
 from mobility.schema import DAY_TRIPS, HISTORY_TRIPS, TripColumns
 
-# At most this many passengers may share, and the share of
-# groupable trips measured on one day (289,623 of 331,893 trips), used for
-# trip tables that carry no passenger count.
+# At most this many passengers may share; trips are grouped
+# by 5-minute (300 s) marks; the share of groupable trips measured on one day
+# (289,623 of 331,893 trips) is used for trip tables without passenger counts.
 MAX_SHARED_PASSENGERS = 2
+BUCKET_SECONDS = 300
 GROUPABLE_TRIPS_DAY = 289623
 ALL_TRIPS_DAY = 331893
 GROUPABLE_SHARE = GROUPABLE_TRIPS_DAY * 1.0 / ALL_TRIPS_DAY
 
-BUCKET_SECONDS = 300
-
 
 def groupable(
     trips: DataFrame,

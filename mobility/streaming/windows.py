@@ -17,9 +17,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from mobility.functions.time import instant_to_wall_clock, wall_clock_to_instant
+from mobility.functions.time import LABEL_FORMAT, instant_to_wall_clock, wall_clock_to_instant
 from mobility.operators.dimension import attach_zone
-from mobility.operators.rideshare import MAX_SHARED_PASSENGERS
+from mobility.operators.rideshare import BUCKET_SECONDS, MAX_SHARED_PASSENGERS
 from mobility.schema import DAY_TRIPS, TripColumns
 from mobility.session import checkpoint_dir
 
@@ -84,7 +84,7 @@ def stream_rideshare_groups_nearest(
     trips: DataFrame,
     zones: DataFrame,
     cols: TripColumns = DAY_TRIPS,
-    seconds: int = 300,
+    seconds: int = BUCKET_SECONDS,
     watermark: str = "10 minutes",
 ) -> DataFrame:
     """Streaming O12: groupable trips per (nearest mark, pickup zone).
@@ -114,7 +114,7 @@ def stream_rideshare_groups_nearest(
             "total_trips",
             "total_amount",
             F.date_format(
-                F.timestamp_add("SECOND", F.lit(half), instant_to_wall_clock("__w.start")), "yyyy-MM-dd HH:mm:ss"
+                F.timestamp_add("SECOND", F.lit(half), instant_to_wall_clock("__w.start")), LABEL_FORMAT
             ).alias("approximate_datetime"),
         )
     )
