@@ -1,10 +1,13 @@
 """Benchmark: every registered query over the tables in $BENCH_SF_DIR.
 
-Runs on local[$BENCH_CPUS]; each query is executed in full through the
+Runs on local[$BENCH_CPUS] with shuffle partitions sized from the input
+(``mobility.session.local_shuffle_partitions``); each query is executed in full through the
 ``noop`` sink (all rows produced, nothing collected to the driver) and timed
 from plan building to the end of the job.  Prints one JSON line.
 
     BENCH_SF_DIR=/root/testdata/sf0.01 python bench.py [name-substring ...]
+
+BENCH_SHUFFLE_PARTITIONS overrides the sized partition count.
 """
 
 from __future__ import annotations
@@ -18,7 +21,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from mobility.plans.registry import REGISTRY  # noqa: E402
-from mobility.session import local_session  # noqa: E402
+from mobility.session import local_session, local_shuffle_partitions  # noqa: E402
 
 
 def main() -> None:
@@ -26,7 +29,11 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     repeats = int(os.environ.get("BENCH_REPEATS", "1"))
     wanted = sys.argv[1:]
-    spark = local_session("mobility-bench", cores=cpus, shuffle_partitions=cpus)
+    input_bytes = sum(
+        os.path.getsize(os.path.join(root, f)) for root, _, files in os.walk(sf_dir) for f in files
+    )
+    partitions = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", 0)) or local_shuffle_partitions(input_bytes, cpus)
+    spark = local_session("mobility-bench", cores=cpus, shuffle_partitions=partitions)
 
     def run(q) -> float:
         t0 = time.perf_counter()
@@ -50,6 +57,7 @@ def main() -> None:
                 "queries": times,
                 "sf": float(m.group(1)) if m else sf_dir,
                 "cpus": cpus,
+                "shuffle_partitions": partitions,
                 "n_queries": len(times),
             }
         )

@@ -42,6 +42,16 @@ def shuffle_partitions_for(input_bytes: int, partition_bytes: int = SHUFFLE_PART
     return max(200, -(-input_bytes // partition_bytes))
 
 
+# Local runs: one shuffle partition per this much input, between 2 and the
+# core count.  Past partial aggregation the shuffled data is a small fraction
+# of the input; more partitions than that only add task overhead.
+LOCAL_PARTITION_BYTES = 16 * 1024 * 1024
+
+
+def local_shuffle_partitions(input_bytes: int, cores: int) -> int:
+    return max(2, min(cores, -(-input_bytes // LOCAL_PARTITION_BYTES)))
+
+
 def apply_scale_conf(spark: SparkSession, input_bytes: int | None = None) -> SparkSession:
     """Set ``SCALE_CONF`` and, given the input size, the shuffle partitions."""
     for key, value in SCALE_CONF.items():

@@ -18,3 +18,11 @@ def test_apply_scale_conf(spark):
         assert spark.conf.get("spark.sql.adaptive.skewJoin.enabled") == "true"
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_local_shuffle_partitions():
+    from mobility.session import local_shuffle_partitions
+
+    assert local_shuffle_partitions(4 * 1024**2, 8) == 2
+    assert local_shuffle_partitions(38 * 1024**2, 8) == 3
+    assert local_shuffle_partitions(10 * 1024**3, 8) == 8
