@@ -100,3 +100,12 @@ def test_peak_demand_struct_window(spark, zones):
     assert first["peak-range"].start == dt.datetime(2018, 1, 25, 18, 0)
     assert first["peak-range"].end == dt.datetime(2018, 1, 25, 20, 0)
     assert first.total_trips == 3
+
+
+def test_peak_share_empty_table(spark, zones):
+    assert peak_share(make_trips(spark, []), zones).collect() == []
+
+
+def test_operators_fit_transform(spark, zones):
+    trips = _trips(spark)
+    assert trips.transform(pickups_by_zone, zones).count() == 4
