@@ -22,6 +22,12 @@ SCALE_CONF = {
     # Queries read 2-4 of a trip table's columns, so a split of 512 MB of
     # file holds only tens of MB of column data: fewer, fuller scan tasks.
     "spark.sql.files.maxPartitionBytes": str(512 * 1024 * 1024),
+    # Broadcast only what is counted or measured: no broadcast chosen from
+    # file-size estimates before a query runs (dimensions are hinted after a
+    # row count, see operators.dimension); AQE may still turn a shuffle join
+    # into a broadcast once a side's shuffled size is known.
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
 }
 # The session zone is left alone: it decides the wall clock a zoned pickup
 # time is read as at the source (e.g. America/New_York for NYC trips); every

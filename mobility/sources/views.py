@@ -25,6 +25,8 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from mobility.operators.dimension import bounded_broadcast
+
 # Fixed values of the views.
 EVENT_ZONE_MODULUS = 30
 EVENT_PASSENGER_MODULUS = 6
@@ -72,7 +74,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def zones_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """LocationID int, Borough, Zone, service_zone from nation and region."""
     nation = table(spark, sf_dir, "nation")
-    region = table(spark, sf_dir, "region")
+    region = bounded_broadcast(table(spark, sf_dir, "region"))
     return nation.join(region, nation["n_regionkey"] == region["r_regionkey"], "inner").selectExpr(
         "CAST(n_nationkey AS INT) AS LocationID",
         "r_name AS Borough",
@@ -129,9 +131,11 @@ def lineitem_trips(
 
     The joins are left joins on foreign keys, so every line item stays one
     trip whether or not a lookup is asked for; a missing supplier or customer
-    gives a null zone.  Sizes are left to Spark: a side under the broadcast
-    threshold is broadcast, larger ones are shuffle-joined, and AQE splits a
-    skewed join key (say one supplier with a third of the lines).
+    gives a null zone.  Supplier and customer are broadcast only when their
+    row count is within the dimension bound; otherwise, like orders, they are
+    shuffle-joined, AQE splits a skewed join key (say one supplier with a
+    third of the lines) and may broadcast a side whose shuffled size turns out
+    small.
     """
     fields = tuple(fields)
     unknown = set(fields) - set(LINEITEM_FIELDS)
@@ -139,12 +143,12 @@ def lineitem_trips(
         raise ValueError(f"unknown trip fields {sorted(unknown)}")
     out = table(spark, sf_dir, "lineitem")
     if "PULocationID" in fields:
-        supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
+        supplier = bounded_broadcast(table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey"))
         out = out.join(supplier, out["l_suppkey"] == supplier["s_suppkey"], "left")
     if "DOLocationID" in fields or "payment_type" in fields:
         orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
         if "DOLocationID" in fields:
-            customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+            customer = bounded_broadcast(table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey"))
             orders = orders.join(customer, orders["o_custkey"] == customer["c_custkey"], "left")
         out = out.join(orders, out["l_orderkey"] == orders["o_orderkey"], "left")
     return out.selectExpr(*[_LINEITEM_EXPRS[f] for f in fields])
