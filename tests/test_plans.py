@@ -70,3 +70,24 @@ def test_broadcast_only_when_bounded(spark):
     big = spark.range(11)
     assert not is_bounded(big, max_rows=10)
     assert "broadcast" not in plan_text(bounded_broadcast(big, max_rows=10), "extended").lower().split("== physical plan ==")[0]
+
+
+def test_unbounded_dimension_is_not_broadcast(spark):
+    from pyspark.sql import functions as F
+
+    from mobility.operators.dimension import attach_zone
+
+    facts = spark.range(1000).select(F.col("id").cast("int").alias("PULocationID"), F.lit(1).alias("n"))
+    big = spark.range(100_002).select(
+        F.col("id").cast("int").alias("LocationID"),
+        F.lit("b").alias("Borough"),
+        F.lit("z").alias("Zone"),
+    )
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_text(attach_zone(facts, big, "PULocationID"), "simple")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "BroadcastHashJoin" not in plan
+    assert "SortMergeJoin" in plan or "ShuffledHashJoin" in plan
