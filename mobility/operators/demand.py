@@ -101,14 +101,17 @@ def peak_share(
     duration: str = "2 hours",
     cols: TripColumns = DAY_TRIPS,
     sort: bool = True,
+    all_trips: DataFrame | None = None,
 ) -> DataFrame:
     """``peak_demand`` plus each cell's share of all trips, in percent.
 
     The total is a scalar subquery over the whole trip table (evaluated once,
     then inlined), so no global window pulls the rows into one partition and
-    no value makes a round trip through Python.
+    no value makes a round trip through Python.  ``all_trips`` is the table
+    counted for the total (default ``trips``): pass a cheaper form with the
+    same rows when ``trips`` is built by lookups the count does not need.
     """
-    total = trips.agg(F.count(F.lit(1))).scalar()
+    total = (trips if all_trips is None else all_trips).agg(F.count(F.lit(1))).scalar()
     out = peak_demand(trips, zones, duration, cols, sort=False).withColumn(
         "share_pct", F.col("total_trips") * F.lit(100.0) / total
     )

@@ -379,7 +379,9 @@ JOIN zones z ON c.PULocationID = z.LocationID""",
                 continue
             add(
                 f"peak_share_{tag}_{view}",
-                lambda s, d, t=trips, du=duration: peak_share(t(s, d, TIME, PU), zones_view(s, d), du),
+                lambda s, d, t=trips, du=duration: peak_share(
+                    t(s, d, TIME, PU), zones_view(s, d), du, all_trips=t(s, d, TIME)
+                ),
                 _with(
                     view,
                     f"""SELECT c.ws AS "peak-range-start", c.ws + {_interval(duration)} AS "peak-range-end",

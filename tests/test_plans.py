@@ -91,3 +91,9 @@ def test_unbounded_dimension_is_not_broadcast(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert "BroadcastHashJoin" not in plan
     assert "SortMergeJoin" in plan or "ShuffledHashJoin" in plan
+
+
+def test_share_total_counts_without_lookups(spark):
+    plan = plan_text(BY_NAME["peak_share_2h_lineitem"].build(spark, SF), "simple")
+    subquery = plan[plan.index("Subquery") :]
+    assert "FileScan parquet [] " in subquery.split("BroadcastHashJoin")[0]
