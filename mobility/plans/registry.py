@@ -3,7 +3,8 @@
 Every query runs a library operator on a trip view derived from the given
 tables (``mobility.sources.views``), over the whole tables.  Double columns
 are rounded to 6 places on both sides so that summation order cannot change
-the comparison; nothing else is altered.
+the comparison, the money grand totals to cents (see ``CENT_DIGITS``);
+nothing else is altered.
 """
 
 from __future__ import annotations
