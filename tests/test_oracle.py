@@ -6,7 +6,7 @@ import duckdb
 import pytest
 
 from mobility.plans.registry import REGISTRY
-from tools.oracle_check import TABLES, frame_hash
+from tools.oracle_check import TABLES, duck_types, frame_hash
 
 SF = "/root/testdata/sf0.001"
 
@@ -23,7 +23,9 @@ def duck():
 
 @pytest.mark.parametrize("query", [q for q in REGISTRY if q.sql], ids=lambda q: q.name)
 def test_matches_oracle(spark, duck, query):
-    got = query.build(spark, SF).toPandas()
+    df = query.build(spark, SF)
+    assert dict(df.dtypes) == duck_types(duck, query.sql)
+    got = df.toPandas()
     want = duck.execute(query.sql).df()
     assert sorted(got.columns) == sorted(want.columns)
     assert len(got) == len(want)

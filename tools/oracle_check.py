@@ -27,6 +27,23 @@ TABLES = (
 ).split()
 
 
+# DuckDB type names as Spark's simple type strings.
+DUCK_TO_SPARK = {
+    "BIGINT": "bigint",
+    "INTEGER": "int",
+    "DOUBLE": "double",
+    "VARCHAR": "string",
+    "BOOLEAN": "boolean",
+    "DATE": "date",
+    "TIMESTAMP": "timestamp_ntz",
+}
+
+
+def duck_types(con, sql: str) -> dict[str, str]:
+    rel = con.sql(sql)
+    return {c: DUCK_TO_SPARK.get(str(t), str(t)) for c, t in zip(rel.columns, rel.types)}
+
+
 def _canon(v):
     if v is None or (not isinstance(v, (list, tuple, dict)) and pd.isna(v)):
         return None
@@ -60,6 +77,7 @@ def main() -> int:
             continue
         t0 = time.time()
         sdf = q.build(spark, sf_dir)
+        stypes = dict(sdf.dtypes)
         spd = sdf.toPandas()
         dt = time.time() - t0
         if q.sql is None:
@@ -67,11 +85,13 @@ def main() -> int:
             continue
         dpd = con.execute(q.sql).df()
         same_cols = sorted(spd.columns) == sorted(dpd.columns)
+        same_types = stypes == duck_types(con, q.sql)
         hs, hd = frame_hash(spd), frame_hash(dpd) if same_cols else "-"
-        ok = same_cols and len(spd) == len(dpd) and hs == hd
+        ok = same_cols and same_types and len(spd) == len(dpd) and hs == hd
         bad += not ok
         print(f"{q.name:45s} rows={len(spd):6d}/{len(dpd):6d} cols={'ok' if same_cols else 'DIFF'} "
-              f"hash={'ok' if hs == hd else 'DIFF'} {'PASS' if ok else 'FAIL'} {dt:.2f}s")
+              f"types={'ok' if same_types else 'DIFF'} hash={'ok' if hs == hd else 'DIFF'} "
+              f"{'PASS' if ok else 'FAIL'} {dt:.2f}s")
         if not ok:
             print("   spark:", list(spd.columns), spd.dtypes.tolist())
             print("   duck :", list(dpd.columns), dpd.dtypes.tolist())
