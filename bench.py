@@ -45,8 +45,12 @@ def main() -> None:
     if selected:
         run(selected[0])
     times: dict[str, float] = {}
+    errors: dict[str, str] = {}
     for q in selected:
-        times[q.name] = round(min(run(q) for _ in range(repeats)), 3)
+        try:
+            times[q.name] = round(min(run(q) for _ in range(repeats)), 3)
+        except Exception as exc:  # reported, not hidden: listed under "errors"
+            errors[q.name] = f"{type(exc).__name__}: {str(exc)[:200]}"
     m = re.search(r"sf([0-9.]+)", sf_dir)
     print(
         json.dumps(
@@ -59,6 +63,7 @@ def main() -> None:
                 "cpus": cpus,
                 "shuffle_partitions": partitions,
                 "n_queries": len(times),
+                "errors": errors,
             }
         )
     )
