@@ -121,3 +121,17 @@ def test_transfer_tables_registers_views(spark):
     frames = transfer_tables(spark, ["t_a", "t_b"], lambda s, name: s.createDataFrame([(name,)], "name string"))
     assert set(frames) == {"t_a", "t_b"}
     assert spark.sql("SELECT name FROM t_b").first().name == "t_b"
+
+
+def test_read_trips_declared_schema(spark, tmp_path):
+    from mobility.schema import DAY_TRIP_SCHEMA
+
+    path = str(tmp_path / "day")
+    row = tuple(
+        dt.datetime(2018, 1, 25, 18, 30) if f.name == "tpep_pickup_datetime" else None for f in DAY_TRIP_SCHEMA.fields
+    )
+    spark.createDataFrame([row], DAY_TRIP_SCHEMA).write.parquet(path)
+    t = read_trips(spark, path, schema=DAY_TRIP_SCHEMA)
+    assert len(t.columns) == 17
+    assert dict(t.dtypes)["tpep_pickup_datetime"] == "timestamp_ntz"
+    assert t.first().tpep_pickup_datetime == dt.datetime(2018, 1, 25, 18, 30)
