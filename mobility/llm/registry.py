@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mobility.llm import quality
+from mobility.llm import decontaminate, quality, secret_scan
 from mobility.llm.common import table
 
 
@@ -14,13 +14,24 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.query(table(spark, sf_dir, "documents"))
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.query(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.query(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op4_quality_rules": op4_quality_rules,
+        "op5_decontamination": op5_decontamination,
+        "op8_secret_scan": op8_secret_scan,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     return {
         "op4_quality_rules": quality.ORACLE,
+        "op5_decontamination": decontaminate.ORACLE,
     }
