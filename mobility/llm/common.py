@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -60,3 +63,21 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_dir(spark)}/{name}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the Python workers, once a Spark context.
+
+    Operators with Python stages import it there.  Nothing is sent where the
+    package already comes from an archive (``--py-files``).
+    """
+    sc = spark.sparkContext
+    package = Path(__file__).resolve().parent.parent
+    if not package.is_dir() or getattr(sc, "_llm_shipped", False):
+        return
+    archive = os.path.join(os.path.realpath(tempfile.mkdtemp(prefix="llm-code-")), f"{package.name}.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+        for path in sorted(package.rglob("*.py")):
+            out.write(path, path.relative_to(package.parent))
+    sc.addPyFile(archive)
+    sc._llm_shipped = True

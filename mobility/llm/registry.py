@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mobility.llm import decontaminate, quality, secret_scan
+from mobility.llm import decontaminate, packing, quality, secret_scan, tokenfile
 from mobility.llm.common import table
 
 
+def op2_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokenfile.query(spark, table(spark, sf_dir, "documents"))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.query(table(spark, sf_dir, "documents"))
 
@@ -18,14 +22,20 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.query(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.query(table(spark, sf_dir, "documents"))
+
+
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.query(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_token_file": op2_token_file,
         "op4_quality_rules": op4_quality_rules,
         "op5_decontamination": op5_decontamination,
+        "op7_best_fit_packing": op7_best_fit_packing,
         "op8_secret_scan": op8_secret_scan,
     }
 
