@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mobility.llm import decontaminate, packing, quality, secret_scan, tokenfile
+from mobility.llm import decontaminate, edit_counts, langid, packing, quality, secret_scan, tokenfile
 from mobility.llm.common import table
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.query(table(spark, sf_dir, "documents"))
+
+
 def op2_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfile.query(spark, table(spark, sf_dir, "documents"))
 
@@ -30,13 +34,19 @@ def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.query(table(spark, sf_dir, "documents"))
 
 
+def op9_edit_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edit_counts.query(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_language_id": op1_language_id,
         "op2_token_file": op2_token_file,
         "op4_quality_rules": op4_quality_rules,
         "op5_decontamination": op5_decontamination,
         "op7_best_fit_packing": op7_best_fit_packing,
         "op8_secret_scan": op8_secret_scan,
+        "op9_edit_counts": op9_edit_counts,
     }
 
 
