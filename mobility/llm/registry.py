@@ -6,7 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mobility.llm import decontaminate, edit_counts, langid, packing, quality, secret_scan, tokenfile
+from mobility.llm import (
+    decontaminate,
+    edit_counts,
+    jaccard_join,
+    langid,
+    packing,
+    quality,
+    secret_scan,
+    tokenfile,
+)
 from mobility.llm.common import table
 
 
@@ -38,6 +47,10 @@ def op9_edit_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edit_counts.query(table(spark, sf_dir, "documents"))
 
 
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.query(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_language_id": op1_language_id,
@@ -47,6 +60,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op7_best_fit_packing": op7_best_fit_packing,
         "op8_secret_scan": op8_secret_scan,
         "op9_edit_counts": op9_edit_counts,
+        "op10_jaccard_join": op10_jaccard_join,
     }
 
 
