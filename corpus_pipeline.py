@@ -1,10 +1,15 @@
-"""Training-corpus pipeline: each stage takes (spark, docs, sf_dir) and returns a DataFrame."""
+"""Training-corpus pipeline: each stage takes (spark, docs, sf_dir) and returns a DataFrame.
+
+Every stage is written as Parquet and read back as the next one's ``docs``.
+All but the last return the columns of ``documents`` (and whatever else the
+input has); what a stage rejects is gone for the later ones.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mobility.llm import quality
+from mobility.llm import decontaminate, jaccard_join, packing, quality, secret_scan
 from mobility.llm.common import table, written
 
 
@@ -13,10 +18,38 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.kept_documents(docs)
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of every component of similar ones: the one with the least id.
+
+    Shingles of five words and a similarity of at least 0.8.
+    """
+    return jaccard_join.one_of_each(docs, percent=80, shingle=5)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without enough of any benchmark text."""
+    return decontaminate.clean_documents(docs, table(spark, sf_dir, "benchmark"))
+
+
+def secrets_masked(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with every secret in their texts masked (n_chars follows the text)."""
+    return secret_scan.masked_documents(docs)
+
+
+def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of every document with their place in sequences of at most 2048 tokens."""
+    return packing.query(docs)
+
+
 STAGES = [
     ("quality_rules", quality_rules),
+    ("near_duplicates", near_duplicates),
+    ("decontamination", decontamination),
+    ("secrets_masked", secrets_masked),
+    ("packed_sequences", packed_sequences),
 ]
 
+#: SQL cannot express the tokenizer of the last stage.
 ORACLE_SQL = None
 
 

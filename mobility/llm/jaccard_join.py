@@ -1,6 +1,6 @@
 """N-gram Jaccard join by grouped prefixes.
 
-A document is its set of distinct 4-word shingles.  All shingles are ordered
+A document is its set of distinct word shingles (four words unless told otherwise).  All shingles are ordered
 from rare to frequent; two sets with a Jaccard similarity of at least the
 threshold share a shingle within their short prefixes of that order, at places
 that leave enough shingles behind to reach the threshold.  Documents with the
@@ -21,8 +21,8 @@ near copies costs its size, not its square.
 
 Shingles are compared as 64-bit hashes, classes by 128-bit digests of whole
 sets.  Defined cases: a null text, or one without words, has the empty set and
-is linked with nothing (its component is its own id); a text of fewer than
-four words is one shingle; repeated rows are members of one class; null ids
+is linked with nothing (its component is its own id); a text of fewer
+words than a shingle is one shingle; repeated rows are members of one class; null ids
 are ignored by the least id unless there is no other; an empty table gives an
 empty result; extra columns are not read.
 """
@@ -98,13 +98,13 @@ def _links(overlap, n, m, percent: int = PERCENT):
     return (100 + percent) * overlap >= percent * (n + m)
 
 
-def bucket_counts(texts: DataFrame) -> np.ndarray:
+def bucket_counts(texts: DataFrame, shingle: int = SHINGLE) -> np.ndarray:
     """Documents per shingle bucket over all of ``texts``: of fixed size, summed by block in Spark."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(BUCKETS, np.int64)
         for batch in batches:
-            found = [_bucket(shingles(t)) for t in batch.column(0).to_pylist()]
+            found = [_bucket(shingles(t, shingle)) for t in batch.column(0).to_pylist()]
             for at in range(0, len(found), 1000):
                 total += np.bincount(np.concatenate(found[at : at + 1000]), minlength=BUCKETS)
         if total.any():
@@ -127,7 +127,7 @@ def bucket_counts(texts: DataFrame) -> np.ndarray:
     return np.argsort(np.argsort(total.ravel(), kind="stable"), kind="stable").astype(np.int32)
 
 
-def signatures(docs: DataFrame, order: np.ndarray, percent: int = PERCENT) -> DataFrame:
+def signatures(docs: DataFrame, order: np.ndarray, percent: int = PERCENT, shingle: int = SHINGLE) -> DataFrame:
     """(_row, doc_id, n, cls, grp, prefix) of every ``keyed`` document: set size, digests of the set and of size and prefix."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -136,7 +136,7 @@ def signatures(docs: DataFrame, order: np.ndarray, percent: int = PERCENT) -> Da
                 part = batch.slice(at, 500)
                 out = []
                 for text in part.column(2).to_pylist():
-                    found = shingles(text)
+                    found = shingles(text, shingle)
                     n = len(found)
                     rare = np.argsort(order[_bucket(found)].astype(np.int64), kind="stable")  # equal buckets: by hash
                     prefix = found[rare[: prefix_size(n, percent)]] if n else found
@@ -225,7 +225,7 @@ HUB_SHARE = 512
 BROADCAST_ROWS = BROADCAST_MAX_BYTES // 64
 
 
-def verified(pairs: DataFrame, docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+def verified(pairs: DataFrame, docs: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE) -> DataFrame:
     """The (a, b) rows whose whole sets link.
 
     Every hub ``a`` is sent once for each share of its members, ahead of them,
@@ -248,7 +248,7 @@ def verified(pairs: DataFrame, docs: DataFrame, percent: int = PERCENT) -> DataF
             a, b, text = (batch.column(i).to_pylist() for i in (0, 2, 3))
             linked = []
             for x, y, t in zip(a, b, text):
-                found = shingles(t)
+                found = shingles(t, shingle)
                 if y is None:
                     hub = found
                 else:
@@ -262,21 +262,21 @@ def verified(pairs: DataFrame, docs: DataFrame, percent: int = PERCENT) -> DataF
     return streamed.mapInArrow(compare, "u long, v long")
 
 
-def joined(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+def joined(docs: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE) -> DataFrame:
     """(_row, doc_id, n_shingles, component_id, first) of every ``keyed`` document.
 
     component_id is the least doc_id of the component; ``first`` is true for
     exactly one row of each (the first row that has this id), and for every
     document without shingles.
     """
-    order = bucket_counts(docs.select("text"))
-    signed = written(signatures(docs, order, percent), "signatures")
+    order = bucket_counts(docs.select("text"), shingle)
+    signed = written(signatures(docs, order, percent, shingle), "signatures")
     classes = written(classes_of(signed), "classes")
     lists = written(prefix_lists(signed.select(ROW, "n", "grp", "prefix")), "lists")
-    links = written(verified(star_pairs(lists, classes, percent), docs, percent), "links")
+    links = written(verified(star_pairs(lists, classes, percent), docs, percent, shingle), "links")
     still = written(open_pairs(lists, classes, components(links), percent), "open")
     if not still.isEmpty():
-        links = links.unionByName(written(verified(still, docs, percent), "links"))
+        links = links.unionByName(written(verified(still, docs, percent, shingle), "links"))
     labels = components(links)
     found = classes.join(labels, classes["c"] == labels["node"], "left").select("cls", "d", F.coalesce("component", "c").alias("label"))
     least = found.groupBy("label").agg(F.min("d").alias("component_id"))
@@ -296,7 +296,9 @@ def query(docs: DataFrame) -> DataFrame:
     return joined(keyed(docs)).select("doc_id", "n_shingles", "component_id")
 
 
-def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
+def one_of_each(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT, shingle: int = SHINGLE
+) -> DataFrame:
     """The rows of ``docs``, all columns, without all but the first of every component."""
-    gone = joined(keyed(docs, id_col, text_col), percent).filter(~F.col("first")).select(ROW)
+    gone = joined(keyed(docs, id_col, text_col), percent, shingle).filter(~F.col("first")).select(ROW)
     return docs.withColumn(ROW, F.monotonically_increasing_id()).join(gone, ROW, "left_anti").select(*docs.columns)

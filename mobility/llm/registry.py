@@ -12,8 +12,10 @@ from mobility.llm import (
     jaccard_join,
     langid,
     packing,
+    pii,
     quality,
     secret_scan,
+    suffix_dedup,
     tokenfile,
 )
 from mobility.llm.common import table
@@ -27,6 +29,10 @@ def op2_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfile.query(spark, table(spark, sf_dir, "documents"))
 
 
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.query(table(spark, sf_dir, "documents"))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.query(table(spark, sf_dir, "documents"))
 
@@ -35,6 +41,10 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.query(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.query(table(spark, sf_dir, "documents"))
+
+
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.query(table(spark, sf_dir, "documents"))
 
@@ -55,8 +65,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_language_id": op1_language_id,
         "op2_token_file": op2_token_file,
+        "op3_pii": op3_pii,
         "op4_quality_rules": op4_quality_rules,
         "op5_decontamination": op5_decontamination,
+        "op6_suffix_dedup": op6_suffix_dedup,
         "op7_best_fit_packing": op7_best_fit_packing,
         "op8_secret_scan": op8_secret_scan,
         "op9_edit_counts": op9_edit_counts,
