@@ -1,8 +1,9 @@
 """Time bucketing.
 
-Every trip frame carries its pickup time as ``timestamp_ntz`` (see
-``to_wall_clock``), so hours, days, buckets, windows and labels are wall-clock
-values that do not move with ``spark.sql.session.timeZone``.
+Hours, days, buckets, windows and labels are wall-clock values.  Every function
+here first takes the wall clock of its argument (``to_wall_clock``): a no-op on
+``timestamp_ntz``, which then does not move with the session zone, and the
+session zone's reading of a zoned ``timestamp``.
 """
 
 from __future__ import annotations
@@ -35,7 +36,7 @@ def nearest_bucket(ts: Column | str, seconds: int = 300) -> Column:
     150 s goes to the next one.  ``bigint`` so ``bucket * seconds`` cannot
     overflow after 2038.
     """
-    return F.round(F.unix_timestamp(_col(ts)) / F.lit(seconds)).cast(T.LongType())
+    return F.round(F.unix_timestamp(to_wall_clock(ts)) / F.lit(seconds)).cast(T.LongType())
 
 
 def bucket_label(bucket: Column | str, seconds: int = 300) -> Column:
@@ -45,11 +46,11 @@ def bucket_label(bucket: Column | str, seconds: int = 300) -> Column:
 
 
 def hour_of_day(ts: Column | str) -> Column:
-    return F.hour(_col(ts))
+    return F.hour(to_wall_clock(ts))
 
 
 def pickup_day(ts: Column | str) -> Column:
-    return F.to_date(_col(ts))
+    return F.to_date(to_wall_clock(ts))
 
 
 def tumbling_window(ts: Column | str, duration: str) -> Column:
@@ -57,7 +58,7 @@ def tumbling_window(ts: Column | str, duration: str) -> Column:
 
     Spark turns this into one arithmetic projection (no row expansion).
     """
-    return F.window(_col(ts), duration)
+    return F.window(to_wall_clock(ts), duration)
 
 
 def _epoch_ntz() -> Column:

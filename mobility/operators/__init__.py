@@ -23,6 +23,7 @@ from mobility.operators.impact import (
     DEFAULT_PARAMS,
     ImpactParams,
     average_trip_amount,
+    impact_total,
     rideshare_impact,
     rideshare_impact_total,
 )
@@ -36,6 +37,7 @@ from mobility.operators.rideshare import (
     GROUPABLE_SHARE,
     groupable,
     groupable_trip_count,
+    is_groupable,
     rideshare_groups_nearest,
     rideshare_groups_scaled,
     rideshare_groups_window,

@@ -22,15 +22,19 @@ def pickups_by_zone(
     cols: TripColumns = DAY_TRIPS,
     role: str = "pickup",
     sort: bool = True,
+    weight: str | None = None,
 ) -> DataFrame:
     """Trips per zone with its names, busiest first.
 
     -> <zone id>, totalTrips, Borough, Zone.  ``role='dropoff'`` counts
     drop-offs instead.  Counted per id first (partial aggregation on the map
     side), so a zone holding most trips costs one row per map task.
+    ``weight`` names a column with the number of trips a row stands for, where
+    ``trips`` is already counted by something finer.
     """
     key = cols.zone(role)
-    counts = trips.groupBy(key).agg(count_all("totalTrips"))
+    total = count_all("totalTrips") if weight is None else F.sum(weight).cast("bigint").alias("totalTrips")
+    counts = trips.groupBy(key).agg(total)
     out = attach_zone(counts, zones, key)
     return maybe_sort(out, sort, desc("totalTrips"), F.col(key))
 

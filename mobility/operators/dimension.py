@@ -1,9 +1,10 @@
 """Joining the zone dimension.
 
 The zone table is a dimension of a few hundred rows.  It is broadcast only
-after its row count has been checked against a bound; a larger table falls back
-to an ordinary join and Spark picks a shuffle strategy (AQE can still turn it
-into a broadcast at run time when the shuffled side turns out small).
+after its rows and bytes have been counted against bounds; a larger table
+falls back to an ordinary join and Spark picks a shuffle strategy (AQE can
+still turn it into a broadcast at run time when the shuffled side turns out
+small).
 
 Facts are always aggregated *before* they meet the dimension, so the join sees
 one row per group, not one per trip.
@@ -12,36 +13,50 @@ one row per group, not one per trip.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from weakref import WeakKeyDictionary
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# Largest dimension we broadcast: at ~100 bytes a row, about 10 MB held by
-# each executor, far below the 8 GB Spark allows any broadcast table.
+# Largest dimension we broadcast, in rows and in bytes of its columns.
 DIMENSION_BROADCAST_MAX_ROWS = 100_000
+DIMENSION_BROADCAST_MAX_BYTES = 16 * 1024 * 1024
 
-# (session, semantic hash, max_rows) -> [(plan, bounded)]; plans are compared
-# with sameSemantics, so a dimension read again by a later query is not
-# recounted.
-_checked: dict[tuple[int, int, int], list[tuple[DataFrame, bool]]] = {}
+# DataFrame object -> (rows, bytes).  One object has one file listing, so its
+# answer stays true; a table that is read again is a new object and is counted
+# again.  Entries go with their objects.
+_measured: WeakKeyDictionary[DataFrame, tuple[int, int]] = WeakKeyDictionary()
 
 
-def is_bounded(df: DataFrame, max_rows: int = DIMENSION_BROADCAST_MAX_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
+def _row_bytes(field: T.StructField) -> Column:
+    if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+        return F.coalesce(F.octet_length(F.col(f"`{field.name}`")), F.lit(0)) + 16
+    if isinstance(field.dataType, T.AtomicType):
+        return F.lit(16)
+    return F.coalesce(F.octet_length(F.to_json(F.struct(f"`{field.name}`"))), F.lit(0)) + 16
 
-    Counts at most ``max_rows + 1`` rows (one small job).  The answer is
-    remembered for the session per logical plan (``semanticHash`` /
-    ``sameSemantics``), so every query joining the same zone table pays it
-    once.  The files of a dimension are assumed not to grow past the bound
-    while a session runs.
+
+def measured_size(df: DataFrame) -> tuple[int, int]:
+    """(rows, bytes of all columns) of ``df``: one aggregate job, one row a task is shuffled.
+
+    Counted once for a DataFrame object.
     """
-    key = (id(df.sparkSession), df.semanticHash(), max_rows)
-    for seen, bounded in _checked.get(key, ()):
-        if seen.sameSemantics(df):
-            return bounded
-    bounded = df.limit(max_rows + 1).count() <= max_rows
-    _checked.setdefault(key, []).append((df, bounded))
-    return bounded
+    if df not in _measured:
+        size = sum((_row_bytes(f) for f in df.schema.fields), F.lit(0))
+        row = df.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(size), F.lit(0)).alias("bytes")).first()
+        _measured[df] = (row["n"], row["bytes"])
+    return _measured[df]
+
+
+def is_bounded(
+    df: DataFrame,
+    max_rows: int = DIMENSION_BROADCAST_MAX_ROWS,
+    max_bytes: int = DIMENSION_BROADCAST_MAX_BYTES,
+) -> bool:
+    """True when ``df`` is within both bounds.  Runs a small job the first time."""
+    rows, size = measured_size(df)
+    return rows <= max_rows and size <= max_bytes
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = DIMENSION_BROADCAST_MAX_ROWS) -> DataFrame:

@@ -30,6 +30,12 @@ ALL_TRIPS_DAY = 331893
 GROUPABLE_SHARE = GROUPABLE_TRIPS_DAY * 1.0 / ALL_TRIPS_DAY
 
 
+def is_groupable(cols: TripColumns = DAY_TRIPS) -> Column:
+    """At most two passengers; null for an unknown count."""
+    cols.require("passengers")
+    return F.col(cols.passengers) < MAX_SHARED_PASSENGERS + 1
+
+
 def groupable(
     trips: DataFrame,
     cols: TripColumns = DAY_TRIPS,
@@ -38,8 +44,7 @@ def groupable(
 ) -> DataFrame:
     """Trips with at most two passengers (null counts excluded), optionally
     also meeting ``predicate``, which may refer to ``isLong``."""
-    cols.require("passengers")
-    out = trips.where(F.col(cols.passengers) < MAX_SHARED_PASSENGERS + 1)
+    out = trips.where(is_groupable(cols))
     if predicate is not None:
         if cols.distance is not None:
             out = with_length_flag(out, cols.distance, threshold)

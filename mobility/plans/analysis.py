@@ -1,7 +1,8 @@
 """All enquiries over one trip table, as one call.
 
-``enquiries`` returns every result as a lazy DataFrame (nothing runs until a
-result is written or shown), named by what it answers:
+``enquiries`` returns every result as a DataFrame that runs when it is written
+or shown.  Building them runs one small job: the zone table is counted, once,
+to decide whether it may be broadcast.  The results, named by what they answer:
 
     pickups_by_zone, dropoffs_by_zone, pickups_by_borough, pickups_by_hour,
     distance_stats, trips_by_length, pickups_by_hour_and_length,
@@ -34,6 +35,8 @@ from mobility.operators import (
     average_trip_amount,
     distance_stats,
     groupable_trip_count,
+    impact_total,
+    is_groupable,
     long_trips,
     payment_by_length,
     payment_evolution,
@@ -49,7 +52,6 @@ from mobility.operators import (
     rideshare_groups_nearest,
     rideshare_groups_window,
     rideshare_impact,
-    rideshare_impact_total,
     short_trips,
     top_zones_by_length,
     total_trip_count,
@@ -57,7 +59,7 @@ from mobility.operators import (
     zone_pair_popularity,
 )
 from mobility.schema import DAY_TRIPS, TripColumns
-from mobility.session import apply_scale_conf
+from mobility.session import apply_scale_conf, stored_bytes
 from mobility.sources.files import read_trips, read_zones
 
 
@@ -110,9 +112,7 @@ def enquiries(
             rideshare_groups_nearest=lambda: rideshare_groups_nearest(trips, zones, cols),
             rideshare_groups_window=lambda: rideshare_groups_window(trips, zones, cols),
             rideshare_impact=lambda: rideshare_impact(rideshare_groups_nearest(trips, zones, cols), trips, params, cols),
-            rideshare_impact_total=lambda: rideshare_impact_total(
-                rideshare_impact(rideshare_groups_nearest(trips, zones, cols, sort=False), trips, params, cols)
-            ),
+            rideshare_impact_total=lambda: impact_total(trips, zones, params, cols, is_groupable(cols)),
         )
         if cols.distance:
             out["rideshare_short_trips"] = lambda: rideshare_groups_nearest(trips, zones, cols, predicate=short_trips())
@@ -126,7 +126,8 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("out_dir")
     p.add_argument("names", nargs="*", help="results to write (default: all)")
     args = p.parse_args(argv)
-    spark = apply_scale_conf(SparkSession.builder.appName("mobility-analysis").getOrCreate())
+    spark = SparkSession.builder.appName("mobility-analysis").getOrCreate()
+    apply_scale_conf(spark, stored_bytes(spark, args.trips))
     results = enquiries(read_trips(spark, args.trips), read_zones(spark, args.zones))
     unknown = set(args.names) - set(results)
     if unknown:

@@ -4,9 +4,11 @@ O22 ``day_impact_job``: trips in the one-day layout (passenger counts known).
 O23 ``history_impact_job``: trips in the multi-year layout (no passenger
 count; counts scaled by the measured groupable share).
 
-Each job is one plan: the average (a scalar subquery) and the grouped total
-are computed in a single pass over the trips and written once; the printed
-result is the small written file read back, not a second run of the plan.
+Each job is one plan with one scan of the trips (``operators.impact.impact_total``:
+the model is linear in a group's trips, so its total needs counts and sums by
+zone only), written once; the printed result is the small written file read
+back, not a second run of the plan.  The command line sizes the shuffle from
+the trip table's bytes in its store.
 
     python -m mobility.plans.jobs day <trips> <zones.csv> <out>
     python -m mobility.plans.jobs history <trips> <zones.csv> <out>
@@ -19,10 +21,10 @@ import sys
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mobility.operators.impact import DEFAULT_PARAMS, ImpactParams, rideshare_impact, rideshare_impact_total
-from mobility.operators.rideshare import GROUPABLE_SHARE, rideshare_groups_nearest, rideshare_groups_scaled
+from mobility.operators.impact import DEFAULT_PARAMS, ImpactParams, impact_total
+from mobility.operators.rideshare import GROUPABLE_SHARE, is_groupable
 from mobility.schema import DAY_TRIPS, HISTORY_TRIPS, TripColumns
-from mobility.session import apply_scale_conf
+from mobility.session import apply_scale_conf, stored_bytes
 from mobility.sources.files import read_trips, read_zones
 from mobility.sources.sinks import write_result_csv
 
@@ -32,9 +34,8 @@ TOTAL_SCHEMA = "total double"
 def day_impact(
     trips: DataFrame, zones: DataFrame, params: ImpactParams = DEFAULT_PARAMS, cols: TripColumns = DAY_TRIPS
 ) -> DataFrame:
-    """One row: total impact over groupable trips (O12 -> O15 -> O16)."""
-    groups = rideshare_groups_nearest(trips, zones, cols, sort=False)
-    return rideshare_impact_total(rideshare_impact(groups, trips, params, cols))
+    """One row: total impact over groupable trips (the sum of O15 over the groups of O12)."""
+    return impact_total(trips, zones, params, cols, grouped=is_groupable(cols))
 
 
 def history_impact(
@@ -43,15 +44,17 @@ def history_impact(
     params: ImpactParams = DEFAULT_PARAMS,
     cols: TripColumns = HISTORY_TRIPS,
     share: float = GROUPABLE_SHARE,
-    scale_amount: bool = False,
 ) -> DataFrame:
-    """One row: total impact with scaled trip counts (O19 -> O20 -> O21)."""
-    groups = rideshare_groups_scaled(trips, zones, cols, share=share, scale_amount=scale_amount, sort=False)
-    return rideshare_impact_total(rideshare_impact(groups, trips, params, cols))
+    """One row: total impact with scaled trip counts (the sum of O20 over the groups of O19).
+
+    Money is the average over all trips, so scaling the groups' amounts
+    (``scale_amount`` of O19) does not change it.
+    """
+    return impact_total(trips, zones, params, cols, share=share)
 
 
 def _finish(spark: SparkSession, total: DataFrame, out_path: str) -> DataFrame:
-    write_result_csv(total, out_path, single_file=True)
+    write_result_csv(total, out_path)
     result = spark.read.schema(TOTAL_SCHEMA).option("header", True).csv(out_path)
     result.show(truncate=False)
     return result
@@ -70,11 +73,10 @@ def history_impact_job(
     zones_path: str,
     out_path: str,
     params: ImpactParams = DEFAULT_PARAMS,
-    scale_amount: bool = False,
 ) -> DataFrame:
     trips = read_trips(spark, trips_path, HISTORY_TRIPS)
     trips.printSchema()
-    total = history_impact(trips, read_zones(spark, zones_path), params, scale_amount=scale_amount)
+    total = history_impact(trips, read_zones(spark, zones_path), params)
     return _finish(spark, total, out_path)
 
 
@@ -90,7 +92,6 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--discount", type=float, default=d.discount)
     p.add_argument("--solo-extra-cost", type=float, default=d.solo_extra_cost)
     p.add_argument("--cost-reduction-share", type=float, default=d.cost_reduction_share)
-    p.add_argument("--scale-amount", action="store_true", help="history layout: scale money like trip counts")
     return p
 
 
@@ -103,11 +104,12 @@ def main(argv: list[str] | None = None) -> int:
         solo_extra_cost=args.solo_extra_cost,
         cost_reduction_share=args.cost_reduction_share,
     )
-    spark = apply_scale_conf(SparkSession.builder.appName("mobility-impact").getOrCreate())
+    spark = SparkSession.builder.appName("mobility-impact").getOrCreate()
+    apply_scale_conf(spark, stored_bytes(spark, args.trips))
     if args.layout == "day":
         day_impact_job(spark, args.trips, args.zones, args.out, params)
     else:
-        history_impact_job(spark, args.trips, args.zones, args.out, params, args.scale_amount)
+        history_impact_job(spark, args.trips, args.zones, args.out, params)
     return 0
 
 

@@ -45,12 +45,16 @@ from mobility.operators import (
     zone_pair_popularity,
 )
 from mobility.operators.rideshare import GROUPABLE_TRIPS_DAY, ALL_TRIPS_DAY
+from mobility.plans.jobs import day_impact, history_impact
 from mobility.schema import DAY_TRIPS, HISTORY_TRIPS
 from mobility.sources.files import read_trips
+from mobility.sources.jdbc import transfer_tables
 from mobility.sources.views import (
     events_history_trips,
     events_trips,
+    lineitem_dropoff_counts,
     lineitem_trips,
+    table,
     zones_view,
 )
 
@@ -164,6 +168,21 @@ def _interval(duration: str) -> str:
 # -------------------------------------------------------------- queries ----
 
 
+def dropoffs_by_counted_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = lineitem_dropoff_counts(spark, sf_dir)
+    return pickups_by_zone(counted, zones_view(spark, sf_dir), role="dropoff", weight="trips")
+
+
+def transferred_order_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders by market segment, from two tables transferred to prefixed temp views."""
+    prefix = "transferred_"
+    transfer_tables(spark, ("orders", "customer"), lambda s, name: table(s, sf_dir, name), prefix=prefix)
+    return spark.sql(
+        f"""SELECT c.c_mktsegment AS segment, COUNT(*) AS orders, CAST(sum(o.o_totalprice) AS DOUBLE) AS total
+FROM {prefix}orders o JOIN {prefix}customer c ON o.o_custkey = c.c_custkey GROUP BY 1"""
+    )
+
+
 def _registry() -> list[RegisteredQuery]:
     q: list[RegisteredQuery] = []
 
@@ -178,7 +197,9 @@ def _registry() -> list[RegisteredQuery]:
             label = "pickups" if role == "pickup" else "dropoffs"
             add(
                 f"{label}_by_zone_{view}",
-                lambda s, d, t=trips, r=role, k=key: pickups_by_zone(t(s, d, k), zones_view(s, d), role=r),
+                dropoffs_by_counted_order
+                if (view, role) == ("lineitem", "dropoff")
+                else lambda s, d, t=trips, r=role, k=key: pickups_by_zone(t(s, d, k), zones_view(s, d), role=r),
                 _with(
                     view,
                     f"""SELECT c.{key}, c.totalTrips, z.Borough, z.Zone
@@ -301,18 +322,24 @@ JOIN zones z ON g.PULocationID = z.LocationID"""
             ),
             _with(view, nearest_body.format(extra=f" AND NOT ({LONG})")),
         )
-        add(
-            f"rideshare_groups_window_{view}",
-            lambda s, d, t=trips: rideshare_groups_window(t(s, d, TIME, PU, AMT, PAX), zones_view(s, d)),
-            _with(
-                view,
-                f"""SELECT g.PULocationID, g.total_trips, round(g.total_amount, {DIGITS}) AS total_amount,
+        window_body = f"""SELECT g.PULocationID, g.total_trips, round(g.total_amount, {DIGITS}) AS total_amount,
        g.ws AS "window-start", g.ws + INTERVAL '5 minutes' AS "window-end", z.Borough, z.Zone
 FROM (SELECT time_bucket(INTERVAL '5 minutes', tpep_pickup_datetime, TIMESTAMP '1970-01-01') AS ws,
              PULocationID, COUNT(*) AS total_trips, sum(total_amount) AS total_amount
-      FROM trips WHERE passenger_count < 3 AND tpep_pickup_datetime IS NOT NULL GROUP BY 1, 2) g
-JOIN zones z ON g.PULocationID = z.LocationID""",
+      FROM trips WHERE passenger_count < 3 AND tpep_pickup_datetime IS NOT NULL{{extra}} GROUP BY 1, 2) g
+JOIN zones z ON g.PULocationID = z.LocationID"""
+        add(
+            f"rideshare_groups_window_{view}",
+            lambda s, d, t=trips: rideshare_groups_window(t(s, d, TIME, PU, AMT, PAX), zones_view(s, d)),
+            _with(view, window_body.format(extra="")),
+        )
+        # G7 on O13
+        add(
+            f"rideshare_short_window_{view}",
+            lambda s, d, t=trips: rideshare_groups_window(
+                t(s, d, TIME, PU, AMT, PAX, DIST), zones_view(s, d), predicate=short_trips()
             ),
+            _with(view, window_body.format(extra=f" AND NOT ({LONG})")),
         )
         add(
             f"average_trip_amount_{view}",
@@ -360,6 +387,17 @@ FROM impact""",
             ),
             cents=("total",),
         )
+        # O22: the same total as the job computes it, in one pass
+        add(
+            f"day_impact_{view}",
+            lambda s, d, t=trips: day_impact(t(s, d, PU, AMT, PAX), zones_view(s, d)),
+            _with(
+                view,
+                f"SELECT round(sum(accepted + rejected), {CENT_DIGITS}) AS total FROM impact",
+                (impact_sql,),
+            ),
+            cents=("total",),
+        )
         for duration in ("2 hours", "3 hours", "4 hours"):
             tag = duration.split()[0] + "h"
             window_counts = f"""(SELECT time_bucket({_interval(duration)}, tpep_pickup_datetime, TIMESTAMP '1970-01-01') AS ws,
@@ -498,6 +536,53 @@ FROM impact""",
         ),
         cents=("total",),
     )
+    add(
+        "rideshare_groups_scaled_money_events",
+        lambda s, d: rideshare_groups_scaled(
+            events_history_trips(s, d), zones_view(s, d), HISTORY_TRIPS, scale_amount=True
+        ),
+        _with(
+            "history",
+            f"""SELECT pickup_taxizone_id, round(total_trips, {DIGITS}) AS total_trips,
+       round(total_amount * {share}, {DIGITS}) AS total_amount, approximate_datetime, Borough, Zone
+FROM scaled""",
+            (scaled_sql,),
+        ),
+    )
+    # O23: the same total as the job computes it, in one pass
+    add(
+        "history_impact_events",
+        lambda s, d: history_impact(events_history_trips(s, d), zones_view(s, d)),
+        _with(
+            "history",
+            f"SELECT round(sum(accepted + rejected), {CENT_DIGITS}) AS total FROM impact",
+            (scaled_sql, f"impact AS (SELECT *, {scaled_impact} FROM scaled)"),
+        ),
+        cents=("total",),
+    )
+    # O12 on a zoned pickup time, which no source has cast: the label is its wall clock in the session zone
+    add(
+        "rideshare_groups_nearest_zoned_events",
+        lambda s, d: rideshare_groups_nearest(
+            events_trips(s, d).withColumn(TIME, F.col(TIME).cast("timestamp")), zones_view(s, d)
+        ),
+        _with(
+            "events",
+            f"""SELECT g.PULocationID, g.total_trips, round(g.total_amount, {DIGITS}) AS total_amount,
+       {LABEL} AS approximate_datetime, z.Borough, z.Zone
+FROM (SELECT {NEAREST} AS b, PULocationID, COUNT(*) AS total_trips, sum(total_amount) AS total_amount
+      FROM trips WHERE passenger_count < 3 GROUP BY 1, 2) g
+JOIN zones z ON g.PULocationID = z.LocationID""",
+        ),
+    )
+    # O27b: tables transferred to temp views and joined there
+    add(
+        "transfer_tables_orders",
+        transferred_order_totals,
+        f"""SELECT c.c_mktsegment AS segment, COUNT(*) AS orders, round(sum(o.o_totalprice), {CENT_DIGITS}) AS total
+FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey GROUP BY 1""",
+        cents=("total",),
+    )
     return q
 
 

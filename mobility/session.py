@@ -7,7 +7,6 @@ Library code never sets a master: a cluster's ``spark-submit`` decides it.
 from __future__ import annotations
 
 import os
-import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -71,21 +70,22 @@ def apply_scale_conf(spark: SparkSession, input_bytes: int | None = None) -> Spa
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    The setting is read from the session and left as it is.  Only a local
-    session (tests, local runs) without one gets a fresh temporary folder;
-    on a cluster a machine-local folder would be lost with its machine, so a
-    missing setting is an error there.
+    The setting is read from the session and left as it is; a session without
+    one is refused, since a folder of one machine would be lost with it.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder on shared storage")
-        current = tempfile.mkdtemp(prefix="mobility-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", current)
-        spark.sparkContext.setCheckpointDir(current)
+        raise ValueError("set spark.checkpoint.dir to a folder on shared storage")
     return current
 
 
+def stored_bytes(spark: SparkSession, *paths: str) -> int:
+    """Bytes of the files below ``paths``, from the store's own listing (any store Spark can read)."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    conf = spark._jsc.hadoopConfiguration()
+    return sum(hadoop(p).getFileSystem(conf).getContentSummary(hadoop(p)).getLength() for p in paths)
+
+
 def local_session(app: str = "mobility", cores: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
     """A local session for tests and tools (UI off, no ports beyond Spark's own)."""
     builder = (

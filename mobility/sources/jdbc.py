@@ -44,12 +44,16 @@ def jdbc_options(
     return opts
 
 
-def read_table(spark: SparkSession, table: str, url: str, **options) -> DataFrame:
+def read_table(spark: SparkSession, table: str, url: str, single_connection: bool = False, **options) -> DataFrame:
     """Read one database table (``public.<table>`` by default).
 
-    Filters and column choices on the result are pushed into the SQL sent to
+    Without a ``partition_column`` Spark would pull the whole table through one
+    connection into one task; that is done only when ``single_connection`` asks
+    for it.  Filters and column choices on the result are pushed into the SQL sent to
     the database.
     """
+    if not single_connection and options.get("partition_column") is None:
+        raise ValueError("give partition_column with bounds, or ask for single_connection")
     return spark.read.format("jdbc").options(**jdbc_options(url, table, **options)).load()
 
 
@@ -58,16 +62,18 @@ def transfer_tables(
     names: Iterable[str],
     reader: Callable[[SparkSession, str], DataFrame],
     write_to_warehouse: bool = False,
+    prefix: str = "",
 ) -> dict[str, DataFrame]:
-    """Register every table as a temp view under its own name; optionally also
-    overwrite a managed table of that name in the current database.
+    """Register every table as a temp view named ``prefix`` and its own name;
+    optionally also overwrite a managed table of its own name in the current
+    database (with an empty prefix the view hides it in this session).
 
     A view is only a catalog entry: nothing is loaded until a query runs.
     """
     frames = {}
     for name in names:
         df = reader(spark, name)
-        df.createOrReplaceTempView(name)
+        df.createOrReplaceTempView(f"{prefix}{name}")
         if write_to_warehouse:
             df.write.mode("overwrite").saveAsTable(name)
         frames[name] = df

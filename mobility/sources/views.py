@@ -24,6 +24,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from mobility.operators.dimension import bounded_broadcast
 
@@ -129,9 +130,12 @@ def lineitem_trips(
 ) -> DataFrame:
     """Day-layout trips from ``lineitem``, joining only what ``fields`` need.
 
-    The joins are left joins on foreign keys, so every line item stays one
-    trip whether or not a lookup is asked for; a missing supplier or customer
-    gives a null zone.  Supplier and customer are broadcast only when their
+    The joins are left joins on foreign keys: ``s_suppkey``, ``o_orderkey`` and
+    ``c_custkey`` are assumed to be unique (``tests/test_views.py`` checks the
+    given tables), so every line item stays one trip whether or not a lookup is
+    asked for; a missing supplier or customer gives a null zone.  The join with
+    orders is always a shuffle join: both sides grow with the data, and no
+    session's estimate may broadcast the line items.  Supplier and customer are broadcast only when their
     row count is within the dimension bound; otherwise, like orders, they are
     shuffle-joined, AQE splits a skewed join key (say one supplier with a
     third of the lines) and may broadcast a side whose shuffled size turns out
@@ -150,5 +154,19 @@ def lineitem_trips(
         if "DOLocationID" in fields:
             customer = bounded_broadcast(table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey"))
             orders = orders.join(customer, orders["o_custkey"] == customer["c_custkey"], "left")
-        out = out.join(orders, out["l_orderkey"] == orders["o_orderkey"], "left")
+        out = out.join(orders.hint("merge"), out["l_orderkey"] == orders["o_orderkey"], "left")
     return out.selectExpr(*[_LINEITEM_EXPRS[f] for f in fields])
+
+
+def lineitem_dropoff_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(DOLocationID, trips): the view's trips counted per order, for operators that only count.
+
+    Line items of an order lie together, so counting them before the join
+    shrinks what is shuffled to it, on the key that the join needs anyway.
+    """
+    lines = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("trips"))
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    customer = bounded_broadcast(table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey"))
+    orders = orders.join(customer, orders["o_custkey"] == customer["c_custkey"], "left")
+    joined = lines.join(orders.hint("merge"), lines["l_orderkey"] == orders["o_orderkey"], "left")
+    return joined.selectExpr(_LINEITEM_EXPRS["DOLocationID"], "trips")

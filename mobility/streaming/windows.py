@@ -153,15 +153,14 @@ def write_stream(
 
     The checkpoint goes under the shared ``spark.checkpoint.dir`` unless given,
     so a restarted query (or one whose executors were lost) resumes from its
-    committed offsets and state.  ``fmt='memory'`` keeps results in a session
-    table named ``name`` (tests).
+    committed offsets and state.
     """
+    if fmt == "memory":
+        raise ValueError("the memory sink would keep every row on the driver")
     spark = df.sparkSession
     location = checkpoint_location or f"{checkpoint_dir(spark)}/streams/{name}"
-    writer = df.writeStream.outputMode("append").format(fmt).option("checkpointLocation", location)
-    if fmt == "memory":
-        writer = writer.queryName(name)
-    elif path is not None:
+    writer = df.writeStream.outputMode("append").format(fmt).option("checkpointLocation", location).queryName(name)
+    if path is not None:
         writer = writer.option("path", path)
     if trigger_available_now:
         writer = writer.trigger(availableNow=True)

@@ -27,10 +27,10 @@ def test_pickups_by_zone(spark, zones):
     assert out.columns == ["PULocationID", "totalTrips", "Borough", "Zone"]
     rows = [tuple(r) for r in out.collect()]
     assert rows == [
-        (237, 3, "Manhattan", "Upper East Side South"),
-        (161, 2, "Manhattan", "Midtown Center"),
-        (56, 1, "Queens", "Corona"),
-        (57, 1, "Queens", "Corona"),
+        (237, 3, "Midtown", "Upper Park Row"),
+        (161, 2, "Midtown", "Clock Square"),
+        (56, 1, "Eastbank", "Mill Corner"),
+        (57, 1, "Eastbank", "Mill Corner"),
     ]
 
 
@@ -44,7 +44,7 @@ def test_dropoffs_by_zone(spark, zones):
 def test_borough_is_rollup_of_zones(spark, zones):
     by_zone = pickups_by_zone(_trips(spark), zones)
     out = pickups_by_borough(by_zone)
-    assert [tuple(r) for r in out.collect()] == [("Manhattan", 5), ("Queens", 2)]
+    assert [tuple(r) for r in out.collect()] == [("Midtown", 5), ("Eastbank", 2)]
     assert dict(out.dtypes)["totalTrips"] == "bigint"
 
 

@@ -42,13 +42,13 @@ def test_hour_and_length(spark):
 
 
 def test_pairs_keep_equal_names_apart(spark, zones):
-    # 56 and 57 are both "Corona": two pairs, two rows
+    # 56 and 57 are both "Mill Corner": two pairs, two rows
     df = make_trips(spark, [trip(pu=56, do=237), trip(pu=57, do=237), trip(pu=57, do=237)])
     out = zone_pair_popularity(df, zones, short_trips())
     assert out.columns == ["totalTrips", "Pickup_Zone", "Dropoff_Zone"]
     assert [tuple(r) for r in out.collect()] == [
-        (2, "Corona", "Upper East Side South"),
-        (1, "Corona", "Upper East Side South"),
+        (2, "Mill Corner", "Upper Park Row"),
+        (1, "Mill Corner", "Upper Park Row"),
     ]
 
 

@@ -4,10 +4,13 @@ from mobility.operators import (
     DEFAULT_PARAMS,
     ImpactParams,
     average_trip_amount,
+    rideshare_groups_nearest,
+    rideshare_groups_scaled,
     rideshare_impact,
     rideshare_impact_total,
 )
-from mobility.plans.jobs import day_impact
+from mobility.plans.jobs import day_impact, history_impact
+from mobility.schema import HISTORY_TRIPS
 from tests.conftest import make_trips, trip
 
 # Fixed values printed with the original model: a group of 115 trips when the
@@ -70,3 +73,29 @@ def test_empty_trip_table(spark, zones):
     empty = make_trips(spark, [])
     assert average_trip_amount(empty).first().avg_total_amount is None
     assert day_impact(empty, zones).first().total is None
+
+
+def _two_steps(trips, zones):
+    return rideshare_impact_total(rideshare_impact(rideshare_groups_nearest(trips, zones, sort=False), trips)).first().total
+
+
+def test_one_pass_equals_two_steps(spark, zones):
+    rows = [trip(s, pu=z, pax=p, amount=a) for s in (0, 149, 150, None) for z in (237, 161, 999, None)
+            for p in (1, 2, 3, None) for a in (7.25, None)]
+    trips = make_trips(spark, rows)
+    assert round(day_impact(trips, zones).first().total, 2) == round(_two_steps(trips, zones), 2)
+    # an id that is listed twice doubles its groups in both
+    twice = zones.unionByName(zones.where("LocationID = 237"))
+    assert round(day_impact(trips, twice).first().total, 2) == round(_two_steps(trips, twice), 2)
+    # nothing groupable in a known zone: no total in either
+    unknown = make_trips(spark, [trip(pu=999), trip(pu=None), trip(pu=237, pax=5)])
+    assert day_impact(unknown, zones).first().total is None and _two_steps(unknown, zones) is None
+
+
+def test_one_pass_history_equals_two_steps(spark, zones):
+    df = make_trips(spark, [trip(s, pu=z, amount=9.5) for s in (0, 400) for z in (237, 1, 999)]).selectExpr(
+        "tpep_pickup_datetime AS pickup_datetime", "PULocationID AS pickup_taxizone_id", "total_amount"
+    )
+    groups = rideshare_groups_scaled(df, zones, HISTORY_TRIPS, sort=False)
+    two = rideshare_impact_total(rideshare_impact(groups, df, cols=HISTORY_TRIPS)).first().total
+    assert history_impact(df, zones).first().total == pytest.approx(two, rel=1e-12)

@@ -51,10 +51,41 @@ def test_top_k_limits_before_shuffle(trips, zone_view):
     assert "WindowGroupLimit" in plan and "Partial" in plan
 
 
-def test_impact_total_has_no_sort(spark):
-    plan = plan_text(BY_NAME["rideshare_impact_total_events"].build(spark, SF), "simple")
-    assert "rangepartitioning" not in plan
-    assert "Subquery" in plan
+def _scans(plan: str, name: str) -> int:
+    return sum("FileScan" in line and f"{name}.parquet" in line for line in plan.splitlines())
+
+
+@pytest.mark.parametrize("name", ["day_impact_events", "history_impact_events"])
+def test_impact_is_one_scan_without_buckets(spark, name):
+    plan = plan_text(BY_NAME[name].build(spark, SF), "simple")
+    assert _scans(plan, "events") == 1
+    assert "Subquery" not in plan and "Sort " not in plan
+    exchanges = [line for line in plan.splitlines() if "Exchange" in line]
+    assert exchanges and not any("ucket" in line or "pickup_datetime" in line for line in exchanges)
+    scan = next(line for line in plan.splitlines() if "events.parquet" in line)
+    assert "ts:timestamp" not in scan  # no pickup time is read
+
+
+def test_lineitem_is_never_broadcast(spark):
+    # with Spark's own threshold, as in a session without the library's confs
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10MB")
+    try:
+        for name in ("dropoffs_by_zone", "zone_pair_popularity_short", "top3_dropoff_zones_by_length"):
+            df = BY_NAME[f"{name}_lineitem"].build(spark, SF)
+            df.collect()
+            plan = plan_text(df, "simple")
+            assert "BuildLeft" not in plan, name
+            assert "SortMergeJoin" in plan, name
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_dropoffs_are_counted_before_the_join(spark):
+    plan = plan_text(BY_NAME["dropoffs_by_zone_lineitem"].build(spark, SF), "simple")
+    assert plan.index("SortMergeJoin") < plan.index("keys=[l_orderkey")
+    # the count's exchange is the join's: one shuffle of line items
+    assert plan.count("Exchange hashpartitioning(l_orderkey") == 1
 
 
 def test_lineitem_view_joins_only_what_is_needed(spark):
@@ -93,6 +124,36 @@ def test_unbounded_dimension_is_not_broadcast(spark):
     assert "SortMergeJoin" in plan or "ShuffledHashJoin" in plan
 
 
+def test_dimension_read_again_is_counted_again(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from mobility.operators.dimension import attach_zone
+
+    path = str(tmp_path / "zones")
+
+    def zones(n):
+        spark.range(n).selectExpr("CAST(id AS INT) AS LocationID", "'b' AS Borough", "'z' AS Zone").write.mode(
+            "overwrite"
+        ).parquet(path)
+        return spark.read.parquet(path)
+
+    facts = spark.range(1000).select(F.col("id").cast("int").alias("PULocationID"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert "BroadcastHashJoin" in plan_text(attach_zone(facts, zones(10), "PULocationID"), "simple")
+        assert "BroadcastHashJoin" not in plan_text(attach_zone(facts, zones(300_000), "PULocationID"), "simple")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_dimension_is_bounded_in_bytes(spark):
+    wide = spark.range(100).selectExpr("id", "repeat('x', 1000) AS text")
+    assert is_bounded(wide)
+    assert not is_bounded(wide, max_bytes=50_000)
+    assert is_bounded(spark.range(0)) and is_bounded(spark.createDataFrame([(None,)], "text string"))
+
+
 def test_share_total_counts_without_lookups(spark):
     plan = plan_text(BY_NAME["peak_share_2h_lineitem"].build(spark, SF), "simple")
     subquery = plan[plan.index("Subquery") :]

@@ -1,3 +1,7 @@
+from types import SimpleNamespace
+
+import pytest
+
 from mobility.session import apply_scale_conf, checkpoint_dir, shuffle_partitions_for
 
 
@@ -26,3 +30,9 @@ def test_local_shuffle_partitions():
     assert local_shuffle_partitions(4 * 1024**2, 8) == 2
     assert local_shuffle_partitions(38 * 1024**2, 8) == 3
     assert local_shuffle_partitions(10 * 1024**3, 8) == 8
+
+
+def test_missing_checkpoint_dir_is_refused():
+    bare = SimpleNamespace(conf=SimpleNamespace(get=lambda key, default=None: default))
+    with pytest.raises(ValueError):
+        checkpoint_dir(bare)

@@ -5,6 +5,17 @@ from mobility.streaming import read_trip_stream, stream_peak_demand, stream_ride
 from tests.conftest import TRIP_SCHEMA, make_trips, trip
 
 
+def _to_memory(df, name, checkpoint):
+    """Test sink: rows of an append-mode stream in a session table."""
+    return (
+        df.writeStream.outputMode("append")
+        .format("memory")
+        .queryName(name)
+        .option("checkpointLocation", checkpoint)
+        .start()
+    )
+
+
 def _rows():
     # trips over ten hours; the last one moves the watermark past the others
     return [trip(s, pu=z) for s in range(0, 36000, 450) for z in (237, 161, 999)] + [trip(86400)]
@@ -17,9 +28,7 @@ def test_streaming_windows_match_batch(spark, zones, tmp_path):
     stream = read_trip_stream(spark, src, TRIP_SCHEMA, max_files_per_trigger=1)
 
     ckpt = str(tmp_path / "ckpt")
-    q = write_stream(
-        stream_peak_demand(stream, zones, "2 hours"), "peak_stream", fmt="memory", checkpoint_location=ckpt + "/a"
-    )
+    q = _to_memory(stream_peak_demand(stream, zones, "2 hours"), "peak_stream", ckpt + "/a")
     q.processAllAvailable()
     q.stop()
     got = {(r["peak-range-start"], r.PULocationID, r.total_trips) for r in spark.table("peak_stream").collect()}
@@ -30,7 +39,7 @@ def test_streaming_windows_match_batch(spark, zones, tmp_path):
     }
     assert got == want and len(got) == 10
 
-    q = write_stream(stream_rideshare_groups(stream, zones), "groups_stream", fmt="memory", checkpoint_location=ckpt + "/b")
+    q = _to_memory(stream_rideshare_groups(stream, zones), "groups_stream", ckpt + "/b")
     q.processAllAvailable()
     q.stop()
     got = {(r["window-start"], r.PULocationID, r.total_trips) for r in spark.table("groups_stream").collect()}
@@ -81,12 +90,7 @@ def test_streaming_nearest_groups_match_batch(spark, zones, tmp_path):
     batch = make_trips(spark, rows)
     batch.write.parquet(src)
     stream = read_trip_stream(spark, src, TRIP_SCHEMA)
-    q = write_stream(
-        stream_rideshare_groups_nearest(stream, zones),
-        "nearest_stream",
-        fmt="memory",
-        checkpoint_location=str(tmp_path / "ckpt"),
-    )
+    q = _to_memory(stream_rideshare_groups_nearest(stream, zones), "nearest_stream", str(tmp_path / "ckpt"))
     q.processAllAvailable()
     q.stop()
     got = {(r.approximate_datetime, r.PULocationID, r.total_trips) for r in spark.table("nearest_stream").collect()}

@@ -105,3 +105,26 @@ def test_operators_ignore_session_zone(spark, zones, session_zone):
             )
         )
     assert all(s == seen[0] for s in seen)
+
+
+@pytest.mark.parametrize("zone", ZONES)
+def test_zoned_times_answer_like_wall_clocks(spark, zones, session_zone, zone):
+    from mobility.functions import hour_of_day, pickup_day
+    from mobility.operators import peak_demand, pickups_by_hour, rideshare_groups_nearest, rideshare_groups_window
+
+    session_zone(zone)
+    # read in the session zone, so that 18:30 is 18:30 there
+    wall = make_trips(spark, [trip(1800 + s) for s in (0, 149, 150, 7200)])
+    zoned = wall.withColumn("tpep_pickup_datetime", F.col("tpep_pickup_datetime").cast("timestamp"))
+    assert dict(zoned.dtypes)["tpep_pickup_datetime"] == "timestamp"
+    for operator in (
+        lambda t: t.select(hour_of_day("tpep_pickup_datetime"), pickup_day("tpep_pickup_datetime")),
+        lambda t: rideshare_groups_nearest(t, zones),
+        lambda t: rideshare_groups_window(t, zones),
+        lambda t: peak_demand(t, zones, "2 hours"),
+        lambda t: pickups_by_hour(t),
+    ):
+        a, b = operator(wall), operator(zoned)
+        assert a.dtypes == b.dtypes and a.collect() == b.collect()
+    first = rideshare_groups_nearest(zoned, zones, sort=False).orderBy("approximate_datetime").first()
+    assert first.approximate_datetime == "2018-01-25 18:30:00"

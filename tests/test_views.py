@@ -61,3 +61,10 @@ def test_zones_view(spark, tables):
     z = zones_view(spark, tables)
     assert z.dtypes == [("LocationID", "int"), ("Borough", "string"), ("Zone", "string"), ("service_zone", "string")]
     assert sorted(tuple(r) for r in z.collect()) == [(0, "AFRICA", "NATION_0", "Zone"), (1, "AMERICA", "NATION_1", "Zone")]
+
+
+def test_keys_of_the_lineitem_view_are_unique(spark):
+    # the left joins of the view rely on it
+    for name, key in (("supplier", "s_suppkey"), ("orders", "o_orderkey"), ("customer", "c_custkey")):
+        t = spark.read.parquet(f"/root/testdata/sf0.01/{name}.parquet")
+        assert t.count() == t.select(key).distinct().count()
