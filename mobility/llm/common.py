@@ -27,14 +27,35 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(_row, doc_id, text) of every row: ids may repeat or be null, _row is unique.
 
-    The key comes from the position in the scan, so a retried task gives the
-    same keys as the first attempt.
+    The key comes from the position in the scan, so a retried task, and another
+    pass over the same table, give the same keys as the first.  That holds for
+    tables read from files; write the result of a shuffle before keying it.
     """
     return docs.select(
-        F.monotonically_increasing_id().alias(ROW), F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")
+        F.monotonically_increasing_id().alias(ROW), name(id_col).alias("doc_id"), name(text_col).alias("text")
     )
 
 
+#: Name of the struct that carries whole rows beside the key.
+DOC = "_doc"
+
+
+def rows(docs: DataFrame) -> DataFrame:
+    """(_row, _doc) of every row, with the keys of ``keyed``; no column name of ``docs`` can clash."""
+    return docs.select(F.monotonically_increasing_id().alias(ROW), F.struct(*[name(c) for c in docs.columns]).alias(DOC))
+
+
+def name(column: str, of: str | None = None) -> Column:
+    """The column of exactly this name (dots and spaces included), or the field of a struct."""
+    quoted = "`" + column.replace("`", "``") + "`"
+    return F.col(f"{of}.{quoted}" if of else quoted)
+
+
+def whole(docs: DataFrame) -> list[Column]:
+    """The columns of ``docs`` out of ``rows(docs)``."""
+    return [name(c, DOC).alias(c) for c in docs.columns]
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body`` over ``value`` evaluated once, also when body is a lambda over an array."""
     return F.transform(F.array(value), body).getItem(0)

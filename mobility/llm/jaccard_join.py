@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mobility.llm.common import BROADCAST_MAX_BYTES, ROW, keyed, ship, written
+from mobility.llm.common import BROADCAST_MAX_BYTES, ROW, keyed, rows, ship, whole, written
 from mobility.llm.components import components
 
 #: Link if 100 * intersection >= PERCENT * union.
@@ -281,9 +281,9 @@ def joined(docs: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE) -> D
     found = classes.join(labels, classes["c"] == labels["node"], "left").select("cls", "d", F.coalesce("component", "c").alias("label"))
     least = found.groupBy("label").agg(F.min("d").alias("component_id"))
     named = found.select("cls", "label").join(least, "label")
-    rows = signed.select(ROW, "doc_id", "n", "cls").join(named, "cls", "left")
-    keep = rows.filter("n > 0").groupBy("label").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", ROW))[ROW].alias("_first"))
-    return rows.join(keep, "label", "left").select(
+    members = signed.select(ROW, "doc_id", "n", "cls").join(named, "cls", "left")
+    keep = members.filter("n > 0").groupBy("label").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", ROW))[ROW].alias("_first"))
+    return members.join(keep, "label", "left").select(
         ROW,
         "doc_id",
         F.col("n").alias("n_shingles"),
@@ -301,4 +301,4 @@ def one_of_each(
 ) -> DataFrame:
     """The rows of ``docs``, all columns, without all but the first of every component."""
     gone = joined(keyed(docs, id_col, text_col), percent, shingle).filter(~F.col("first")).select(ROW)
-    return docs.withColumn(ROW, F.monotonically_increasing_id()).join(gone, ROW, "left_anti").select(*docs.columns)
+    return rows(docs).join(gone, ROW, "left_anti").select(*whole(docs))

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mobility.llm.common import let
+from mobility.llm.common import DOC, let, name, rows, whole
 
 #: White space between words, and the symbols counted.
 SPACES = r"[\x20\x09-\x0D]+"
@@ -116,13 +116,15 @@ def compiled(thresholds=THRESHOLDS) -> Column:
     return passes
 
 
-def quality(docs: DataFrame, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",), thresholds=THRESHOLDS):
+def quality(
+    docs: DataFrame, text: Column | str = "text", keep: tuple[str, ...] = ("doc_id",), thresholds=THRESHOLDS
+) -> DataFrame:
     """``keep`` columns, counts, ratios, ``base_failed`` and ``kept`` of every row."""
 
     def ratio(part: str, whole: str) -> Column:
         return F.when(F.col(whole) > 0, F.col(part) / F.col(whole)).otherwise(0.0)
 
-    counted = docs.select(*keep, metrics(F.col(text_col)).alias("_m")).select(*keep, "_m.words.*", "_m.lines.*")
+    counted = docs.select(*keep, metrics(name(text) if isinstance(text, str) else text).alias("_m")).select(*keep, "_m.words.*", "_m.lines.*")
     return (
         counted.withColumns(
             {
@@ -139,8 +141,8 @@ def quality(docs: DataFrame, text_col: str = "text", keep: tuple[str, ...] = ("d
 
 def kept_documents(docs: DataFrame, text_col: str = "text", thresholds=THRESHOLDS) -> DataFrame:
     """The rows of ``docs`` (all their columns) that pass; others are dropped."""
-    judged = quality(docs.select(F.struct(*docs.columns).alias("_doc")), f"_doc.{text_col}", ("_doc",), thresholds)
-    return judged.filter("kept").select("_doc.*")
+    judged = quality(rows(docs), name(text_col, DOC), (DOC,), thresholds)
+    return judged.filter("kept").select(*whole(docs))
 
 
 def query(docs: DataFrame) -> DataFrame:

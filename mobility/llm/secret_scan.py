@@ -25,7 +25,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from mobility.llm.common import ROW
+from mobility.llm.common import DOC, ROW, name, rows, whole
 
 #: A value held by more distinct owners than this is a copied example.
 MAX_OWNERS = 2
@@ -79,16 +79,16 @@ def _looks_random(value: Column) -> Column:
     )
 
 
-def candidates(docs: DataFrame, id_col: str, text_col: str, repo_col: str, owner_col: str) -> DataFrame:
+def candidates(docs: DataFrame, text_col: str, repo_col: str, owner_col: str) -> DataFrame:
     """(_row, repo, owner, kind, start, end, value) of every match that does not fail."""
     text = F.col("text")
     found = F.array(*[F.when(text.rlike(k.pattern), _pieces(text, k)) for k in KINDS])
-    rows = (
+    matched = (
         docs.select(
             F.monotonically_increasing_id().alias(ROW),
-            F.col(repo_col).alias("repo"),
-            F.col(owner_col).alias("owner"),
-            F.col(text_col).alias("text"),
+            name(repo_col).cast("string").alias("repo"),
+            name(owner_col).cast("string").alias("owner"),
+            name(text_col).alias("text"),
         )
         .select(ROW, "repo", "owner", F.explode(F.filter(found, lambda x: x.isNotNull())).alias("f"))
         .select(ROW, "repo", "owner", "f.kind", F.posexplode("f.p").alias("i", "p"))
@@ -107,7 +107,7 @@ def candidates(docs: DataFrame, id_col: str, text_col: str, repo_col: str, owner
     before = Window.partitionBy(ROW, "kind").orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
     least = F.create_map(*[x for k in KINDS for x in (F.lit(k.name), F.lit(k.least))])
     return (
-        rows.withColumn("end", F.sum(F.col("seg") + F.col("size")).over(before))
+        matched.withColumn("end", F.sum(F.col("seg") + F.col("size")).over(before))
         .withColumn("start", F.col("end") - F.col("size"))
         .filter(F.length("value") >= least[F.col("kind")])
         .filter((F.col("kind") != ENTROPY.name) | _looks_random(F.col("value")))
@@ -147,14 +147,13 @@ def ownership(found: DataFrame) -> DataFrame:
 
 def scan(
     docs: DataFrame,
-    id_col: str = "doc_id",
     text_col: str = "text",
     repo_col: str = "doc_id",
     owner_col: str = "source",
     max_owners: int = MAX_OWNERS,
 ) -> DataFrame:
-    """(_row, doc_id, kind, start, end, digest, n_owners, n_repos, live) of every reported finding."""
-    found = without_base_overlap(candidates(docs, id_col, text_col, repo_col, owner_col))
+    """(_row, kind, start, end, digest, n_owners, n_repos, live) of every reported finding."""
+    found = without_base_overlap(candidates(docs, text_col, repo_col, owner_col))
     judged = found.join(ownership(found), "digest")
     live = F.col("n_owners") <= max_owners
     return judged.withColumn("live", live).filter((F.col("kind") != ENTROPY.name) | live).drop("repo", "owner")
@@ -170,7 +169,7 @@ def by_document(docs: DataFrame, **columns: str) -> DataFrame:
     span = F.struct("start", rank[F.col("kind")].alias("rank"), "kind", "end")
     base = F.col("kind") != ENTROPY.name
     found = (
-        scan(docs, **columns)
+        scan(docs, **{k: v for k, v in columns.items() if k != "id_col"})
         .groupBy(ROW)
         .agg(
             F.sort_array(F.collect_list(F.when(base, span))).alias("base_spans"),
@@ -179,7 +178,7 @@ def by_document(docs: DataFrame, **columns: str) -> DataFrame:
             F.count(F.when(~F.col("live"), 1)).alias("n_examples"),
         )
     )
-    every = docs.select(F.monotonically_increasing_id().alias(ROW), F.col(columns.get("id_col", "doc_id")).alias("doc_id"))
+    every = docs.select(F.monotonically_increasing_id().alias(ROW), name(columns.get("id_col", "doc_id")).alias("doc_id"))
     empty = F.array().cast("array<struct<start:bigint,rank:int,kind:string,end:bigint>>")
     return every.join(found, ROW, "left").withColumns(
         {
@@ -211,24 +210,24 @@ def masked_documents(docs: DataFrame, text_col: str = "text", mask: str = "[SECR
     Overlapping spans are masked as one.  The text is cut once per span, from
     the sorted list; texts without findings are passed on as they are.
     """
-    n_chars = {"n_chars": F.length(text_col).cast("long")} if "n_chars" in docs.columns else {}
-    found = by_document(docs, text_col=text_col, **columns).select(ROW, "all_spans").filter(F.size("all_spans") > 0)
+    text = name(text_col, DOC)
     start = F.struct(F.lit("").alias("out"), F.lit(0).cast("long").alias("end"))
 
     def step(acc: Column, s: Column) -> Column:
         fresh = s["start"] >= acc["end"]
-        gap = F.substring(F.col(text_col), (acc["end"] + 1).cast("int"), F.greatest(s["start"] - acc["end"], F.lit(0)).cast("int"))
+        gap = F.substring(text, (acc["end"] + 1).cast("int"), F.greatest(s["start"] - acc["end"], F.lit(0)).cast("int"))
         return F.struct(
             F.when(fresh, F.concat(acc["out"], gap, F.lit(mask))).otherwise(acc["out"]).alias("out"),
             F.greatest(acc["end"], s["end"]).alias("end"),
         )
 
-    cleaned = F.aggregate("all_spans", start, step, lambda acc: F.concat(acc["out"], _tail(text_col, acc["end"])))
-    joined = docs.withColumn(ROW, F.monotonically_increasing_id()).join(found, ROW, "left")
-    text = F.when(F.col("all_spans").isNull(), F.col(text_col)).otherwise(cleaned)
-    return joined.withColumn(text_col, text).withColumns(n_chars).select(*docs.columns)
+    cleaned = F.aggregate("all_spans", start, step, lambda acc: F.concat(acc["out"], _tail(text, acc["end"])))
+    found = by_document(docs, text_col=text_col, **columns).select(ROW, "all_spans").filter(F.size("all_spans") > 0)
+    masked = F.when(F.col("all_spans").isNull(), text).otherwise(cleaned)
+    changed = {text_col: masked, "n_chars": F.length(masked).cast("long")}
+    joined = rows(docs).join(found, ROW, "left")
+    return joined.select(*[changed[c].alias(c) if c in changed else x for c, x in zip(docs.columns, whole(docs))])
 
 
-def _tail(text_col: str, end: Column) -> Column:
-    size = F.length(text_col)
-    return F.substring(F.col(text_col), (end + 1).cast("int"), F.greatest(size - end.cast("int"), F.lit(0)))
+def _tail(text: Column, end: Column) -> Column:
+    return F.substring(text, (end + 1).cast("int"), F.greatest(F.length(text) - end.cast("int"), F.lit(0)))
