@@ -1,0 +1,98 @@
+import itertools
+import random
+import re
+
+import numpy as np
+import pytest
+
+from mobility.llm import pii
+from mobility.llm.common import keyed
+from tests.llm.brute import SHORT_TEXTS, documents, edge_docs, empty_docs, sha
+
+PATTERNS = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def _passes(kind, found):
+    digits = re.sub("[^0-9]", "", found)
+    if kind == "ip":
+        return all(int(p) <= 255 for p in found.split("."))
+    if kind == "card":
+        return 12 <= len(digits) <= 19 and pii.luhn(digits)
+    return kind == "email" or 9 <= len(digits) <= 15
+
+
+def plain(text):
+    found = [(*m.span(), k) for k, p in PATTERNS.items() for m in re.finditer(p, text or "") if _passes(k, m.group())]
+    return pii.in_order(found)
+
+
+def test_base_spans_match_the_patterns():
+    rng = random.Random(1)
+    parts = [*"ab1230..@@-+ ()%", "1.2.3.4", "4785380592391139", "+1 (017) 555-7713", "x@y.z", "é"]
+    for _ in range(20_000):
+        text = "".join(rng.choice(parts) for _ in range(rng.randint(0, 25)))
+        assert pii.base_spans(text) == plain(text), text
+
+
+def test_long_runs_are_linear():
+    for text in ("1" * 300_000, "a" * 300_000 + "@", "+1" + "(" * 300_000, "@" * 300_000, "1." * 100_000, "a.b@c.d" * 20_000):
+        pii.base_spans(text)
+
+
+def test_dynamic_programs_match_enumeration():
+    rng = random.Random(2)
+    for _ in range(40):
+        spans = sorted({tuple(sorted(rng.sample(range(8), 2))) for _ in range(5)})
+        scores = np.array([[rng.uniform(-2, 2) for _ in pii.KINDS] for _ in spans])
+        best, total = 0.0, 0.0
+        for r in range(len(spans) + 1):
+            for chosen in itertools.combinations(range(len(spans)), r):
+                if all(spans[i][1] <= spans[j][0] or spans[j][1] <= spans[i][0] for i, j in itertools.combinations(chosen, 2)):
+                    for kinds in itertools.product(range(len(pii.KINDS)), repeat=r):
+                        value = sum(scores[i, k] for i, k in zip(chosen, kinds))
+                        best, total = max(best, value), total + np.exp(value)
+        found = pii.best_segments(spans, scores)
+        assert sum(scores[spans.index((a, b)), pii.KINDS.index(k)] for a, b, k in found) == pytest.approx(best)
+        log_total, p = pii.marginals(spans, scores)
+        assert log_total == pytest.approx(np.log(total)) and (p >= 0).all() and (p <= 1 + 1e-9).all()
+
+
+@pytest.fixture(scope="module")
+def field(spark):
+    return pii.fit(keyed(documents(spark, "/root/testdata/sf0.01")))
+
+
+def test_field_adds_what_the_patterns_miss(field):
+    added = lambda t: [s for s in pii.all_spans(t, field)[1] if s not in pii.all_spans(t, field)[0]]
+    assert added("please call (017) 555-7713 now") == [(12, 26, "phone")]
+    assert added("mail joe.doe (at) example.com ok") == [(5, 29, "email")]
+    assert added("in 2019 there were 1234567 of 89 things") == []
+    assert added("the year 1999 and nothing else") == []
+    assert added('token = "f3ef4d6b2755a36d7d9c25bd72c4d5f67e061fda"') == []
+
+
+def test_documents(spark, field):
+    docs = documents(spark)
+    rows = {r.doc_id: r for r in pii.find(docs, field).collect()}
+    for d in docs.collect():
+        base, r = plain(d.text), rows[d.doc_id]
+        assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [sum(s[2] == k for s in base) for k in pii.KINDS]
+        assert r.base_sha256 == sha(pii.listed(base))
+        listed = r.spans.split(",") if r.spans else []
+        assert set(pii.listed([s]) for s in base) <= set(listed) and len(listed) == len(base) + r.n_added
+
+
+def test_edge_rows(spark):
+    rows = pii.query(edge_docs(spark, SHORT_TEXTS)).collect()
+    assert len(rows) == len(SHORT_TEXTS)
+    one = next(r for r in rows if r.doc_id == 11)
+    assert one.spans == "email:5:22,phone:24:41,ip:43:51"
+    assert all(r.spans == "" and r.base_sha256 == sha("") for r in rows if r.doc_id in (1, 3, 4, 5, 6))
+    assert pii.query(empty_docs(spark)).collect() == []
+    nothing = pii.query(edge_docs(spark, [(1, "no digits"), (2, None)])).collect()
+    assert [r.n_added for r in nothing] == [0, 0]

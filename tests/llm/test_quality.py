@@ -1,0 +1,52 @@
+from collections import Counter
+
+import pyarrow as pa
+
+from mobility.llm import quality
+from tests.llm.brute import LONG, SHORT_TEXTS, SF, as_rows, documents, duck, edge_docs, empty_docs, same, table
+from tests.plan_text import plan_text
+
+
+def test_matches_sql(spark):
+    want = duck(quality.ORACLE, documents=table(SF, "documents"))
+    assert as_rows(quality.query(documents(spark))) == same(want)
+
+
+def test_repeated_windows_count_words_once():
+    rows = duck(
+        quality.SQL.format(source="documents"),
+        documents=pa.table({"doc_id": [1], "text": ["a b c a b c d a b"]}),
+    )
+    assert rows[0]["n_repeat_words"] == 6  # a b c twice; "a b" alone is no window
+
+
+def test_edge_rows(spark):
+    docs = edge_docs(spark, SHORT_TEXTS)
+    got = quality.query(docs)
+    frame = docs.select("doc_id", "text").toArrow()
+    assert as_rows(got) == same(duck(quality.ORACLE, documents=frame))
+    for r in got.filter("n_words = 0").collect():
+        assert r.base_failed and not r.kept and r.word_chars == r.n_symbols == r.n_dup_lines == r.n_repeat_words == 0
+    assert quality.query(empty_docs(spark)).collect() == []
+
+
+def test_long_text(spark):
+    words = LONG.split()
+    windows = list(zip(words, words[1:], words[2:]))
+    count = Counter(windows)
+    inside = {p for i, w in enumerate(windows) if count[w] > 1 for p in (i, i + 1, i + 2)}
+    row = quality.query(edge_docs(spark, [(8, LONG)])).first()
+    assert (row.n_words, row.n_repeat_words, row.n_dup_lines) == (len(words), len(inside), 0)
+
+
+def test_kept_documents_keep_rows_and_columns(spark):
+    docs = edge_docs(spark)
+    kept = quality.kept_documents(docs)
+    assert kept.schema == docs.schema
+    assert sorted(r.doc_id for r in kept.collect()) == [1, 1, 2]
+    assert quality.kept_documents(empty_docs(spark)).collect() == []
+
+
+def test_one_projection_without_python(spark):
+    plan = plan_text(quality.query(documents(spark)), "simple")
+    assert "Exchange" not in plan and "Python" not in plan and "Arrow" not in plan
