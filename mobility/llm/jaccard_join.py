@@ -163,13 +163,19 @@ def classes_of(signed: DataFrame) -> DataFrame:
 
 
 def prefix_lists(signed: DataFrame) -> DataFrame:
-    """(token, g, n, pos): the groups of every prefix shingle that at least two groups have."""
+    """(token, g, n, pos): the groups of every prefix shingle that at least two groups have.
+
+    Size and place travel as one number: this is the widest shuffle.
+    """
     groups = signed.filter("n > 0").groupBy("grp").agg(
         F.min(ROW).alias("g"), F.first("n").alias("n"), F.first("prefix").alias("prefix")
     )
-    entries = groups.select("g", "n", F.posexplode("prefix").alias("pos", "token"))
+    entries = groups.select("g", "n", F.posexplode("prefix").alias("pos", "token")).select(
+        "token", "g", F.shiftleft("n", 31).bitwiseOR(F.col("pos").cast("long")).alias("at")
+    )
     shared = entries.groupBy("token").agg(F.count(F.lit(1)).alias("groups")).filter("groups > 1").select("token")
-    return entries.join(shared, "token")
+    n, pos = F.shiftright("at", 31), F.col("at").bitwiseAND(F.lit((1 << 31) - 1)).cast("int")
+    return entries.join(shared, "token").select("token", "g", n.alias("n"), pos.alias("pos"))
 
 
 def _can_link(a: str, b: str, percent: int) -> Column:
@@ -232,15 +238,12 @@ def verified(pairs: DataFrame, docs: DataFrame, percent: int = PERCENT, shingle:
     so a task keeps one set and compares the others as they stream by.
     """
     pairs = written(pairs, "pairs")
-    members = pairs.select(F.col("a").alias(ROW)).unionByName(pairs.select(F.col("b").alias(ROW))).distinct()
-    members = written(members, "members")
-    small = members.count() <= BROADCAST_ROWS
-    texts = docs.select(ROW, "text").join(F.broadcast(members) if small else members, ROW, "left_semi")
-    texts = written(texts, "texts")
     shares = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / HUB_SHARE).alias("shares"))
-    dealt = pairs.join(shares, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("shares")).alias("share"))
-    hubs = dealt.select("a", "share").distinct().join(texts, F.col("a") == F.col(ROW)).select("a", "share", F.lit(None).cast("long").alias("b"), "text")
-    others = dealt.join(texts, F.col("b") == F.col(ROW)).select("a", "share", "b", "text")
+    dealt = pairs.join(shares, "a").select("a", F.pmod(F.xxhash64("b"), F.col("shares")).alias("share"), "b")
+    hubs = dealt.select("a", "share", F.lit(None).cast("long").alias("b")).distinct()
+    wanted = written(hubs.unionByName(dealt).withColumn(ROW, F.coalesce("b", "a")), "wanted")
+    small = wanted.count() <= BROADCAST_ROWS  # else the texts are shuffled to it
+    texts = docs.select(ROW, "text").join(F.broadcast(wanted) if small else wanted, ROW).select("a", "share", "b", "text")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hub = None
@@ -258,7 +261,7 @@ def verified(pairs: DataFrame, docs: DataFrame, percent: int = PERCENT, shingle:
             if linked:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*linked)], names=["u", "v"])
 
-    streamed = hubs.unionByName(others).repartition("a", "share").sortWithinPartitions("a", "share", F.col("b").asc_nulls_first())
+    streamed = texts.repartition("a", "share").sortWithinPartitions("a", "share", F.col("b").asc_nulls_first())
     return streamed.mapInArrow(compare, "u long, v long")
 
 
