@@ -144,14 +144,30 @@ def candidates(text: str, start: int, end: int) -> list[tuple[int, int]]:
 
 
 def passages(text: str) -> list[tuple[int, int]]:
-    """Stretches around digits and at-signs, merged where they touch; they end at the edges of tokens."""
+    """Stretches around digits and at-signs, merged where they touch; they cut no run of letters and digits."""
     out: list[list[int]] = []
-    for m in _TRIGGER.finditer(text):
-        a, b = max(m.start() - PASSAGE_CHARS, 0), min(m.end() + PASSAGE_CHARS, len(text))
+
+    def add(a: int, b: int) -> None:
         if out and a <= out[-1][1]:
-            out[-1][1] = b
+            out[-1][1] = max(out[-1][1], b)
         else:
             out.append([a, b])
+
+    near: list[list[int]] = []
+    for m in _TRIGGER.finditer(text):
+        a, b = max(m.start() - PASSAGE_CHARS, 0), min(m.end() + PASSAGE_CHARS, len(text))
+        if near and a <= near[-1][1]:
+            near[-1][1] = b
+        else:
+            near.append([a, b])
+    for a, b in near:
+        done = out[-1][1] if out else 0
+        while a > done and text[a - 1].isalnum() and text[a].isalnum():
+            a -= 1
+        b = max(b, done)
+        while b < len(text) and text[b - 1].isalnum() and text[b].isalnum():
+            b += 1
+        add(a, b)
     return [(a, b) for a, b in out]
 
 

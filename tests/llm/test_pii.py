@@ -44,6 +44,18 @@ def test_long_runs_are_linear():
         pii.base_spans(text)
 
 
+def test_passages_cut_no_token():
+    long = "x" * 500
+    for text in (f"{long}1{long} and {long}2", f"see {long}@{long}.org", "a1" * 4000, "1 " * 300 + long, "", "no trigger"):
+        found = pii.passages(text)
+        for a, b in found:
+            assert a == 0 or not (text[a - 1].isalnum() and text[a].isalnum())
+            assert b == len(text) or not (text[b - 1].isalnum() and text[b].isalnum())
+        assert all(x[1] < y[0] for x, y in zip(found, found[1:]))
+        covered = {i for a, b in found for i in range(a, b)}
+        assert all(m.start() in covered for m in pii._TRIGGER.finditer(text))
+
+
 def test_dynamic_programs_match_enumeration():
     rng = random.Random(2)
     for _ in range(40):
