@@ -75,6 +75,10 @@ def shared_dir(spark: SparkSession) -> str:
         if master != "local" and not master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = "file://" + tempfile.mkdtemp(prefix="llm-")
+    if "://" not in root:  # a bare path belongs to Spark's default store, also for readers outside of Spark
+        path = spark._jvm.org.apache.hadoop.fs.Path(root)
+        root = path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
+        root = "file://" + root.removeprefix("file:") if root.startswith("file:") else root
     return f"{root.rstrip('/')}/llm-{uuid.uuid4().hex}"
 
 

@@ -52,6 +52,23 @@ def test_token_file_round_trip(spark, encode):
     assert tokenfile.query(spark, empty_docs(spark)).collect() == []
 
 
+def test_shared_folder_is_a_full_uri(spark, tmp_path):
+    from types import SimpleNamespace
+
+    from mobility.llm.common import shared_dir
+
+    def session(setting, master="local[2]"):
+        context = SimpleNamespace(getConf=lambda: {"spark.checkpoint.dir": setting}, master=master)
+        unset = SimpleNamespace(get=lambda key, default=None: default)
+        return SimpleNamespace(sparkContext=context, conf=unset, _jvm=spark._jvm, _jsc=spark._jsc)
+
+    assert shared_dir(session(str(tmp_path))).startswith(f"file://{tmp_path}/llm-")
+    assert shared_dir(session("hdfs://store/x/")).startswith("hdfs://store/x/llm-")
+    assert shared_dir(session(None)).startswith("file:///")
+    with pytest.raises(ValueError):
+        shared_dir(session(None, "yarn"))
+
+
 def test_shard_reads_only_what_is_asked(tmp_path):
     writer = tokenfile.ShardWriter(f"file://{tmp_path}/s")
     docs = [np.arange(n, dtype="<u4") for n in (0, 5, 4000, 7)]
