@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 #: Largest lookup the operators broadcast, in bytes of its values.
 BROADCAST_MAX_BYTES = 16 << 20
+#: Row groups of stored texts: what a writing task buffers, and the least split of a later scan.
+ROW_GROUP_BYTES = 32 << 20
 #: Name of the internal row key; extra input columns never reach the operators,
 #: which select the two columns they need first, so it cannot clash.
 ROW = "_row"
@@ -27,9 +29,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(_row, doc_id, text) of every row: ids may repeat or be null, _row is unique.
 
-    The key comes from the position in the scan, so a retried task, and another
-    pass over the same table, give the same keys as the first.  That holds for
-    tables read from files; write the result of a shuffle before keying it.
+    The key comes from the position in the scan, which follows the scan's
+    splits, and these follow the cores that are registered when a job starts.
+    Another pass may therefore give other keys: whatever joins by the key reads
+    ``stored`` rows.
     """
     return docs.select(
         F.monotonically_increasing_id().alias(ROW), name(id_col).alias("doc_id"), name(text_col).alias("text")
@@ -41,7 +44,7 @@ DOC = "_doc"
 
 
 def rows(docs: DataFrame) -> DataFrame:
-    """(_row, _doc) of every row, with the keys of ``keyed``; no column name of ``docs`` can clash."""
+    """(_row, _doc) of every row, keyed like ``keyed``; no column name of ``docs`` can clash."""
     return docs.select(F.monotonically_increasing_id().alias(ROW), F.struct(*[name(c) for c in docs.columns]).alias(DOC))
 
 
@@ -82,14 +85,19 @@ def shared_dir(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/llm-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, **options: str) -> DataFrame:
     """``df`` written once to the shared folder and read back: cuts its lineage."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}"
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def stored(rows: DataFrame) -> DataFrame:
+    """The rows of ``keyed`` or ``rows`` written once: every pass over the result reads the same keys."""
+    return written(rows, "rows", compression="zstd", **{"parquet.block.size": str(ROW_GROUP_BYTES)})
+
+
 def ship(spark: SparkSession) -> None:
     """Sends this package to the Python workers, once a Spark context.
 

@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mobility.llm.common import BROADCAST_MAX_BYTES, ROW, keyed, let, rows, whole
+from mobility.llm.common import BROADCAST_MAX_BYTES, DOC, ROW, keyed, let, name, rows, stored, whole
 
 #: Fixed values of the contamination rule.
 WINDOW_WORDS = 13
@@ -209,8 +209,10 @@ def query(docs: DataFrame, items: DataFrame) -> DataFrame:
 
 def clean_documents(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs``, all columns, that are not contaminated."""
-    found = contamination(keyed(docs, id_col, text_col), items).filter("contaminated").select(ROW)
-    return rows(docs).join(found, ROW, "left_anti").select(*whole(docs))
+    every = stored(rows(docs))
+    texts = every.select(ROW, name(id_col, DOC).alias("doc_id"), name(text_col, DOC).alias("text"))
+    found = contamination(texts, items).filter("contaminated").select(ROW)
+    return every.join(found, ROW, "left_anti").select(*whole(docs))
 
 
 _WORDS = rf"regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"

@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mobility.llm.common import BROADCAST_MAX_BYTES, ROW, keyed, rows, ship, whole, written
+from mobility.llm.common import BROADCAST_MAX_BYTES, DOC, ROW, keyed, name, rows, ship, stored, whole, written
 from mobility.llm.components import components
 
 #: Link if 100 * intersection >= PERCENT * union.
@@ -266,7 +266,7 @@ def verified(pairs: DataFrame, docs: DataFrame, percent: int = PERCENT, shingle:
 
 
 def joined(docs: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE) -> DataFrame:
-    """(_row, doc_id, n_shingles, component_id, first) of every ``keyed`` document.
+    """(_row, doc_id, n_shingles, component_id, first) of every ``keyed`` document (``stored``: they are read several times).
 
     component_id is the least doc_id of the component; ``first`` is true for
     exactly one row of each (the first row that has this id), and for every
@@ -296,12 +296,14 @@ def joined(docs: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE) -> D
 
 
 def query(docs: DataFrame) -> DataFrame:
-    return joined(keyed(docs)).select("doc_id", "n_shingles", "component_id")
+    return joined(stored(keyed(docs))).select("doc_id", "n_shingles", "component_id")
 
 
 def one_of_each(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT, shingle: int = SHINGLE
 ) -> DataFrame:
     """The rows of ``docs``, all columns, without all but the first of every component."""
-    gone = joined(keyed(docs, id_col, text_col), percent, shingle).filter(~F.col("first")).select(ROW)
-    return rows(docs).join(gone, ROW, "left_anti").select(*whole(docs))
+    every = stored(rows(docs))
+    texts = every.select(ROW, name(id_col, DOC).alias("doc_id"), name(text_col, DOC).alias("text"))
+    gone = joined(texts, percent, shingle).filter(~F.col("first")).select(ROW)
+    return every.join(gone, ROW, "left_anti").select(*whole(docs))

@@ -25,7 +25,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from mobility.llm.common import DOC, ROW, name, rows, whole
+from mobility.llm.common import DOC, ROW, name, rows, stored, whole
 
 #: A value held by more distinct owners than this is a copied example.
 MAX_OWNERS = 2
@@ -79,18 +79,23 @@ def _looks_random(value: Column) -> Column:
     )
 
 
-def candidates(docs: DataFrame, text_col: str, repo_col: str, owner_col: str) -> DataFrame:
-    """(_row, repo, owner, kind, start, end, value) of every match that does not fail."""
+def holders(every: DataFrame, id_col: str = "doc_id", text_col: str = "text", repo_col: str = "doc_id", owner_col: str = "source") -> DataFrame:
+    """(_row, doc_id, text, repo, owner) of every stored row."""
+    return every.select(
+        ROW,
+        name(id_col, DOC).alias("doc_id"),
+        name(text_col, DOC).alias("text"),
+        name(repo_col, DOC).cast("string").alias("repo"),
+        name(owner_col, DOC).cast("string").alias("owner"),
+    )
+
+
+def candidates(docs: DataFrame) -> DataFrame:
+    """(_row, repo, owner, kind, start, end, digest) of every match in ``holders`` that does not fail."""
     text = F.col("text")
     found = F.array(*[F.when(text.rlike(k.pattern), _pieces(text, k)) for k in KINDS])
     matched = (
-        docs.select(
-            F.monotonically_increasing_id().alias(ROW),
-            name(repo_col).cast("string").alias("repo"),
-            name(owner_col).cast("string").alias("owner"),
-            name(text_col).alias("text"),
-        )
-        .select(ROW, "repo", "owner", F.explode(F.filter(found, lambda x: x.isNotNull())).alias("f"))
+        docs.select(ROW, "repo", "owner", F.explode(F.filter(found, lambda x: x.isNotNull())).alias("f"))
         .select(ROW, "repo", "owner", "f.kind", F.posexplode("f.p").alias("i", "p"))
         .select(
             ROW,
@@ -145,15 +150,9 @@ def ownership(found: DataFrame) -> DataFrame:
     return repos.groupBy("digest").agg(F.count(F.lit(1)).alias("n_owners"), F.sum("n").alias("n_repos"))
 
 
-def scan(
-    docs: DataFrame,
-    text_col: str = "text",
-    repo_col: str = "doc_id",
-    owner_col: str = "source",
-    max_owners: int = MAX_OWNERS,
-) -> DataFrame:
-    """(_row, kind, start, end, digest, n_owners, n_repos, live) of every reported finding."""
-    found = without_base_overlap(candidates(docs, text_col, repo_col, owner_col))
+def scan(docs: DataFrame, max_owners: int = MAX_OWNERS) -> DataFrame:
+    """(_row, kind, start, end, digest, n_owners, n_repos, live) of every reported finding in ``holders``."""
+    found = without_base_overlap(candidates(docs))
     judged = found.join(ownership(found), "digest")
     live = F.col("n_owners") <= max_owners
     return judged.withColumn("live", live).filter((F.col("kind") != ENTROPY.name) | live).drop("repo", "owner")
@@ -163,13 +162,13 @@ def _listed(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
 
-def by_document(docs: DataFrame, **columns: str) -> DataFrame:
-    """One row a document with the sorted spans of each class, documents without findings included."""
+def by_document(docs: DataFrame) -> DataFrame:
+    """One row a document of ``holders`` with the sorted spans of each class, documents without findings included."""
     rank = F.create_map(*[x for i, k in enumerate(KINDS) for x in (F.lit(k.name), F.lit(i))])
     span = F.struct("start", rank[F.col("kind")].alias("rank"), "kind", "end")
     base = F.col("kind") != ENTROPY.name
     found = (
-        scan(docs, **{k: v for k, v in columns.items() if k != "id_col"})
+        scan(docs)
         .groupBy(ROW)
         .agg(
             F.sort_array(F.collect_list(F.when(base, span))).alias("base_spans"),
@@ -178,7 +177,7 @@ def by_document(docs: DataFrame, **columns: str) -> DataFrame:
             F.count(F.when(~F.col("live"), 1)).alias("n_examples"),
         )
     )
-    every = docs.select(F.monotonically_increasing_id().alias(ROW), name(columns.get("id_col", "doc_id")).alias("doc_id"))
+    every = docs.select(ROW, "doc_id")
     empty = F.array().cast("array<struct<start:bigint,rank:int,kind:string,end:bigint>>")
     return every.join(found, ROW, "left").withColumns(
         {
@@ -194,7 +193,8 @@ def query(docs: DataFrame) -> DataFrame:
     def count(kind: str) -> Column:
         return F.size(F.filter("base_spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
 
-    return by_document(docs).select(
+    every = stored(rows(docs.select("doc_id", "text", "source")))
+    return by_document(holders(every)).select(
         "doc_id",
         *[count(k.name) for k in BASE],
         F.sha2(_listed(F.col("base_spans")), 256).alias("base_sha256"),
@@ -222,10 +222,11 @@ def masked_documents(docs: DataFrame, text_col: str = "text", mask: str = "[SECR
         )
 
     cleaned = F.aggregate("all_spans", start, step, lambda acc: F.concat(acc["out"], _tail(text, acc["end"])))
-    found = by_document(docs, text_col=text_col, **columns).select(ROW, "all_spans").filter(F.size("all_spans") > 0)
+    every = stored(rows(docs))
+    found = by_document(holders(every, text_col=text_col, **columns)).select(ROW, "all_spans").filter(F.size("all_spans") > 0)
     masked = F.when(F.col("all_spans").isNull(), text).otherwise(cleaned)
     changed = {text_col: masked, "n_chars": F.length(masked).cast("long")}
-    joined = rows(docs).join(found, ROW, "left")
+    joined = every.join(found, ROW, "left")
     return joined.select(*[changed[c].alias(c) if c in changed else x for c, x in zip(docs.columns, whole(docs))])
 
 

@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mobility.llm.common import BROADCAST_MAX_BYTES, ROW, keyed, ship, written
+from mobility.llm.common import BROADCAST_MAX_BYTES, ROW, keyed, ship, stored, written
 
 SPAN = 200
 #: Bytes of a hashed string within a window.
@@ -350,7 +350,7 @@ def _pieces(docs: DataFrame, classes: DataFrame) -> DataFrame:
 
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(_row, doc_id, n_bytes, n_removed, n_spans, kept) of every row; ``kept``: the bytes that remain."""
-    data = keyed(docs, id_col, text_col).select(ROW, "doc_id", F.coalesce("text", F.lit("")).cast("binary").alias("data"))
+    data = stored(keyed(docs, id_col, text_col)).select(ROW, "doc_id", F.coalesce("text", F.lit("")).cast("binary").alias("data"))
     ranges = repeated_ranges(data).groupBy(ROW).agg(
         F.sort_array(F.collect_list(F.struct("start", "end"))).alias("ranges")
     )
