@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mobility.llm.common import ROW, keyed, ship
-from mobility.llm.tokens import ID, Encoder, chunk_keys, encoder, vocabulary
+from mobility.llm.tokens import ID, Encoder, encoder, vocabulary
 
 #: Chunks of a leaf when the tree is built.
 LEAF_CHUNKS = 32
@@ -47,7 +47,7 @@ class CountTree:
 
     def __init__(self, text: str, encode: Encoder, keys: list[str] | None = None, known: dict[str, bytes] | None = None):
         self.encode = encode
-        keys = chunk_keys(text) if keys is None else keys
+        keys = encode.keys(text) if keys is None else keys
         known = encode.learned(keys) if known is None else known
         self.n_chunks = len(keys)
         self.n_encoded = 0  # chunks encoded again since the tree was built
@@ -90,7 +90,7 @@ class CountTree:
         return node - self.width, start
 
     def _set(self, leaf: int, text: str) -> None:
-        keys = chunk_keys(text) if text else []
+        keys = self.encode.keys(text) if text else []
         known = self.encode.learned(keys)
         self.n_encoded += len(keys)
         tokens = sum(len(known[k]) for k in keys) // ID.itemsize
@@ -112,7 +112,12 @@ class CountTree:
             before, at = self._leaf(at - 1)
         else:
             before = first
+        if self.encode.spaced:  # an added token's string may lie in several blocks
+            before, last, at = 0, len(self.leaves) - 1, 0
         region = "".join(self.leaves[before : last + 1])
+        if self.encode.holds(region[: start - at] + new + region[end - at :]):  # such a text is one block
+            before, last, at = 0, len(self.leaves) - 1, 0
+            region = self.text()
         for leaf in range(before + 1, last + 1):
             if self.leaves[leaf]:
                 self._set(leaf, "")
@@ -159,7 +164,7 @@ def counted(docs: DataFrame, vocabulary_path: str, edits_of: Callable[[str], lis
             for at in range(0, batch.num_rows, TEXTS):
                 part = batch.slice(at, TEXTS)
                 texts = part.column(2).to_pylist()
-                keys = [chunk_keys(t) for t in texts]
+                keys = [encode.keys(t) for t in texts]
                 known = encode.learned([k for ks in keys for k in ks])
                 out = []
                 for text, ks in zip(texts, keys):

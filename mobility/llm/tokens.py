@@ -4,6 +4,8 @@ A text is cut before every space that a non-space follows.  The pre-tokenizer
 of a byte-level BPE always starts a new pre-token there and looks no further
 than the next white space, so the ids of a text are the ids of its chunks in
 order, exactly.  Chunks recur, so their ids are cached per worker process.
+An added token's string (such as ``<|endoftext|>``) is matched before the
+pre-tokenizer and ends the text before it, so a text that holds one is one chunk.
 """
 
 from __future__ import annotations
@@ -70,11 +72,20 @@ class Encoder:
 
     def __init__(self, path: str, cache_bytes: int = CACHE_BYTES):
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.spaced = any(" " in a for a in self.added)  # joined chunks could make such a string
         self.tokenizer.post_processor = ByteLevel(trim_offsets=False)  # a token's offset includes its space
         self.cache: dict[str, bytes] = {}
         self.cache_bytes, self.used = cache_bytes, 0
 
+    def holds(self, text: str) -> bool:
+        """Whether an added token's string is in ``text``."""
+        return any(a in text for a in self.added)
+
+    def keys(self, text: str) -> list[str]:
+        """``chunk_keys`` of a text; one key if it holds an added token's string."""
+        return [" " + text] if self.holds(text) else chunk_keys(text)
+
     def learned(self, keys: list[str]) -> dict[str, bytes]:
         """A mapping that holds the ids of every one of ``keys``; the cache is emptied when full."""
         new = [k for k in set(keys) if k not in self.cache]
@@ -94,8 +105,9 @@ class Encoder:
         """The ids of new chunks.  Chunks that start with their space are encoded joined and cut apart at their starts."""
         out = {}
         inner = [k for k in keys if k[0] != " "]
-        for at in range(0, len(inner), JOINED_CHUNKS):
-            part = inner[at : at + JOINED_CHUNKS]
+        step = 1 if self.spaced else JOINED_CHUNKS
+        for at in range(0, len(inner), step):
+            part = inner[at : at + step]
             found = self.tokenizer.encode(" " + " ".join(part), add_special_tokens=False)
             starts = np.fromiter((o[0] for o in found.offsets), np.int64, len(found))
             ends = np.cumsum(np.fromiter((len(k) + 1 for k in part), np.int64, len(part)))
@@ -109,7 +121,7 @@ class Encoder:
 
     def encoded(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, little-endian unsigned 32-bit."""
-        keys = [chunk_keys(t) for t in texts]
+        keys = [self.keys(t) for t in texts]
         known = self.learned([k for ks in keys for k in ks])
         return [b"".join(map(known.__getitem__, ks)) for ks in keys]
 

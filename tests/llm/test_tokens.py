@@ -29,6 +29,22 @@ def test_chunks_encode_like_the_tokenizer(encode):
         assert np.frombuffer(encode.encoded([text])[0], tokens.ID).tolist() == plain(encode, text)
 
 
+def test_added_tokens_encode_like_a_fresh_tokenizer(encode):
+    fresh = tokens.Tokenizer.from_file(tokens.vocabulary())
+    rng = random.Random(4)
+    for _ in range(500):
+        text = "".join(rng.choice([*PARTS, "<|endoftext|>", "  <|endoftext|>"]) for _ in range(rng.randint(1, 14)))
+        ids = fresh.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(encode.encoded([text, "plain text"])[0], tokens.ID).tolist() == ids
+    assert fresh.encode("a<|endoftext|>", add_special_tokens=False).ids[-1] == 50256
+    text = " ".join(f"word{i}" for i in range(200))
+    tree = edit_counts.CountTree(text, encode)
+    for a, b, new in ((700, 700, "  <|endoftext|> "), (0, 0, "x  "), (702, 707, ""), (50, 60, " y"), (90, 90, "<|endoftext|>")):
+        tree.replace(a, b, new)
+        text = text[:a] + new + text[b:]
+        assert (tree.text(), tree.n_tokens) == (text, len(fresh.encode(text, add_special_tokens=False).ids))
+
+
 def test_full_cache_changes_nothing(encode):
     small = tokens.Encoder(tokens.vocabulary(), cache_bytes=2000)
     texts = [f"word{i} other{i % 7} and\nmore{i}" for i in range(60)] + ["x" * 5000]
