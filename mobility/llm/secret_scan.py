@@ -2,9 +2,9 @@ r"""Secret scans by corpus-wide ownership frequency, on native functions only.
 
 Base patterns and a wider high-entropy pattern propose candidate values.  The
 digest of every value is aggregated over the whole corpus by distinct
-repositories and owners: a value in the hands of many owners is a widely
-copied example, one that few owners hold looks like a live credential of
-theirs.  Base findings are always reported, with that verdict; high-entropy
+repositories and owners: a value in the hands of many owners, or in many
+repositories of each, is a widely copied example; one that few owners hold in
+few places looks like a live credential of theirs.  Base findings are always reported, with that verdict; high-entropy
 candidates are added only where the corpus says they are owner-specific.
 
 Positions come from native functions too: the pieces between matches (split)
@@ -29,6 +29,8 @@ from mobility.llm.common import DOC, ROW, name, rows, stored, whole
 
 #: A value held by more distinct owners than this is a copied example.
 MAX_OWNERS = 2
+#: So is a value in more distinct repositories than this for each of its owners.
+MAX_REPOS = 10
 
 
 @dataclass(frozen=True)
@@ -150,11 +152,11 @@ def ownership(found: DataFrame) -> DataFrame:
     return repos.groupBy("digest").agg(F.count(F.lit(1)).alias("n_owners"), F.sum("n").alias("n_repos"))
 
 
-def scan(docs: DataFrame, max_owners: int = MAX_OWNERS) -> DataFrame:
+def scan(docs: DataFrame, max_owners: int = MAX_OWNERS, max_repos: int = MAX_REPOS) -> DataFrame:
     """(_row, kind, start, end, digest, n_owners, n_repos, live) of every reported finding in ``holders``."""
     found = without_base_overlap(candidates(docs))
     judged = found.join(ownership(found), "digest")
-    live = F.col("n_owners") <= max_owners
+    live = (F.col("n_owners") <= max_owners) & (F.col("n_repos") <= max_repos * F.col("n_owners"))
     return judged.withColumn("live", live).filter((F.col("kind") != ENTROPY.name) | live).drop("repo", "owner")
 
 
@@ -165,7 +167,7 @@ def _listed(spans: Column) -> Column:
 def by_document(docs: DataFrame) -> DataFrame:
     """One row a document of ``holders`` with the sorted spans of each class, documents without findings included."""
     rank = F.create_map(*[x for i, k in enumerate(KINDS) for x in (F.lit(k.name), F.lit(i))])
-    span = F.struct("start", rank[F.col("kind")].alias("rank"), "kind", "end")
+    span = F.struct("start", rank[F.col("kind")].alias("rank"), "kind", "end", F.col("n_repos").alias("repos"))
     base = F.col("kind") != ENTROPY.name
     found = (
         scan(docs)
@@ -178,7 +180,7 @@ def by_document(docs: DataFrame) -> DataFrame:
         )
     )
     every = docs.select(ROW, "doc_id")
-    empty = F.array().cast("array<struct<start:bigint,rank:int,kind:string,end:bigint>>")
+    empty = F.array().cast("array<struct<start:bigint,rank:int,kind:string,end:bigint,repos:bigint>>")
     return every.join(found, ROW, "left").withColumns(
         {
             "base_spans": F.coalesce("base_spans", empty),
@@ -199,6 +201,7 @@ def query(docs: DataFrame) -> DataFrame:
         *[count(k.name) for k in BASE],
         F.sha2(_listed(F.col("base_spans")), 256).alias("base_sha256"),
         _listed(F.col("all_spans")).alias("spans"),
+        F.array_join(F.col("all_spans.repos").cast("array<string>"), ",").alias("span_repos"),
         "n_live",
         "n_examples",
     )

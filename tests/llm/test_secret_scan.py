@@ -44,6 +44,17 @@ def test_ownership_separates_examples_from_credentials(spark):
     assert got[12].spans == "assign:0:19" and (got[12].n_live, got[12].n_examples) == (0, 1)
 
 
+def test_copies_within_one_owner_are_an_example(spark):
+    n = 2 * secret_scan.MAX_REPOS
+    rows = [(i, f"key {RANDOM} here", f"owner{i % 2}") for i in range(n + 1)] + [(100, f"key {RANDOM[::-1]} here", "owner1")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = {r.doc_id: r for r in secret_scan.query(docs).collect()}
+    assert got[0].spans == "" and got[0].n_live == 0
+    assert (got[100].spans, got[100].span_repos, got[100].n_live) == ("entropy:4:28", "1", 1)
+    got = secret_scan.query(docs.filter(f"doc_id < {n}")).collect()
+    assert {(r.spans, r.span_repos, r.n_live) for r in got} == {("entropy:4:28", str(n), 1)}
+
+
 def test_masked_documents(spark):
     docs = edge_docs(spark)
     masked = secret_scan.masked_documents(docs)
