@@ -320,11 +320,14 @@ def train(examples: list[Example], rounds: int = ROUNDS) -> Field:
 
 
 def fit(docs: DataFrame, sample: int = SAMPLE) -> Field | None:
-    """Trains on about ``sample`` passages of (_row, text) documents; None if none has a base span."""
+    """Trains on about ``sample`` passages of (doc_id, text) documents; None if none has a base span.
+
+    The draw depends on ids and texts only, not on where a scan finds them.
+    """
     ship(docs.sparkSession)
     some = docs.filter(F.col("text").rlike("[0-9@]"))
     n = some.count()
-    draw = F.pmod(F.xxhash64(ROW, F.lit(3)), F.lit(1 << 30)) / (1 << 30)
+    draw = F.pmod(F.xxhash64("doc_id", "text", F.lit(3)), F.lit(1 << 30)) / (1 << 30)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -337,7 +340,8 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> Field | None:
                 yield pa.RecordBatch.from_arrays([pa.array(found)], names=["passage"])
 
     chosen = some.filter(draw < sample / max(n, 1)).select("text").mapInArrow(cut, "passage string")
-    texts = sorted(r["passage"] for r in chosen.limit(4 * sample).collect())
+    chosen = chosen.orderBy(F.xxhash64("passage"), "passage").limit(4 * sample)
+    texts = sorted(r["passage"] for r in chosen.collect())
     examples: list[Example] = []
     for text in texts:
         spans = [s for s in base_spans(text)]

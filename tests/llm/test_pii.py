@@ -79,6 +79,15 @@ def field(spark):
     return pii.fit(keyed(documents(spark, "/root/testdata/sf0.01")))
 
 
+@pytest.mark.parametrize("sample", [5, 60])
+def test_sample_does_not_depend_on_splits(spark, monkeypatch, sample):
+    monkeypatch.setattr(pii, "train", lambda examples: examples)
+    docs = documents(spark)
+    moved = docs.repartition(3, "doc_id")  # other positions for the same documents
+    found = pii.fit(keyed(docs), sample)
+    assert found and pii.fit(keyed(moved), sample) == found
+
+
 def test_field_adds_what_the_patterns_miss(field):
     added = lambda t: [s for s in pii.all_spans(t, field)[1] if s not in pii.all_spans(t, field)[0]]
     assert added("please call (017) 555-7713 now") == [(12, 26, "phone")]
