@@ -17,6 +17,7 @@ from mobility.llm import (
     secret_scan,
     suffix_dedup,
     tokenfile,
+    topk,
 )
 from mobility.llm.common import table
 
@@ -61,6 +62,10 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.query(table(spark, sf_dir, "documents"))
 
 
+def op11_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.query(table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_language_id": op1_language_id,
@@ -73,6 +78,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_secret_scan": op8_secret_scan,
         "op9_edit_counts": op9_edit_counts,
         "op10_jaccard_join": op10_jaccard_join,
+        "op11_topk_search": op11_topk_search,
     }
 
 
@@ -80,4 +86,5 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op4_quality_rules": quality.ORACLE,
         "op5_decontamination": decontaminate.ORACLE,
+        "op11_topk_search": topk.ORACLE,
     }
