@@ -15,6 +15,7 @@ from mobility.llm import (
     pii,
     quality,
     secret_scan,
+    spelling,
     suffix_dedup,
     tokenfile,
     topk,
@@ -66,6 +67,10 @@ def op11_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.query(table(spark, sf_dir, "embeddings"))
 
 
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.query(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_language_id": op1_language_id,
@@ -79,6 +84,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_edit_counts": op9_edit_counts,
         "op10_jaccard_join": op10_jaccard_join,
         "op11_topk_search": op11_topk_search,
+        "op13_spelling_variants": op13_spelling_variants,
     }
 
 
