@@ -29,32 +29,30 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mobility.llm.common import ROW, keyed, ship
-from mobility.llm.tokens import ID, Encoder, encoder, vocabulary
+from mobility.llm.tokens import ID, VISIBLE, Encoder, encoder, vocabulary
 
-#: Chunks of a leaf when the tree is built.
+#: Chunks of a leaf when the tree is built (more, up to the next place where one may start).
 LEAF_CHUNKS = 32
+#: A pre-token starts here whatever is before it.
+_LEAF_START = re.compile(f" [{VISIBLE}]")
 TEXTS = 64
 
 Edit = tuple[int, int, str]
 
 
 class CountTree:
-    """Token counts of one text under edits.
+    """Token counts of one text under edits."""
 
-    ``keys`` and ``known`` (the text's chunk keys and their ids) may be given
-    where many texts were looked up at once.
-    """
-
-    def __init__(self, text: str, encode: Encoder, keys: list[str] | None = None, known: dict[str, bytes] | None = None):
+    def __init__(self, text: str, encode: Encoder):
         self.encode = encode
-        keys = encode.keys(text) if keys is None else keys
-        known = encode.learned(keys) if known is None else known
+        keys = encode.chunks(text) or [""]
         self.n_chunks = len(keys)
         self.n_encoded = 0  # chunks encoded again since the tree was built
-        sizes = np.fromiter(map(len, keys), np.int64, len(keys)) + 1
-        sizes[0] -= 2  # the first key carries a mark in place of its space
-        tokens = np.fromiter((len(known[k]) for k in keys), np.int64, len(keys)) // ID.itemsize
-        starts = np.arange(0, len(keys), LEAF_CHUNKS)
+        sizes = np.fromiter(map(len, keys), np.int64, len(keys))
+        tokens = np.fromiter((len(encode[k]) for k in keys), np.int64, len(keys)) // ID.itemsize
+        cuts = np.flatnonzero(np.fromiter((bool(_LEAF_START.match(k)) for k in keys), bool, len(keys)))
+        apart = np.searchsorted(cuts, np.arange(LEAF_CHUNKS, len(keys), LEAF_CHUNKS))
+        starts = np.concatenate([[0], np.unique(cuts[apart[apart < len(cuts)]])]).astype(np.int64)
         chars = np.add.reduceat(sizes, starts)
         ends = np.cumsum(chars).tolist()
         self.leaves = [text[a:b] for a, b in zip([0, *ends], ends)]
@@ -90,10 +88,9 @@ class CountTree:
         return node - self.width, start
 
     def _set(self, leaf: int, text: str) -> None:
-        keys = self.encode.keys(text) if text else []
-        known = self.encode.learned(keys)
+        keys = self.encode.chunks(text)
         self.n_encoded += len(keys)
-        tokens = sum(len(known[k]) for k in keys) // ID.itemsize
+        tokens = sum(len(self.encode[k]) for k in keys) // ID.itemsize
         self.leaves[leaf] = text
         node = self.width + leaf
         more_chars, more_tokens = len(text) - self.chars[node], tokens - self.tokens[node]
@@ -164,11 +161,9 @@ def counted(docs: DataFrame, vocabulary_path: str, edits_of: Callable[[str], lis
             for at in range(0, batch.num_rows, TEXTS):
                 part = batch.slice(at, TEXTS)
                 texts = part.column(2).to_pylist()
-                keys = [encode.keys(t) for t in texts]
-                known = encode.learned([k for ks in keys for k in ks])
                 out = []
-                for text, ks in zip(texts, keys):
-                    tree = CountTree(text, encode, ks, known)
+                for text in texts:
+                    tree = CountTree(text, encode)
                     before, edits = tree.n_tokens, edits_of(text)
                     tree.apply(edits)
                     out.append((before, len(edits), tree.n_tokens, tree.n_chunks, tree.n_encoded))

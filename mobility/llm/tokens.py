@@ -1,33 +1,63 @@
-"""Encoding with a public byte-level BPE through the tokenizers library, with a bounded chunk cache.
-
-A text is cut before every space that a non-space follows.  The pre-tokenizer
-of a byte-level BPE always starts a new pre-token there and looks no further
-than the next white space, so the ids of a text are the ids of its chunks in
-order, exactly.  Chunks recur, so their ids are cached per worker process.
-An added token's string (such as ``<|endoftext|>``) is matched before the
-pre-tokenizer and ends the text before it, so a text that holds one is one chunk.
+r"""Encoding with public tokenizers, with a bounded chunk cache per worker process.
+
+A byte-level BPE (tokenizers library) merges within pre-tokens only.  A text is
+cut at places where its pre-tokenizer starts a new pre-token whatever the rest
+of the text is, so the ids of a text are the ids of its chunks in order,
+exactly.  Chunks recur, so their ids are cached.  The places, with letters,
+digits and marks of fixed ranges (which every Unicode version classes alike):
+
+* before a space that a visible character follows;
+* after a run of letters, or of digits, that an ASCII character follows;
+* after a run of ASCII marks (no apostrophe) before a letter, digit, space or
+  line break;
+* after a line break between visible characters.
+
+A new chunk that is one pre-token goes straight to the library's BPE model;
+others (and vocabularies of another kind) go through its whole encoder.  An
+added token's string (such as ``<|endoftext|>``) is matched before the
+pre-tokenizer and ends the text before it, so a text that holds one is one
+chunk; with ``plain`` such strings are ordinary text.
+
+A sentencepiece BPE merges wherever a piece allows it.  ``PieceEncoder`` uses
+the same places (but no cut between two spaces) if the vocabulary has no piece
+that spans one, which it checks, and whole texts otherwise.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
+import struct
+from collections.abc import Callable
 from functools import lru_cache
 
 import numpy as np
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks are the parallelism
 
+import sentencepiece  # noqa: E402
 from tokenizers import Tokenizer  # noqa: E402
-from tokenizers.processors import ByteLevel  # noqa: E402
 
 #: Bytes of chunks and ids that a worker keeps.
 CACHE_BYTES = 180 << 20
-#: New chunks encoded at once.
-JOINED_CHUNKS = 1000
 #: Little-endian unsigned 32-bit ids.
 ID = np.dtype("<u4")
 
+LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
+MARKS = r"!-&(-/:-@\[-`{-~"
+VISIBLE = f"!-~{LETTERS}"
+#: One pre-token.
+SINGLE = re.compile(f" ?(?:[{LETTERS}]+|[0-9]+|[{MARKS}]+)")
+_RUNS = (
+    rf" ?[{LETTERS}]++(?![^\x00-\x7F])| ?[0-9]++(?![^\x00-\x7F])"
+    rf"| ?[{MARKS}]++(?=[{LETTERS}0-9 \n]|\Z)|\n(?=[{VISIBLE}])"
+)
+#: Tiles a text; what is none of the runs goes on to the next space before a visible character.
+CHUNK = re.compile(rf"{_RUNS}|(?s:.)+?(?= [{VISIBLE}]|\Z)")
+#: ``CHUNK`` without a cut between two spaces.
+PIECE_CHUNK = re.compile(rf"{_RUNS}|(?s:.)+?(?=(?<! ) [{VISIBLE}]|\Z)")
+
 
 def vocabulary(name: str = "byte_bpe_50k.json") -> str:
     """Path of a public vocabulary file (a parameter of every operator)."""
@@ -36,97 +66,146 @@ def vocabulary(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
-#: A space that ends no chunk: white space or the text's end follows.
-_INNER = re.compile(r" (?:\s|\Z)")
+def byte_characters() -> list[str]:
+    """The character that stands for each byte in a byte-level vocabulary: printable ones themselves, others from U+0100 on."""
+    printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in printable]
+    return [chr(b) if b in printable else chr(256 + others.index(b)) for b in range(256)]
 
 
-def chunk_keys(text: str) -> list[str]:
-    """The chunks of ``text`` in order, as keys: the first chunk after a space, any other without its space.
+_BYTE_CHARACTERS = dict(enumerate(byte_characters()))
 
-    Keys are therefore unambiguous: only a first chunk's key starts with white space.
-    """
-    parts = text.split(" ")
-    if not _INNER.search(text):
-        parts[0] = " " + parts[0]
-        return parts
-    out = [" " + parts[0]]
-    for p in parts[1:]:
-        if not p or p[0].isspace():
-            out[-1] += " " + p
-        else:
-            out.append(p)
-    return out
+
+def _packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
 
 
-def chunk_of(key: str) -> str:
-    """The piece of text that a key stands for; a text's chunks concatenate to it."""
-    return key[1:] if key[0] == " " else " " + key
+class ChunkEncoder(dict):
+    """A mapping that answers for every chunk with its ids as bytes, and a bounded cache of them.
+
+    It holds two generations.  The younger one (the mapping itself) takes new
+    chunks and those found in the older one; when it has its share of
+    ``cache_bytes`` it becomes the older one, so what recurs stays.
+    """
 
+    def __init__(self, cache_bytes: int):
+        super().__init__()
+        self.old: dict[str, bytes] = {}
+        self.half, self.used = cache_bytes // 2, 0
+
+    def chunks(self, text: str) -> list[str]:
+        """The chunks of a text, which concatenate to it."""
+        raise NotImplementedError
+
+    def fresh(self, chunk: str) -> bytes:
+        """The ids of a chunk that is not cached."""
+        raise NotImplementedError
+
+    def __missing__(self, chunk: str) -> bytes:
+        ids = self.old.get(chunk)
+        if ids is None:
+            ids = self.fresh(chunk)
+        cost = 170 + 3 * len(chunk) + len(ids)
+        if self.used + cost > self.half:
+            self.old, self.used = dict(self), 0
+            self.clear()
+        if cost <= self.half:
+            self[chunk] = ids
+            self.used += cost
+        return ids
 
-def _cost(keys: list[str]) -> int:
-    return 150 * len(keys) + 4 * sum(map(len, keys))
+    def encoded(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text, little-endian unsigned 32-bit."""
+        return [b"".join(map(self.__getitem__, self.chunks(t))) for t in texts]
 
 
-class Encoder:
-    """ids of texts as bytes, from a cache of chunk ids."""
+class Encoder(ChunkEncoder):
+    """A byte-level BPE of the tokenizers library."""
 
-    def __init__(self, path: str, cache_bytes: int = CACHE_BYTES):
+    def __init__(self, path: str, cache_bytes: int = CACHE_BYTES, plain: bool = False):
+        super().__init__(cache_bytes)
         self.tokenizer = Tokenizer.from_file(path)
-        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.spaced = any(" " in a for a in self.added)  # joined chunks could make such a string
-        self.tokenizer.post_processor = ByteLevel(trim_offsets=False)  # a token's offset includes its space
-        self.cache: dict[str, bytes] = {}
-        self.cache_bytes, self.used = cache_bytes, 0
+        self.tokenizer.encode_special_tokens = plain
+        tokens = self.tokenizer.get_added_tokens_decoder().values()
+        self.added = [t.content for t in tokens if not (plain and t.special)]
+        self.spaced = any(" " in a for a in self.added)
+        parts = json.loads(self.tokenizer.to_str())
+        before, model = parts["pre_tokenizer"] or {}, parts["model"]
+        #: Whether the places above are this tokenizer's.
+        self.cuts = (
+            parts["normalizer"] is None and before.get("type") == "ByteLevel" and before.get("use_regex", True)
+            and not before.get("add_prefix_space") and model["type"] == "BPE" and not model.get("dropout")
+            and not model.get("continuing_subword_prefix") and not model.get("end_of_word_suffix")
+        )
+        self.model = self.tokenizer.model
 
     def holds(self, text: str) -> bool:
         """Whether an added token's string is in ``text``."""
         return any(a in text for a in self.added)
 
-    def keys(self, text: str) -> list[str]:
-        """``chunk_keys`` of a text; one key if it holds an added token's string."""
-        return [" " + text] if self.holds(text) else chunk_keys(text)
-
-    def learned(self, keys: list[str]) -> dict[str, bytes]:
-        """A mapping that holds the ids of every one of ``keys``; the cache is emptied when full."""
-        new = [k for k in set(keys) if k not in self.cache]
-        cost = _cost(new)
-        if self.used + cost > self.cache_bytes:
-            self.cache, self.used = {}, 0
-            new = list(set(keys))
-            cost = _cost(new)
-        found = self._fresh(new) if new else {}
-        if cost > self.cache_bytes:
-            return found
-        self.cache.update(found)
-        self.used += cost
-        return self.cache
-
-    def _fresh(self, keys: list[str]) -> dict[str, bytes]:
-        """The ids of new chunks.  Chunks that start with their space are encoded joined and cut apart at their starts."""
-        out = {}
-        inner = [k for k in keys if k[0] != " "]
-        step = 1 if self.spaced else JOINED_CHUNKS
-        for at in range(0, len(inner), step):
-            part = inner[at : at + step]
-            found = self.tokenizer.encode(" " + " ".join(part), add_special_tokens=False)
-            starts = np.fromiter((o[0] for o in found.offsets), np.int64, len(found))
-            ends = np.cumsum(np.fromiter((len(k) + 1 for k in part), np.int64, len(part)))
-            cuts = (ID.itemsize * np.searchsorted(starts, ends)).tolist()
-            ids = np.array(found.ids, ID).tobytes()
-            out.update((k, ids[a:b]) for k, a, b in zip(part, [0, *cuts], cuts))
-        first = [k for k in keys if k[0] == " "]
-        for k, e in zip(first, self.tokenizer.encode_batch([chunk_of(k) for k in first], add_special_tokens=False)):
-            out[k] = np.array(e.ids, ID).tobytes()
-        return out
+    def chunks(self, text: str) -> list[str]:
+        if not self.cuts or self.holds(text):
+            return [text]
+        return CHUNK.findall(text)
 
-    def encoded(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text, little-endian unsigned 32-bit."""
-        keys = [self.keys(t) for t in texts]
-        known = self.learned([k for ks in keys for k in ks])
-        return [b"".join(map(known.__getitem__, ks)) for ks in keys]
+    def fresh(self, chunk: str) -> bytes:
+        if not (self.cuts and SINGLE.fullmatch(chunk)):
+            return _packed(self.tokenizer.encode(chunk, add_special_tokens=False).ids)
+        if not chunk.isascii():
+            chunk = chunk.encode().decode("latin-1").translate(_BYTE_CHARACTERS)
+        elif chunk[0] == " ":
+            chunk = _BYTE_CHARACTERS[32] + chunk[1:]
+        return _packed([t.id for t in self.model.tokenize(chunk)])
+
+    def token_bytes(self) -> list[bytes]:
+        """The bytes of every id of a byte-level vocabulary."""
+        byte = {c: b for b, c in _BYTE_CHARACTERS.items()}
+        tokens = [self.tokenizer.id_to_token(i) for i in range(self.tokenizer.get_vocab_size())]
+        return [bytes(byte[c] for c in t) if t and all(c in byte for c in t) else (t or "").encode() for t in tokens]
+
+
+def _spans_a_cut(piece: str) -> bool:
+    """Whether a piece (with spaces) could reach over a place of ``PIECE_CHUNK``."""
+    letter, mark = f"[{LETTERS}]", f"[{MARKS}]"
+    over = rf"[^ ] |{letter}[^{LETTERS}\x80-\U0010FFFF]|[0-9][^0-9\x80-\U0010FFFF]|{mark}[{LETTERS}0-9\n]|\n"
+    return re.search(over, piece) is not None
+
+
+class PieceEncoder(ChunkEncoder):
+    """A sentencepiece BPE, which adds a space to a text; here texts come with that space."""
+
+    def __init__(self, path: str, cache_bytes: int = CACHE_BYTES):
+        super().__init__(cache_bytes)
+        self.processor = p = sentencepiece.SentencePieceProcessor(model_file=path)
+        ordinary = [i for i in range(p.get_piece_size()) if not (p.is_byte(i) or p.is_control(i) or p.is_unknown(i))]
+        pieces = [p.id_to_piece(i).replace("▁", " ") for i in ordinary]
+        self.lead = p.encode("\n")  # what a chunk without its space is given, and loses again
+        self.cuts = not any(map(_spans_a_cut, pieces)) and p.encode("\n ") == [*self.lead, p.piece_to_id("▁")]
+
+    def chunks(self, text: str) -> list[str]:
+        return PIECE_CHUNK.findall(text) if self.cuts else [text]
+
+    def fresh(self, chunk: str) -> bytes:
+        if chunk[:1] == " " and len(chunk) > 1:
+            return _packed(self.processor.encode(chunk[1:]))
+        return _packed(self.processor.encode("\n" + chunk)[len(self.lead) :])
+
+    def token_bytes(self) -> list[bytes]:
+        """The bytes of every id: a byte piece's byte, otherwise its characters with U+2581 as space."""
+        p = self.processor
+        return [
+            bytes([int(p.id_to_piece(i)[1:-1], 16)]) if p.is_byte(i) else p.id_to_piece(i).replace("▁", " ").encode()
+            for i in range(p.get_piece_size())
+        ]
 
 
 @lru_cache(maxsize=2)
-def encoder(path: str) -> Encoder:
+def encoder(path: str, plain: bool = False) -> Encoder:
     """The worker process's encoder of a vocabulary file."""
-    return Encoder(path)
+    return Encoder(path, plain=plain)
+
+
+@lru_cache(maxsize=1)
+def piece_encoder(path: str) -> PieceEncoder:
+    """The worker process's encoder of a sentencepiece model."""
+    return PieceEncoder(path)

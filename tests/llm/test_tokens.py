@@ -18,14 +18,15 @@ def plain(encode, text):
     return encode.tokenizer.encode(text or "", add_special_tokens=False).ids
 
 
-PARTS = [" ", "  ", "\n", "\t", "a", "b'", "é", "'s", "1", "#", " the", "日本", "\x1c", "\x85", " ", "<|endoftext|>", ".", "word "]
+PARTS = [" ", "  ", "\n", "\t", "a", "b'", "é", "'s", "1", "#", " the", "日本", "\x1c", "\x85", " ", "<|endoftext|>", ".", "word ",
+         "\n\n", "—", "½", "٣", "\u0301", "'", '"', "©", "×", "ō", "ª", "\r\n", "\u3000", "▁", "<s>", "12", "e.", "!)", "The"]
 
 
 def test_chunks_encode_like_the_tokenizer(encode):
     rng = random.Random(1)
     for _ in range(3000):
         text = "".join(rng.choice(PARTS) for _ in range(rng.randint(0, 14)))
-        assert "".join(map(tokens.chunk_of, tokens.chunk_keys(text))) == text
+        assert "".join(encode.chunks(text)) == text
         assert np.frombuffer(encode.encoded([text])[0], tokens.ID).tolist() == plain(encode, text)
 
 
@@ -45,6 +46,32 @@ def test_added_tokens_encode_like_a_fresh_tokenizer(encode):
         assert (tree.text(), tree.n_tokens) == (text, len(fresh.encode(text, add_special_tokens=False).ids))
 
 
+def test_plain_added_tokens_are_text():
+    fresh = tokens.Tokenizer.from_file(tokens.vocabulary())
+    fresh.encode_special_tokens = True
+    encode = tokens.Encoder(tokens.vocabulary(), plain=True)
+    rng = random.Random(7)
+    for _ in range(500):
+        text = "".join(rng.choice(PARTS) for _ in range(rng.randint(0, 14)))
+        assert np.frombuffer(encode.encoded([text])[0], tokens.ID).tolist() == fresh.encode(text, add_special_tokens=False).ids
+
+
+def test_pieces_are_those_of_the_library():
+    pieces = tokens.PieceEncoder(tokens.vocabulary("piece_bpe_32k.model"))
+    assert pieces.cuts
+    rng = random.Random(8)
+    for _ in range(3000):
+        text = "".join(rng.choice(PARTS) for _ in range(rng.randint(1, 14)))
+        got = np.frombuffer(pieces.encoded([" " + text])[0], tokens.ID).tolist()
+        if text and "▁" not in text:
+            assert got == pieces.processor.encode(text), text
+        assert "".join(pieces.chunks(" " + text)) == " " + text
+    for piece in ("a ", "a.", "1a", ".a", "\n", "a1"):
+        assert tokens._spans_a_cut(piece)
+    for piece in (" the", "  ", ").", "été", "aж", "'s"):
+        assert not tokens._spans_a_cut(piece)
+
+
 def test_full_cache_changes_nothing(encode):
     small = tokens.Encoder(tokens.vocabulary(), cache_bytes=2000)
     texts = [f"word{i} other{i % 7} and\nmore{i}" for i in range(60)] + ["x" * 5000]
