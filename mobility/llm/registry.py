@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from mobility.llm import (
+    align,
     decontaminate,
     edit_counts,
     jaccard_join,
@@ -67,6 +68,10 @@ def op11_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.query(table(spark, sf_dir, "embeddings"))
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align.query(table(spark, sf_dir, "documents"))
+
+
 def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.query(table(spark, sf_dir, "documents"))
 
@@ -84,6 +89,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_edit_counts": op9_edit_counts,
         "op10_jaccard_join": op10_jaccard_join,
         "op11_topk_search": op11_topk_search,
+        "op12_token_alignment": op12_token_alignment,
         "op13_spelling_variants": op13_spelling_variants,
     }
 
