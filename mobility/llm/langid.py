@@ -3,16 +3,17 @@
 The features of a text are the hashed 1-, 2- and 3-grams of its letters (lower
 case, runs of other characters as one blank).  Document frequencies are counted
 over every training row of the corpus; each language's training vectors are
-grouped into several spherical k-means centroids on a bounded sample
-(``SAMPLE`` rows in expectation, spread evenly over the languages, chosen by a
-hash of the id).  A text gets the language of the centroid with the highest
+grouped into several spherical k-means centroids on a bounded sample: SAMPLE rows
+spread evenly over the languages, at least one of each, those with the least
+hashes of id and text.  The model holds every language, so that the sample is of
+as many rows as there are languages where these are more than SAMPLE.  A text gets the language of the centroid with the highest
 cosine; it is rejected where that cosine is below what nearly all (``QUANTILE``)
 training texts of that language and of similar length reach, or where no
 feature is known.
 
 Defined cases: a null text or one without a letter is ``und`` with score 0;
-whole texts are read, in blocks, however long; ties go to the first language
-in sorted order; rows without a language never train; repeated rows are
+whole texts are read, in blocks that count like the whole, however long; ties go
+to the first language in sorted order; rows may share an id or have none; rows without a language never train; repeated rows are
 predicted each on its own; an empty table, or one without training rows,
 gives ``und`` for every row; extra columns are not read.
 """
@@ -24,10 +25,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from mobility.llm.common import ROW, keyed, ship
+from mobility.llm.common import ROW, keyed, ship, written
 
 UNKNOWN = "und"
 #: Hashed features.
@@ -43,37 +44,47 @@ BLOCK_CHARS = 1 << 18
 TEXTS = 128
 
 
-def _codes(text: str) -> np.ndarray:
-    """Lower-case letters as code points, every run of other characters as one blank, blank at both ends."""
-    raw = np.frombuffer(f" {text.lower()} ".encode("utf-32-le", "replace"), "<u4").astype(np.uint64)
+def _letters(text: str) -> np.ndarray:
+    """The code points of a lower-cased text, those that are no letter as blanks."""
+    raw = np.frombuffer(text.encode("utf-32-le", "replace"), "<u4").astype(np.uint64)
     letter = ((raw >= 97) & (raw <= 122)) | ((raw >= 0xAA) & (raw != 0xD7) & (raw != 0xF7) & ~((raw >= 0x2000) & (raw < 0x2C00)))
-    raw = np.where(letter, raw, np.uint64(32))
-    return raw[(raw != 32) | np.concatenate([[True], raw[:-1] != 32])]
+    return np.where(letter, raw, np.uint64(32))
 
 
-def _grams(codes: np.ndarray) -> np.ndarray:
-    """Hashed features of every 1-, 2- and 3-gram that has a letter."""
+def _grams(codes: np.ndarray, seen: int) -> np.ndarray:
+    """Hashed features of the 1-, 2- and 3-grams that have a letter and do not end within the first ``seen`` codes."""
     out = []
-    value = np.zeros(len(codes), np.uint64)
     for n in (1, 2, 3):
-        if len(codes) < n:
+        own = codes[max(seen - n + 1, 0) :]
+        if len(own) < n:
             break
-        value = value[: len(codes) - n + 1] * np.uint64(1 << 21) + codes[n - 1 :]
+        value, some = np.zeros(len(own) - n + 1, np.uint64), np.zeros(len(own) - n + 1, bool)
+        for k in range(n):
+            part = own[k : len(own) - n + 1 + k]
+            value = value * np.uint64(1 << 21) + part
+            some |= part != 32
         hashed = (value + np.uint64(n)) * np.uint64(0x9E3779B97F4A7C15)
         hashed ^= hashed >> np.uint64(29)
         hashed *= np.uint64(0xBF58476D1CE4E5B9)
-        some = codes[: len(codes) - n + 1] != 32
-        for k in range(1, n):
-            some |= codes[k : len(codes) - n + 1 + k] != 32
         out.append((hashed >> np.uint64(64 - FEATURES.bit_length() + 1))[some])
     return np.concatenate(out).astype(np.int64) if out else np.zeros(0, np.int64)
 
 
 def term_counts(text: str) -> np.ndarray:
-    """Feature counts of the whole text, block by block (blocks overlap by the two characters a gram needs)."""
-    total = np.zeros(FEATURES, np.float32)
-    for at in range(0, max(len(text), 1), BLOCK_CHARS):
-        total += np.bincount(_grams(_codes(text[max(at - 2, 0) : at + BLOCK_CHARS])), minlength=FEATURES)
+    """Feature counts of the whole text between blanks, runs of blanks as one.
+
+    Blocks hand their last two codes on, which is what a later gram can reach.
+    """
+    text = text.lower()
+    total = np.zeros(FEATURES, np.int64)
+    seen = np.array([32], np.uint64)
+    for at in range(0, len(text) + 1, BLOCK_CHARS):
+        block = text[at : at + BLOCK_CHARS]
+        new = _letters(block if at + BLOCK_CHARS <= len(text) else block + " ")
+        new = new[(new != 32) | (np.concatenate([seen[-1:], new[:-1]]) != 32)]
+        codes = np.concatenate([seen, new])
+        total += np.bincount(_grams(codes, len(seen)), minlength=FEATURES)
+        seen = codes[-2:]
     return total
 
 
@@ -157,18 +168,28 @@ def document_frequencies(texts: DataFrame) -> tuple[int, np.ndarray]:
     return next((r["n"] for r in rows if r["feature"] < 0), 0), df
 
 
-def sampled(training: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """(lang, text) of about ``sample`` rows: as many of every language, chosen by a hash of the id.
+def _draw() -> Column:
+    return F.xxhash64("doc_id", "text", F.lit(7))
+
 
-    Each language's rate comes from its count over all training rows.
+def sampled(training: DataFrame, sample: int = SAMPLE) -> tuple[DataFrame, int]:
+    """((lang, draw, text) rows from which ``share`` of every language are to be taken, share).
+
+    A language's count gives the part of the hashes among which its least ones
+    surely or nearly are; its least hash is always among them.  What passes is
+    ranked in two narrow columns, and the texts below a language's cut are
+    returned, more than ``share`` only where rows are equal.
     """
-    counts = {r["lang"]: r["n"] for r in training.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).limit(sample).collect()}
-    if not counts:
-        return training.select("lang", "text").limit(0)
-    share = max(sample // len(counts), 1)
-    draw = F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(1 << 30)) / (1 << 30)
-    rate = F.create_map(*[x for lang, n in counts.items() for x in (F.lit(lang), F.lit(min(share / n, 1.0)))])
-    return training.filter(draw < rate[F.col("lang")]).select("lang", "text")
+    stats = written(training.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.min(_draw()).alias("least")), "languages")
+    share = max(sample // max(stats.count(), 1), 1)
+    part = (_draw().cast("double") + 2.0**63) / 2.0**64
+    near = training.select("lang", _draw().alias("draw"), part.alias("part")).join(stats, "lang")
+    near = near.filter((F.col("part") * F.col("n") < 16 * share) | (F.col("draw") == F.col("least")))
+    first = Window.partitionBy("lang").orderBy("draw")
+    cut = near.select("lang", "draw", F.row_number().over(first).alias("rank")).filter(F.col("rank") <= share)
+    cut = written(cut.groupBy("lang").agg(F.max("draw").alias("cut")), "cuts")
+    chosen = training.select("lang", _draw().alias("draw"), "text").join(cut, "lang").filter("draw <= cut")
+    return chosen.select("lang", "draw", "text"), share
 
 
 def fit(docs: DataFrame, sample: int = SAMPLE, k: int = CENTROIDS) -> Model | None:
@@ -184,11 +205,14 @@ def fit(docs: DataFrame, sample: int = SAMPLE, k: int = CENTROIDS) -> Model | No
 
     def vectorise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                vector = _vectors([text], idf)[0].astype(np.float16)
-                yield pa.RecordBatch.from_pylist([{"lang": lang, "size": _size(text), "vector": vector.tobytes()}])
-
-    rows = sampled(training, sample).mapInArrow(vectorise, "lang string, size long, vector binary").collect()
+            for lang, draw, text in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                vector = _vectors([text], idf)[0].astype(np.float16).tobytes()
+                yield pa.RecordBatch.from_pylist([{"lang": lang, "draw": draw, "size": _size(text), "vector": vector}])
+
+    chosen, share = sampled(training, sample)
+    vectors = chosen.mapInArrow(vectorise, "lang string, draw long, size long, vector binary")
+    first = Window.partitionBy("lang").orderBy("draw", "vector")
+    rows = vectors.withColumn("rank", F.row_number().over(first)).filter(F.col("rank") <= share).collect()
     languages = sorted({r["lang"] for r in rows})
     owner, centres, floor = [], [], np.zeros((len(languages), SIZES), np.float32)
     for i, lang in enumerate(languages):

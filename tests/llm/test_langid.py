@@ -1,6 +1,10 @@
+import math
+import random
 import zlib
+from collections import Counter
 
 import numpy as np
+import pytest
 
 from mobility.llm import langid
 from tests.llm.brute import LONG, documents, edge_docs, empty_docs
@@ -39,10 +43,81 @@ def test_edge_rows(spark):
 
 
 def test_blocks_count_like_the_whole(monkeypatch):
-    whole = langid.term_counts(LONG[:50_000])
-    monkeypatch.setattr(langid, "BLOCK_CHARS", 1000)
-    parts = langid.term_counts(LONG[:50_000])
-    assert abs(whole.sum() - parts.sum()) < 0.02 * whole.sum()
+    rng = random.Random(2)
+    texts = [LONG[:20_000], "", "a", "ab", "é", " . ", "ΑΣ ΑΣ", "İstanbul I", *(
+        "".join(rng.choice("ab  .éΣß1") for _ in range(rng.randint(1, 60))) for _ in range(300)
+    )]
+    whole = [langid.term_counts(t) for t in texts]
+    for size in (1, 2, 3, 7, 1000):
+        monkeypatch.setattr(langid, "BLOCK_CHARS", size)
+        for t, w in zip(texts[1 if size < 7 else 0 :], whole[1 if size < 7 else 0 :]):
+            assert (langid.term_counts(t) == w).all(), (size, t)
+
+
+def plain_counts(text):
+    """Feature counts by Python's own loops."""
+    codes = [32]
+    for c in map(ord, text.lower() + " "):
+        letter = 97 <= c <= 122 or (c >= 0xAA and c not in (0xD7, 0xF7) and not 0x2000 <= c < 0x2C00)
+        if letter or codes[-1] != 32:
+            codes.append(c if letter else 32)
+    counts = Counter()
+    for n in (1, 2, 3):
+        for i in range(len(codes) - n + 1):
+            gram = codes[i : i + n]
+            if set(gram) != {32}:
+                value = 0
+                for c in gram:
+                    value = (value << 21) + c
+                h = ((value + n) * 0x9E3779B97F4A7C15) % 2**64
+                h = ((h ^ h >> 29) * 0xBF58476D1CE4E5B9) % 2**64
+                counts[h >> 52] += 1
+    return counts
+
+
+def test_predictions_are_those_of_a_plain_nearest_centroid(spark):
+    docs = documents(spark)
+    model = langid.fit(docs.select("doc_id", "text", "lang"))
+    assert len(model.centres) > len(model.languages) > 1
+    for r in langid.predicted(docs, model).join(docs.select("doc_id", "text"), "doc_id").collect():
+        counts = plain_counts(r.text or "")
+        vector = {f: (1 + math.log(n)) * float(model.idf[f]) for f, n in counts.items()}
+        norm = math.sqrt(sum(v * v for v in vector.values()))
+        if not norm:
+            assert r.lang_pred == "und"
+            continue
+        cosines = [sum(v * float(c[f]) for f, v in vector.items()) / norm for c in model.centres]
+        assert abs(max(cosines) - r.score) < 1e-4
+        near = {model.languages[model.owner[i]] for i, c in enumerate(cosines) if c > max(cosines) - 1e-4}
+        assert r.lang_pred in near
+
+
+@pytest.mark.parametrize("doc_id", [None, 1, 2, 3])
+def test_rows_that_share_an_id_all_count(spark, doc_id):
+    rows = [(doc_id, f"the house and the river {i}", "en") for i in range(3000)]
+    rows += [(doc_id, f"la maison et la rivière où {i}", "fr") for i in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.fit(docs)
+    assert model.languages == ["en", "fr"]
+    got = langid.predicted(docs, model).groupBy("lang_pred").count().collect()
+    assert {r.lang_pred: r["count"] for r in got} == {"en": 3000, "fr": 3000}
+    equal = spark.createDataFrame([(doc_id, "one text", "en")] * 6000, docs.schema)
+    chosen, share = langid.sampled(equal, 50)
+    assert share == 50 and langid.fit(equal, 50).languages == ["en"]
+
+
+def test_no_language_is_lost(spark):
+    rng = random.Random(4)
+    rows = [(i, " ".join("".join(rng.choice("abcdefg") for _ in range(5)) for _ in range(3)), f"l{i % 3000}") for i in range(9000)]
+    model = langid.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), k=1)
+    assert len(model.languages) == 3000 and len(model.centres) == 3000
+
+
+def test_sample_is_bounded_and_even(spark):
+    rows = [(i, f"text {i}", "big" if i % 50 else "small") for i in range(5000)]
+    chosen, share = langid.sampled(spark.createDataFrame(rows, "doc_id long, text string, lang string"), 120)
+    got = {r.lang: r["count"] for r in chosen.groupBy("lang").count().collect()}
+    assert share == 60 and got == {"big": 60, "small": 60}
 
 
 def test_distant_texts_are_rejected(spark):
