@@ -12,10 +12,12 @@ and the matches themselves (regexp_extract_all) alternate, so running sums of
 their lengths give each match's start and end in code points.  Only texts with
 a match send rows, and a text's matches are spread as rows, not nested sums.
 
-Defined cases: null or empty texts have no findings; repeated rows are scanned
-each on its own (and count as one owner's copy); a null owner or repository
-counts as one more; an empty table gives an empty result; extra columns are
-not read.
+Defined cases: null or empty texts have no findings; texts of any length are
+searched whole, at a cost in proportion to their length and matches; repeated
+rows are scanned each on its own (and count as one owner's copy); of spans that
+start together the order is by kind as listed; a null owner or repository counts
+as one more; an empty table gives an empty result; extra columns are not read
+(``masked_documents`` passes them on).
 """
 
 from __future__ import annotations
@@ -25,12 +27,14 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from mobility.llm.common import DOC, ROW, name, rows, stored, whole
+from mobility.llm.common import DOC, ROW, name, rows, stored, whole, written
 
 #: A value held by more distinct owners than this is a copied example.
 MAX_OWNERS = 2
 #: So is a value in more distinct repositories than this for each of its owners.
 MAX_REPOS = 10
+#: Characters masked at a time.
+BLOCK = 1024
 
 
 @dataclass(frozen=True)
@@ -125,9 +129,11 @@ def candidates(docs: DataFrame) -> DataFrame:
 def without_base_overlap(found: DataFrame) -> DataFrame:
     """Drops added candidates that share a character with a base finding of their text."""
     base = F.col("kind") != ENTROPY.name
-    order = Window.partitionBy(ROW).orderBy("start", F.when(base, 0).otherwise(1), "end")
-    reach = F.max(F.when(base, F.col("end"))).over(order.rowsBetween(Window.unboundedPreceding, 0))
-    ahead = F.min(F.when(base, F.col("start"))).over(order.rowsBetween(0, Window.unboundedFollowing))
+    place = [F.col("start"), F.when(base, 0).otherwise(1), F.col("end")]
+    # running extremes in either order: a frame that ends at the last row would be computed anew for each row
+    so_far = Window.partitionBy(ROW).rowsBetween(Window.unboundedPreceding, 0)
+    reach = F.max(F.when(base, F.col("end"))).over(so_far.orderBy(*place))
+    ahead = F.min(F.when(base, F.col("start"))).over(so_far.orderBy(*[p.desc() for p in place]))
     return (
         found.withColumns({"_reach": reach, "_ahead": ahead})
         .filter(
@@ -153,8 +159,11 @@ def ownership(found: DataFrame) -> DataFrame:
 
 
 def scan(docs: DataFrame, max_owners: int = MAX_OWNERS, max_repos: int = MAX_REPOS) -> DataFrame:
-    """(_row, kind, start, end, digest, n_owners, n_repos, live) of every reported finding in ``holders``."""
-    found = without_base_overlap(candidates(docs))
+    """(_row, kind, start, end, digest, n_owners, n_repos, live) of every reported finding in ``holders``.
+
+    The findings are written once, so that the texts are searched once.
+    """
+    found = written(without_base_overlap(candidates(docs)), "findings")
     judged = found.join(ownership(found), "digest")
     live = (F.col("n_owners") <= max_owners) & (F.col("n_repos") <= max_repos * F.col("n_owners"))
     return judged.withColumn("live", live).filter((F.col("kind") != ENTROPY.name) | live).drop("repo", "owner")
@@ -207,31 +216,66 @@ def query(docs: DataFrame) -> DataFrame:
     )
 
 
-def masked_documents(docs: DataFrame, text_col: str = "text", mask: str = "[SECRET]", **columns: str) -> DataFrame:
-    """``docs`` with every reported span of the text replaced by ``mask``; all rows and columns stay.
+def _merged(found: DataFrame) -> DataFrame:
+    """(_row, start, end) of the findings, overlapping ones as one."""
+    before = Window.partitionBy(ROW).orderBy("start", "end")
+    reach = F.max("end").over(before.rowsBetween(Window.unboundedPreceding, -1))
+    fresh = F.when(reach > F.col("start"), 0).otherwise(1)
+    runs = found.select(ROW, "start", "end", fresh.alias("fresh")).withColumn(
+        "run", F.sum("fresh").over(before.rowsBetween(Window.unboundedPreceding, 0))
+    )
+    return runs.groupBy(ROW, "run").agg(F.min("start").alias("start"), F.max("end").alias("end")).drop("run")
 
-    Overlapping spans are masked as one.  The text is cut once per span, from
-    the sorted list; texts without findings are passed on as they are.
-    """
-    text = name(text_col, DOC)
-    start = F.struct(F.lit("").alias("out"), F.lit(0).cast("long").alias("end"))
+
+def _masked_block(text: Column, at: Column, spans: Column, mask: str) -> Column:
+    """A block of text (its first character is ``at``) with its spans masked, each where it starts."""
+    start = F.struct(F.array().cast("array<string>").alias("out"), F.lit(0).cast("long").alias("end"))
 
     def step(acc: Column, s: Column) -> Column:
-        fresh = s["start"] >= acc["end"]
-        gap = F.substring(text, (acc["end"] + 1).cast("int"), F.greatest(s["start"] - acc["end"], F.lit(0)).cast("int"))
-        return F.struct(
-            F.when(fresh, F.concat(acc["out"], gap, F.lit(mask))).otherwise(acc["out"]).alias("out"),
-            F.greatest(acc["end"], s["end"]).alias("end"),
-        )
+        first = F.greatest(s["start"] - at, F.lit(0))
+        gap = F.substring(text, (acc["end"] + 1).cast("int"), (first - acc["end"]).cast("int"))
+        shown = F.when(s["start"] >= at, F.array(gap, F.lit(mask))).otherwise(F.array(gap))
+        return F.struct(F.concat(acc["out"], shown).alias("out"), (s["end"] - at).alias("end"))
+
+    def close(acc: Column) -> Column:
+        rest = F.greatest(F.length(text) - acc["end"], F.lit(0))
+        return F.concat(F.array_join(acc["out"], ""), F.substring(text, (acc["end"] + 1).cast("int"), rest.cast("int")))
+
+    return F.aggregate(F.sort_array(spans), start, step, close)
 
-    cleaned = F.aggregate("all_spans", start, step, lambda acc: F.concat(acc["out"], _tail(text, acc["end"])))
-    every = stored(rows(docs))
-    found = by_document(holders(every, text_col=text_col, **columns)).select(ROW, "all_spans").filter(F.size("all_spans") > 0)
-    masked = F.when(F.col("all_spans").isNull(), text).otherwise(cleaned)
-    changed = {text_col: masked, "n_chars": F.length(masked).cast("long")}
-    joined = every.join(found, ROW, "left")
-    return joined.select(*[changed[c].alias(c) if c in changed else x for c, x in zip(docs.columns, whole(docs))])
 
+def masked_texts(texts: DataFrame, found: DataFrame, mask: str) -> DataFrame:
+    """(_row, text) of the ``texts`` (_row, text) that have spans in ``found``, masked.
 
-def _tail(text: Column, end: Column) -> Column:
-    return F.substring(text, (end + 1).cast("int"), F.greatest(F.length(text) - end.cast("int"), F.lit(0)))
+    Texts are taken in blocks of BLOCK characters, so that neither a long text
+    nor many spans in one cost more than in proportion.
+    """
+    spans = _merged(found)
+    first, last = (F.floor(x / BLOCK) for x in (F.col("start"), F.col("end") - 1))
+    hit = (
+        spans.select(ROW, F.struct("start", "end").alias("span"), F.explode(F.sequence(first, last)).alias("block"))
+        .groupBy(ROW, "block")
+        .agg(F.collect_list("span").alias("spans"))
+    )
+    cut = F.regexp_extract_all("text", F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0))
+    blocks = texts.join(spans.select(ROW).distinct(), ROW, "left_semi").select(ROW, F.posexplode(cut).alias("block", "part"))
+    masked = _masked_block(F.col("part"), F.col("block").cast("long") * BLOCK, F.col("spans"), mask)
+    done = blocks.withColumn("block", F.col("block").cast("long")).join(hit, [ROW, "block"], "left").select(
+        ROW, F.struct("block", F.when(F.col("spans").isNull(), F.col("part")).otherwise(masked).alias("part")).alias("b")
+    )
+    return done.groupBy(ROW).agg(F.array_join(F.sort_array(F.collect_list("b"))["part"], "").alias("text"))
+
+
+def masked_documents(docs: DataFrame, text_col: str = "text", mask: str = "[SECRET]", **columns: str) -> DataFrame:
+    """``docs`` with every reported span of the text replaced by ``mask``; all rows and columns stay.
+
+    Overlapping spans are masked as one; texts without findings are passed on as they are.
+    """
+    every = stored(rows(docs))
+    held = holders(every, text_col=text_col, **columns)
+    found = written(scan(held).select(ROW, "start", "end"), "spans")
+    masked = masked_texts(held.select(ROW, "text"), found, mask).select(ROW, F.col("text").alias("_masked"))
+    text = F.coalesce("_masked", name(text_col, DOC))
+    changed = {text_col: text, "n_chars": F.length(text).cast("long")}
+    joined = every.join(masked, ROW, "left")
+    return joined.select(*[changed[c].alias(c) if c in changed else x for c, x in zip(docs.columns, whole(docs))])

@@ -63,5 +63,5 @@ def test_stages_on_edge_and_empty_tables(spark):
 
 def test_one_query_an_operator():
     names = list(registry.queries())
-    assert [n.split("_")[0] for n in names] == [f"op{i}" for i in range(1, 11)]
+    assert [n.split("_")[0] for n in names] == [f"op{i}" for i in range(1, 14)]
     assert set(registry.oracle_sql()) <= set(names)

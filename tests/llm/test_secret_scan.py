@@ -1,3 +1,8 @@
+import random
+import re
+import time
+from collections import defaultdict
+
 from mobility.llm import secret_scan
 from tests.llm import brute
 from tests.llm.brute import as_rows, documents, edge_docs, empty_docs
@@ -55,6 +60,104 @@ def test_copies_within_one_owner_are_an_example(spark):
     assert {(r.spans, r.span_repos, r.n_live) for r in got} == {("entropy:4:28", str(n), 1)}
 
 
+def brute_rows(rows):
+    """(doc_id, spans, span_repos, n_live, n_examples) of (doc_id, text, owner) rows, ids as repositories."""
+    found = []
+    for at, (i, text, owner) in enumerate(rows):
+        text = text or ""
+        base = brute.secrets(text)
+        spans = [(s, e, k) for k, s, e in base]
+        for m in re.finditer("[A-Za-z0-9+/_=-]{20,}", text):
+            v = m.group()
+            digits = sum(c in "0123456789" for c in v)
+            random_ = digits >= 4 and re.search("[A-Za-z]", v) and len(set(v)) >= 10 and digits * 10 <= len(v) * 9
+            if random_ and not any(s < m.end() and m.start() < e for _, s, e in base):
+                spans.append((*m.span(), "entropy"))
+        for s, e, k in spans:
+            value = text[s:e] if k != "assign" else brute.ASSIGN.fullmatch(text[s:e]).group(1)
+            found.append((at, i, owner, s, e, k, value))
+    holders = defaultdict(set)
+    for _, i, owner, *_, value in found:
+        holders[value].add((owner, i))
+    out = []
+    kinds = ["assign", "access", "hex", "entropy"]
+    for at, (i, text, owner) in enumerate(rows):
+        spans, repos, n = [], [], [0, 0]
+        for _, _, _, s, e, k, value in sorted((f for f in found if f[0] == at), key=lambda f: (f[3], kinds.index(f[5]))):
+            owners = len({o for o, _ in holders[value]})
+            live = owners <= 2 and len(holders[value]) <= 10 * owners
+            if k != "entropy" or live:
+                spans.append(f"{k}:{s}:{e}")
+                repos.append(str(len(holders[value])))
+                n[not live] += 1
+        out.append((i, ",".join(spans), ",".join(repos), *n))
+    return sorted(out, key=repr)
+
+
+def all_spans(df):
+    return sorted(((r.doc_id, r.spans, r.span_repos, r.n_live, r.n_examples) for r in df.collect()), key=repr)
+
+
+def test_added_spans_and_ownership_match_brute_force(spark):
+    docs = documents(spark, "/root/testdata/sf0.01")
+    rows = [(r.doc_id, r.text, r.source) for r in docs.select("doc_id", "text", "source").collect()]
+    assert all_spans(secret_scan.query(docs)) == brute_rows(rows)
+    rng = random.Random(8)
+    values = ["".join(rng.choice("abcXYZ0123456789_/") for _ in range(rng.randint(6, 40))) for _ in range(25)]
+    parts = ["token=", "password: ", " ", "é ", "AKIA" + "Q7" * 9, " or ", "0123456789abcdef" * 2, "=", *values]
+    rows = [(i % 150 or None, "".join(rng.choice(parts) for _ in range(rng.randint(0, 12))), f"o{i % 7}" if i % 9 else None) for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    assert all_spans(secret_scan.query(docs)) == brute_rows(rows)
+
+
+def test_many_matches_in_one_text_cost_in_proportion(spark):
+    rng = random.Random(1)
+    words = [f"token = v{rng.randint(0, 10**6):06d}é" for _ in range(20_000)]
+    text = " ".join(words)
+    docs = spark.createDataFrame([(1, text, "s")], "doc_id long, text string, source string")
+    small = spark.createDataFrame([(1, text[:400], "s")], "doc_id long, text string, source string")
+
+    def seconds(f):
+        start = time.perf_counter()
+        return f().collect(), time.perf_counter() - start
+
+    seconds(lambda: secret_scan.query(small))
+    _, least = seconds(lambda: secret_scan.query(small))
+    rows, took = seconds(lambda: secret_scan.query(docs))
+    assert rows[0].n_assign == 20_000 and took - least < 10
+    seconds(lambda: secret_scan.masked_documents(small))
+    _, least = seconds(lambda: secret_scan.masked_documents(small))
+    rows, took = seconds(lambda: secret_scan.masked_documents(docs))
+    assert rows[0].text == " ".join(["[SECRET]é"] * 20_000) and took - least < 10
+
+
+def test_texts_are_searched_once(spark, monkeypatch):
+    calls = []
+    search = secret_scan.candidates
+    monkeypatch.setattr(secret_scan, "candidates", lambda docs: calls.append(1) or search(docs))
+    for build in (secret_scan.query, secret_scan.masked_documents):
+        calls.clear()
+        plan = plan_text(build(documents(spark)), "simple")
+        assert calls == [1] and secret_scan.BASE[1].pattern not in plan
+
+
+def test_masks_across_blocks_and_overlaps(spark, monkeypatch):
+    rng = random.Random(2)
+    parts = ["token=abcdefgh", " ", "é", "\n", "f" * 30, "AKIA" + "A" * 20, "x", RANDOM, "token=" + "0123456789abcdef" * 2, "日本"]
+    rows = [(i, "".join(rng.choice(parts) for _ in range(rng.randint(0, 25))), f"s{i}") for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    spans = {r.doc_id: r.spans for r in secret_scan.query(docs).collect()}
+    monkeypatch.setattr(secret_scan, "BLOCK", 16)
+    got = {r.doc_id: r.text for r in secret_scan.masked_documents(docs).collect()}
+    for i, text, _ in rows:
+        out, end = "", 0
+        for s, e in sorted(tuple(map(int, x.split(":")[1:])) for x in spans[i].split(",") if x):
+            if s >= end:
+                out += text[end:s] + "[SECRET]"
+            end = max(end, e)
+        assert got[i] == out + text[end:], i
+
+
 def test_masked_documents(spark):
     docs = edge_docs(spark)
     masked = secret_scan.masked_documents(docs)
