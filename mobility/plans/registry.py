@@ -37,14 +37,14 @@ from mobility.operators import (
     rideshare_groups_scaled,
     rideshare_groups_window,
     rideshare_impact,
-    rideshare_impact_total,
     short_trips,
     top_zones_by_length,
     total_trip_count,
     trips_by_length,
     zone_pair_popularity,
 )
-from mobility.operators.rideshare import GROUPABLE_TRIPS_DAY, ALL_TRIPS_DAY
+from mobility.operators.impact import impact_total
+from mobility.operators.rideshare import ALL_TRIPS_DAY, GROUPABLE_SHARE, GROUPABLE_TRIPS_DAY, is_groupable
 from mobility.plans.jobs import day_impact, history_impact
 from mobility.schema import DAY_TRIPS, HISTORY_TRIPS
 from mobility.sources.files import read_trips
@@ -374,11 +374,8 @@ FROM impact""",
         )
         add(
             f"rideshare_impact_total_{view}",
-            lambda s, d, t=trips: rideshare_impact_total(
-                rideshare_impact(
-                    rideshare_groups_nearest(t(s, d, TIME, PU, AMT, PAX), zones_view(s, d), sort=False),
-                    t(s, d, AMT),
-                )
+            lambda s, d, t=trips: impact_total(
+                t(s, d, PU, AMT, PAX), zones_view(s, d), grouped=is_groupable(DAY_TRIPS)
             ),
             _with(
                 view,
@@ -526,8 +523,8 @@ FROM impact""",
     )
     add(
         "rideshare_impact_scaled_total_events",
-        lambda s, d: rideshare_impact_total(
-            rideshare_impact(scaled(s, d, sort=False), events_history_trips(s, d), cols=HISTORY_TRIPS)
+        lambda s, d: impact_total(
+            events_history_trips(s, d), zones_view(s, d), cols=HISTORY_TRIPS, share=GROUPABLE_SHARE
         ),
         _with(
             "history",

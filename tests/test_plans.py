@@ -55,7 +55,10 @@ def _scans(plan: str, name: str) -> int:
     return sum("FileScan" in line and f"{name}.parquet" in line for line in plan.splitlines())
 
 
-@pytest.mark.parametrize("name", ["day_impact_events", "history_impact_events"])
+ONE_SCAN = ["day_impact_events", "history_impact_events", "rideshare_impact_total_events", "rideshare_impact_scaled_total_events"]
+
+
+@pytest.mark.parametrize("name", ONE_SCAN)
 def test_impact_is_one_scan_without_buckets(spark, name):
     plan = plan_text(BY_NAME[name].build(spark, SF), "simple")
     assert _scans(plan, "events") == 1
