@@ -40,7 +40,7 @@ import sentencepiece  # noqa: E402
 from tokenizers import Tokenizer  # noqa: E402
 
 #: Bytes of chunks and ids that a worker keeps.
-CACHE_BYTES = 180 << 20
+CACHE_BYTES = 240 << 20
 #: Little-endian unsigned 32-bit ids.
 ID = np.dtype("<u4")
 
