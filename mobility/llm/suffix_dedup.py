@@ -9,24 +9,30 @@ to find the windows that are equal to another one.
    a list of segments: maximal runs of windows with one key.  Every window
    lies in exactly one segment.  Keys are counted over the corpus; a key of one
    segment ends there.
-2. Segments of a repeated key are classed by the digest of their bytes.  All
-   windows of a class with two or more members are repeated.
+2. Segments of a repeated key are classed by a 128-bit digest of their bytes.
+   All windows of a class with two or more members are repeated.
 3. One member of every class goes, by key, into a suffix array (two-stage
    sorting): suffixes smaller than their successors are sorted directly, the
    others are induced by scanning the buckets in order; windows next to each
-   other whose common prefix reaches SPAN bytes are equal.
-4. A key with more than GROUP_MAX classes is not sorted in one task: the
-   digests of its single windows are counted instead, with partial sums.
+   other whose common prefix reaches SPAN bytes are equal.  An array holds whole
+   keys of at most ARRAY_BYTES together.
+4. A key with more bytes is split over several tasks.  Equal windows have the
+   string of their key at the same place, so they also agree in the DEPTHS[0]
+   bytes before it, or after it where fewer are before.  Its segments are cut
+   into runs of windows by that, with finer keys, classed, and sorted as above;
+   what is still too large is cut by more bytes.  Keys that share all of these
+   bytes and are still too large end in single windows, classed by digest.
 5. Each text's repeated windows are joined to it, merged and cut out.
 
 Defined cases: a null text is empty; texts shorter than SPAN have no window
 and stay whole; matches never cross documents; repeated rows remove each
-other's windows; an empty table gives an empty result; extra columns are not
-read.  Very long texts are handled in blocks of windows.
+other's windows; ties cannot arise; an empty table gives an empty result; extra
+columns are not read.  Very long texts are handled in blocks of windows.
 """
 
 from __future__ import annotations
 
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -43,10 +49,10 @@ GRAM = 24
 #: Windows handled at once in a text, and the most in one segment.
 BLOCK_WINDOWS = 1 << 21
 SEGMENT_WINDOWS = 1 << 15
-#: Classes of one key that are sorted in one task.
-GROUP_MAX = 8192
-#: Bytes of segments that one suffix array holds (whole keys; one key may exceed it up to GROUP_MAX classes).
-ARRAY_BYTES = 4 << 20
+#: Bytes of segments that one suffix array holds; sorting takes some 80 bytes of memory for each.
+ARRAY_BYTES = 1 << 20
+#: Bytes beside its string by which a larger key is split (at most half of what a window has besides).
+DEPTHS = (8, 32, (SPAN - GRAM) // 2)
 BROADCAST_ROWS = BROADCAST_MAX_BYTES // 64
 
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
@@ -62,9 +68,9 @@ def _sliding(values: np.ndarray, width: int, least=np.minimum) -> np.ndarray:
     return least(values[: len(values) - rest], values[rest:]) if rest else values
 
 
-def window_keys(data: bytes, span: int = SPAN, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray]:
-    """(key of every window of ``data``, whether the key occurs again near that window)."""
-    n, width = len(data) - gram + 1, span - gram + 1
+def gram_hashes(data: bytes, gram: int = GRAM) -> np.ndarray:
+    """The hash of every ``gram`` bytes of ``data``."""
+    n = len(data) - gram + 1
     words = np.ndarray((len(data) - 7,), "<u8", data, 0, (1,))
     hashed = words[:n] * _MIX[0]
     hashed ^= hashed >> np.uint64(32)
@@ -72,6 +78,13 @@ def window_keys(data: bytes, span: int = SPAN, gram: int = GRAM) -> tuple[np.nda
         hashed += words[at : at + n]
         hashed *= mix
         hashed ^= hashed >> np.uint64(29)
+    return hashed
+
+
+def window_keys(data: bytes, span: int = SPAN, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray]:
+    """(key of every window of ``data``, whether the key occurs again near that window)."""
+    width = span - gram + 1
+    hashed = gram_hashes(data, gram)
     keys = _sliding(hashed, width)
     # a string is some window's least if the greatest key of the windows around it is its hash
     around = np.concatenate([np.zeros(width - 1, np.uint64), keys, np.zeros(width - 1, np.uint64)])
@@ -84,8 +97,13 @@ def window_keys(data: bytes, span: int = SPAN, gram: int = GRAM) -> tuple[np.nda
     return keys, np.cumsum(mark[:-1]) > 0
 
 
-def segments(data: bytes, span: int = SPAN) -> Iterator[tuple[int, int, int, int, int]]:
-    """(start, windows, key, digest, own) of every segment of a text; ``own``: it may repeat a window of itself."""
+def digest(data: bytes) -> tuple[int, int]:
+    """A 128-bit digest as two signed numbers."""
+    return struct.unpack("<qq", xxhash.xxh3_128_digest(data))
+
+
+def segments(data: bytes, span: int = SPAN) -> Iterator[tuple[int, int, int, int, int, int]]:
+    """(start, windows, key, digest, digest2, own) of every segment of a text; ``own``: it may repeat a window of itself."""
     total = len(data) - span + 1
     for at in range(0, max(total, 0), BLOCK_WINDOWS):
         n = min(BLOCK_WINDOWS, total - at)
@@ -97,10 +115,11 @@ def segments(data: bytes, span: int = SPAN) -> Iterator[tuple[int, int, int, int
             edges = np.unique(np.concatenate([np.arange(a, b, SEGMENT_WINDOWS) for a, b in zip(edges, edges[1:])] + [[n]]))
         repeats = np.maximum.reduceat(own.astype(np.int8), edges[:-1]).tolist() if own.any() else [0] * (len(edges) - 1)
         for s, e, key, r in zip(edges[:-1].tolist(), edges[1:].tolist(), keys[edges[:-1]].tolist(), repeats):
-            yield at + s, e - s, key, xxhash.xxh3_64_intdigest(block[s : e + span - 1]) - (1 << 63), r
+            yield at + s, e - s, key, *digest(block[s : e + span - 1]), r
 
 
-SEGMENT = f"{ROW} long, start long, windows long, key long, digest long, own long"
+SEGMENT = f"{ROW} long, start long, windows long, key long, digest long, digest2 long, own long"
+DIGEST = ["digest", "digest2"]
 
 
 def segment_rows(docs: DataFrame) -> DataFrame:
@@ -116,7 +135,7 @@ def segment_rows(docs: DataFrame) -> DataFrame:
                     for s in segments(data)
                 ]
                 if found:
-                    names = [ROW, "start", "windows", "key", "digest", "own"]
+                    names = [ROW, "start", "windows", "key", *DIGEST, "own"]
                     yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found)], names=names)
 
     return docs.select(ROW, "data").mapInArrow(cut, SEGMENT)
@@ -249,81 +268,152 @@ def _ranges(found: list[tuple[int, int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found)], names=[ROW, "start", "end"])
 
 
-def array_ranges(pieces: DataFrame) -> DataFrame:
-    """(_row, start, end) of repeated windows among (key, _row, start, members, piece) rows, by suffix arrays of whole keys."""
+def arrays(rows: Iterator[tuple], limit: int) -> Iterator[list[tuple]]:
+    """(key, bytes of the key, ...) rows, sorted by key, in lists of whole keys of at most ``limit`` bytes together."""
+    held, size, last = [], 0, None
+    for row in rows:
+        if row[0] != last:
+            if held and size + row[1] > limit:
+                yield held
+                held, size = [], 0
+            size += row[1]
+            last = row[0]
+        held.append(row)
+    if held:
+        yield held
 
-    def sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size, last = [], 0, None
 
-        def solved():
+PIECE = f"key long, bytes long, {ROW} long, start long, members long, piece binary"
+PIECE_COLUMNS = ["key", "bytes", ROW, "start", "members", "piece"]
+
+
+def array_ranges(pieces: DataFrame, limit: int) -> DataFrame:
+    """(_row, start, end) of repeated windows among PIECE rows, by suffix arrays of whole keys."""
+
+    def sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = (row for batch in batches for row in zip(*(batch.column(i).to_pylist() for i in range(6))))
+        for held in arrays(rows, limit):
             found = [
                 (row, start + a, start + b - 1 + SPAN)
-                for (row, start, members, _), mask in zip(held, repeated_windows([h[3] for h in held]))
+                for (_, _, row, start, members, _), mask in zip(held, repeated_windows([h[5] for h in held]))
                 if members == 1  # classes with more members are repeated as a whole
                 for a, b in _runs(mask)
             ]
-            return [_ranges(found)] if found else []
+            if found:
+                yield _ranges(found)
 
-        for batch in batches:
-            for key, *row in zip(*(batch.column(i).to_pylist() for i in range(5))):
-                if key != last and size >= ARRAY_BYTES:
-                    yield from solved()
-                    held, size = [], 0
-                held.append(row)
-                size += len(row[3])
-                last = key
-        if held:
-            yield from solved()
+    return pieces.select(*PIECE_COLUMNS).repartition("key").sortWithinPartitions("key").mapInArrow(sort, RANGES)
+
+
+def finer_runs(least: int, key: int, piece: bytes, depth: int) -> Iterator[tuple[int, int, int]]:
+    """(start, windows, finer key) of the runs of a piece whose windows have ``key``, and ``least`` as their least hash.
+
+    A window's string is the first in it with this hash.  Windows with ``depth``
+    bytes before the string take these, the others those after it.  With no
+    depth every window is a run.
+    """
+    n = len(piece) - SPAN + 1
+    if not depth:
+        yield from ((s, 1, key) for s in range(n))
+        return
+    last = -1
+    for p in np.flatnonzero(gram_hashes(piece).view(np.int64) == least).tolist():
+        first, last = last + 1, p
+        middle = min(max(first, p - depth + 1), n)
+        for side, a, b, beside in ((b"<", first, middle, piece[p - depth : p] if p >= depth else b""), (b">", middle, min(p + 1, n), piece[p + GRAM : p + GRAM + depth])):
+            if a < b:
+                yield a, b - a, xxhash.xxh3_64_intdigest(key.to_bytes(8, "little", signed=True) + side + beside) - (1 << 63)
+        if p >= n:
+            break
 
-    ordered = pieces.select("key", ROW, "start", "members", "piece").repartition("key").sortWithinPartitions("key")
-    return ordered.mapInArrow(sort, RANGES)
 
+def split_keys(pieces: DataFrame, depth: int) -> DataFrame:
+    """The runs of PIECE rows with finer keys: a row for all equal runs of a piece.
 
-def counted_ranges(pieces: DataFrame) -> DataFrame:
-    """The same rows for keys with very many classes: digests of single windows are counted."""
+    ``members`` counts the places of a run's bytes that its piece stands for,
+    ``owned`` those of the piece, and ``again`` lists where equal runs of a piece
+    that stands for one place start.
+    """
 
-    def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row, start, members, piece in zip(*(batch.column(i).to_pylist() for i in range(4))):
-                n = len(piece) - SPAN + 1
-                found = [xxhash.xxh3_128_digest(piece[i : i + SPAN]) for i in range(n)]
+            for key, row, start, members, piece, least in zip(*(batch.column(i).to_pylist() for i in (0, 2, 3, 4, 5, 6))):
+                runs: dict[tuple, list[tuple[int, int]]] = {}
+                for s, n, finer in finer_runs(least, key, piece, depth):
+                    runs.setdefault((finer, *digest(piece[s : s + n - 1 + SPAN])), []).append((s, n))
+                out = [
+                    (finer, row, start + at[0][0], at[0][1], members * len(at), members, d1, d2, least, piece[at[0][0] : at[0][0] + at[0][1] - 1 + SPAN],
+                     [start + s for s, _ in at[1:]] if members == 1 else [])
+                    for (finer, d1, d2), at in runs.items()
+                ]
+                columns = list(zip(*out))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([row] * n, pa.int64()), pa.array(range(start, start + n), pa.int64()),
-                     pa.array([members] * n, pa.int64()), pa.array(found, pa.binary())],
-                    names=[ROW, "start", "members", "window"],
-                )
+                    [*[pa.array(c, pa.int64()) for c in columns[:9]], pa.array(columns[9], pa.binary()), pa.array(columns[10], pa.list_(pa.int64()))],
+                    names=["key", ROW, "start", "windows", "members", "owned", *DIGEST, "least", "piece", "again"],
+                )
 
-    windows = pieces.select(ROW, "start", "members", "piece").mapInArrow(
-        digests, f"{ROW} long, start long, members long, window binary"
-    )
-    repeated = windows.groupBy("window").agg(F.sum("members").alias("n")).filter("n > 1").select("window")
-    return windows.filter("members = 1").join(repeated, "window").select(ROW, "start", (F.col("start") + SPAN).alias("end"))
+    return pieces.select(*PIECE_COLUMNS, "least").mapInArrow(
+        cut, f"key long, {ROW} long, start long, windows long, members long, owned long, digest long, digest2 long, "
+        "least long, piece binary, again array<long>",
+    )
+
+
+def split_ranges(pieces: DataFrame, limit: int, depths: tuple[int, ...] = DEPTHS) -> DataFrame:
+    """(_row, start, end) of repeated windows among PIECE rows whose keys are too large for one array."""
+    found, pieces = None, pieces.withColumn("least", F.col("key"))
+    for depth in (*depths, 0):
+        runs = written(split_keys(pieces, depth), "runs", compression="zstd")
+        size = F.col("windows") - 1 + SPAN
+        classes = runs.groupBy("key", *DIGEST).agg(
+            F.sum("members").alias("members"), F.min(F.struct(ROW, "start")).alias("at"), F.first("windows").alias("windows")
+        )
+        classes = written(classes.select("key", *DIGEST, "members", F.col(f"at.{ROW}").alias(ROW), F.col("at.start").alias("start"), "windows"), "classes")
+        more = runs.filter("owned = 1").join(classes.filter("members > 1").select("key", *DIGEST), ["key", *DIGEST])
+        starts = F.concat(F.array("start"), "again")
+        here = more.select(ROW, "windows", F.explode(starts).alias("start")).select(ROW, "start", (F.col("start") + size).alias("end"))
+        found = here if found is None else found.unionByName(here)
+        if not depth:  # single windows: their classes say all
+            return found
+        kinds = classes.groupBy("key").agg(F.sum(size).alias("bytes"), F.count(F.lit(1)).alias("classes")).filter("classes > 1")
+        kinds = written(kinds.select("key", "bytes"), "kinds")
+        firsts = classes.select("key", *DIGEST, ROW, "start", "members").join(kinds, "key")
+        pieces = runs.select("key", *DIGEST, ROW, "start", "least", "piece").join(firsts, ["key", *DIGEST, ROW, "start"])
+        pieces = pieces.select(*PIECE_COLUMNS, "least")
+        pieces = written(pieces, "pieces", compression="zstd")
+        found = found.unionByName(array_ranges(pieces.filter(F.col("bytes") <= limit), limit))
+        pieces = pieces.filter(F.col("bytes") > limit)
+        if pieces.isEmpty():
+            return found
+    return found
 
 
 # ------------------------------------------------------------ Spark operators
 
 
-def repeated_ranges(docs: DataFrame) -> DataFrame:
+def repeated_ranges(docs: DataFrame, limit: int | None = None) -> DataFrame:
     """(_row, start, end): byte ranges of repeated windows of every (_row, data) text; they may overlap."""
     ship(docs.sparkSession)
+    limit = ARRAY_BYTES if limit is None else limit
     rows = segment_rows(docs)
     shared = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.max("own").alias("own"))
     shared = shared.filter("n > 1 or own > 0").select("key")
     shared = written(rows.join(shared, "key"), "segments")
-    classes = shared.groupBy("key", "digest").agg(
+    classes = shared.groupBy("key", *DIGEST).agg(
         F.count(F.lit(1)).alias("members"), F.min(F.struct(ROW, "start")).alias("at"), F.first("windows").alias("windows"),
         F.max("own").alias("own"),
     )
-    classes = written(classes.select("key", "digest", "members", "at.*", "windows", "own"), "classes")
-    whole = shared.join(classes.filter("members > 1").select("key", "digest"), ["key", "digest"]).select(
+    classes = written(classes.select("key", *DIGEST, "members", "at.*", "windows", "own"), "classes")
+    whole = shared.join(classes.filter("members > 1").select("key", *DIGEST), ["key", *DIGEST]).select(
         ROW, "start", (F.col("start") + F.col("windows") - 1 + SPAN).alias("end")
     )
-    kinds = classes.groupBy("key").agg(F.count(F.lit(1)).alias("classes"), F.max("own").alias("o"))
-    kinds = kinds.filter("classes > 1 or o > 0").select("key", "classes")
+    kinds = classes.groupBy("key").agg(
+        F.count(F.lit(1)).alias("classes"), F.max("own").alias("o"), F.sum(F.col("windows") - 1 + SPAN).alias("bytes")
+    )
+    kinds = written(kinds.filter("classes > 1 or o > 0").select("key", "bytes"), "kinds")
     pieces = written(_pieces(docs, classes.join(kinds, "key")), "pieces")
-    found = whole.unionByName(array_ranges(pieces.filter(F.col("classes") <= GROUP_MAX)))
-    large = pieces.filter(F.col("classes") > GROUP_MAX)
-    return found if large.isEmpty() else found.unionByName(counted_ranges(large))
+    found = whole.unionByName(array_ranges(pieces.filter(F.col("bytes") <= limit), limit))
+    large = pieces.filter(F.col("bytes") > limit)
+    return found if large.isEmpty() else found.unionByName(split_ranges(large, limit))
 
 
 def _pieces(docs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -332,20 +422,18 @@ def _pieces(docs: DataFrame, classes: DataFrame) -> DataFrame:
     def slice_(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row, data, wanted in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                out = [(w["key"], row, w["start"], w["members"], w["classes"], data[w["start"] : w["start"] + w["windows"] + SPAN - 1]) for w in wanted]
+                out = [(w["key"], w["bytes"], row, w["start"], w["members"], data[w["start"] : w["start"] + w["windows"] + SPAN - 1]) for w in wanted]
+                columns = list(zip(*out))
                 yield pa.RecordBatch.from_arrays(
-                    [*[pa.array(c, pa.int64()) for c in list(zip(*out))[:5]], pa.array([o[5] for o in out], pa.binary())],
-                    names=["key", ROW, "start", "members", "classes", "piece"],
+                    [*[pa.array(c, pa.int64()) for c in columns[:5]], pa.array(columns[5], pa.binary())], names=PIECE_COLUMNS
                 )
 
-    wanted = classes.groupBy(ROW).agg(F.collect_list(F.struct("key", "start", "members", "classes", "windows")).alias("wanted"))
+    wanted = classes.groupBy(ROW).agg(F.collect_list(F.struct("key", "bytes", "start", "members", "windows")).alias("wanted"))
     wanted = written(wanted, "wanted")
     ids = wanted.select(ROW)
     small = ids.count() <= BROADCAST_ROWS
     texts = docs.select(ROW, "data").join(F.broadcast(ids) if small else ids, ROW, "left_semi")
-    return texts.join(wanted, ROW).select(ROW, "data", "wanted").mapInArrow(
-        slice_, f"key long, {ROW} long, start long, members long, classes long, piece binary"
-    )
+    return texts.join(wanted, ROW).select(ROW, "data", "wanted").mapInArrow(slice_, PIECE)
 
 
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -49,9 +50,9 @@ def test_documents_match_brute_force(spark):
     _check(documents(spark))
 
 
-@pytest.mark.parametrize("group_max", [suffix_dedup.GROUP_MAX, 0])
-def test_edge_rows(spark, monkeypatch, group_max):
-    monkeypatch.setattr(suffix_dedup, "GROUP_MAX", group_max)  # 0: every key by counted windows
+@pytest.mark.parametrize("limit", [suffix_dedup.ARRAY_BYTES, 1200, 0])
+def test_edge_rows(spark, monkeypatch, limit):
+    monkeypatch.setattr(suffix_dedup, "ARRAY_BYTES", limit)  # 0: every key is split
     rng = random.Random(1)
     prose = " ".join(str(rng.random()) for _ in range(60))
     texts = [*SHORT_TEXTS, (20, prose), (21, "x" + prose[:400]), (22, prose[100:300]), (23, prose[100:299]), (24, "é" * 150)]
@@ -59,6 +60,65 @@ def test_edge_rows(spark, monkeypatch, group_max):
     assert suffix_dedup.query(empty_docs(spark)).collect() == []
 
 
+@pytest.mark.parametrize("limit, depths", [(3000, suffix_dedup.DEPTHS), (0, (8,)), (0, ())])
+def test_a_key_of_many_texts_is_split(spark, monkeypatch, limit, depths):
+    """One passage among different neighbours, runs of one character of all lengths, and a period."""
+    monkeypatch.setattr(suffix_dedup, "ARRAY_BYTES", limit)
+    monkeypatch.setattr(suffix_dedup.split_ranges, "__defaults__", (depths,))
+    rng = random.Random(5)
+
+    def noise(n):
+        return "".join(rng.choice("abcdefgh") for _ in range(n))
+
+    mark, ends = noise(90), [noise(60) for _ in range(4)]
+    texts = [noise(rng.randint(100, 200)) + rng.choice(ends) + mark + rng.choice(ends) + noise(rng.randint(100, 200)) for _ in range(60)]
+    texts += [f"{noise(30)}{'a' * rng.randint(150, 900)}{noise(30)}" for _ in range(30)]
+    texts += [f"{noise(5)}{(noise(7) if i % 2 else 'xyzabc') * 60}{noise(9)}" for i in range(10)]
+    _check(edge_docs(spark, list(enumerate(texts))))
+
+
+def test_finer_runs_tile_a_piece_and_keep_equal_windows_together():
+    rng = random.Random(6)
+    span = suffix_dedup.SPAN
+    for _ in range(60):
+        word = bytes(rng.choice(b"abc") for _ in range(rng.choice([1, 5, 40, 130])))
+        data = b"".join(rng.choice([word, word * 3, bytes(rng.choice(b"ab") for _ in range(60))]) for _ in range(12))
+        if len(data) < span:
+            continue
+        places = {}
+        for start, n, key, *_ in suffix_dedup.segments(data):
+            piece = data[start : start + n + span - 1]
+            for depth in (*suffix_dedup.DEPTHS, 0):
+                runs = list(suffix_dedup.finer_runs(key, 5, piece, depth))
+                assert [s for s, _, _ in runs] == [0, *np.cumsum([m for _, m, _ in runs]).tolist()[:-1]]
+                assert sum(m for _, m, _ in runs) == n
+                for s, m, finer in runs:
+                    for i in range(s, s + m):
+                        places.setdefault((depth, key, piece[i : i + span]), set()).add(finer)
+        assert all(len(keys) == 1 for keys in places.values())
+
+
+def test_arrays_are_bounded():
+    rng = random.Random(7)
+    for _ in range(100):
+        sizes = {k: [rng.randint(1, 50) for _ in range(rng.randint(1, 5))] for k in range(rng.randint(0, 30))}
+        rows = [(k, sum(v), n) for k, v in sizes.items() for n in v]
+        parts = list(suffix_dedup.arrays(iter(rows), 300))
+        assert [r for part in parts for r in part] == rows
+        assert all(sum(r[2] for r in part) <= 300 for part in parts)
+        assert all(a[-1][0] != b[0][0] for a, b in zip(parts, parts[1:]))
+
+
+def test_memory_of_an_array():
+    pieces = [b"x" * 20_000 + bytes([97 + i % 20, 97 + i // 20]) * 300 for i in range(50)]
+    pieces = pieces[: suffix_dedup.ARRAY_BYTES // 20_600]
+    tracemalloc.start()
+    suffix_dedup.repeated_windows(pieces)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 160 * suffix_dedup.ARRAY_BYTES
+
+
 def test_long_text_in_blocks(spark, monkeypatch):
     rng = random.Random(2)
     text = "".join(rng.choice("abcdefgh ") for _ in range(30_000))
