@@ -2,32 +2,40 @@ r"""Personal data by a semi-Markov conditional random field over whole spans.
 
 Base patterns find e-mail and IP addresses, card and phone numbers; they are
 always reported.  Around digits and at-signs the text is cut into tokens, and
-every run of at most MAX_TOKENS tokens that could be an entity is a candidate
-segment.  Features of the whole span (its digits and how they are grouped, the
-separators, checksums, the characters beside it) score it for each kind; the
-tokens outside of segments score nothing.  Dynamic programming over the
-bounded segments chooses boundaries and kinds together: sums for training
-(maximum conditional likelihood), maxima for finding.
+every run of at most MAX_TOKENS tokens and MAX_CHARS characters that could be an
+entity is a candidate segment (for added spans only; base spans have no such
+limit).  Features of the whole span (its digits and how they are grouped, the
+separators, checksums, the characters beside it) score it for each kind, and
+every two neighbouring segments of a passage score for their kinds; the tokens
+outside of segments score nothing.  Dynamic programming over the bounded
+segments, with the kind of the last one as its state, chooses boundaries and
+kinds together: sums for training (maximum conditional likelihood), maxima for
+finding.
 
 The weights are trained on a bounded sample of passages (SAMPLE in
-expectation, chosen by a hash of the row over all documents) labelled by the
+expectation, chosen by a hash of id and text over all documents) labelled by the
 base patterns, and on copies of them in which the entity is written in ways
 that the base patterns miss (no plus sign, other separators, a spelled-out
 at-sign), so that the field adds such spans.
 
 Defined cases: a null text is empty; an empty text, or one without digits and
-at-signs, has no spans; whole texts are read, and all work is linear in their
-length; repeated rows are searched each on its own; without any base match in
-the sample no span is added; an empty table gives an empty result; extra
-columns are not read.
+at-signs, has no spans; whole texts are read, with work linear in their length
+and memory for one window of candidates; of segmentations with equal scores the
+one found first in the order of ends stays, and spans that start together are
+listed by kind; repeated rows are searched each on its own; without any base
+match in the sample no span is added; an empty table gives an empty result;
+extra columns are not read.
 """
 
 from __future__ import annotations
 
 import hashlib
+import heapq
+import math
 import re
-from collections.abc import Iterator
-from dataclasses import dataclass
+from collections import deque
+from collections.abc import Iterable, Iterator
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -63,9 +71,12 @@ def _digits(text: str) -> str:
     return _NOT_DIGITS.sub("", text)
 
 
+#: A digit doubled, its digits summed.
+_DOUBLED = str.maketrans("0123456789", "0246813579")
+
+
 def luhn(digits: str) -> bool:
-    values = [int(c) for c in reversed(digits)]
-    return sum(v if i % 2 == 0 else v * 2 - 9 * (v > 4) for i, v in enumerate(values)) % 10 == 0
+    return (sum(map(int, digits[::-2])) + sum(map(int, digits[-2::-2].translate(_DOUBLED)))) % 10 == 0
 
 
 def is_ip(text: str) -> bool:
@@ -109,38 +120,53 @@ _TOKEN = re.compile(r"[^\W_]+|\s+|.", re.S)
 _TRIGGER = re.compile(r"[0-9@]|[(\[]at[)\]]", re.I)
 _AT = re.compile(r"@|\s?[(\[]at[)\]]\s?", re.I)
 _NUMBER_SEPARATORS = frozenset(" ().-+/")
+_ADDRESS_SEPARATORS = frozenset("@_%[]")
 _ADDRESS = re.compile(r"[\w.%+-]+(?:@|\s?[(\[]at[)\]]\s?)[\w-]+(?:\.[\w-]+)+", re.I)
 
 
-def candidates(text: str, start: int, end: int) -> list[tuple[int, int]]:
-    """Spans of at most MAX_TOKENS tokens in text[start:end] that could be an entity: numbers and addresses."""
-    tokens = [m.span() for m in _TOKEN.finditer(text, start, end)]
-    out = []
-    for i, (a, first) in enumerate(tokens):
-        head = text[a:first]
-        if not (head[0].isalnum() or head in "+("):
+def _windows(text: str, start: int, end: int) -> Iterator[list[tuple[int, int]]]:
+    """For every token of text[start:end] it and the ones after it, MAX_TOKENS in all."""
+    window: deque[tuple[int, int]] = deque()
+    for m in _TOKEN.finditer(text, start, end):
+        window.append(m.span())
+        if len(window) == MAX_TOKENS:
+            yield list(window)
+            window.popleft()
+    while window:
+        yield list(window)
+        window.popleft()
+
+
+def candidates(text: str, start: int, end: int) -> Iterator[tuple[int, int, bool]]:
+    """(start, end, whether without letters) of the spans in text[start:end] that could be an entity, by start."""
+    for tokens in _windows(text, start, end):
+        a = tokens[0][0]
+        if not (text[a].isalnum() or text[a] in "+("):
             continue
-        address = digits = 0
+        digits = 0
         numeric = True
-        for b, e in tokens[i : i + MAX_TOKENS]:
+        for b, e in tokens:
             if e - a > MAX_CHARS:
                 break
             token = text[b:e]
-            if token.isascii() and token.isdigit():
+            if token.isdigit() and token.isascii():
                 digits += e - b
-            elif token == "@":
-                address += 1
-            elif not token.isalnum() and token not in _NUMBER_SEPARATORS and token not in "_%[]":
-                break
+                if numeric:
+                    if digits >= 7:
+                        yield a, e, True
+                    continue
             elif token[0].isalnum():
                 numeric = False
-            elif token.isspace() and not numeric and not _AT.search(text, max(b - 5, a), min(e + 5, len(text))):
+            elif token not in _NUMBER_SEPARATORS and token not in _ADDRESS_SEPARATORS:
+                if not token.isspace() or not numeric and not _AT.search(text, max(b - 5, a), min(e + 5, len(text))):
+                    break
+                continue
+            elif token == " " and not numeric and not _AT.search(text, max(b - 5, a), min(e + 5, len(text))):
                 break
-            if not token[0].isalnum():
+            else:
                 continue
-            if numeric and digits >= 7 or not numeric and _AT.search(text, a, e):
-                out.append((a, e))
-    return out
+            if _AT.search(text, a, e):
+                yield a, e, False
 
 
 def passages(text: str) -> list[tuple[int, int]]:
@@ -203,66 +229,139 @@ def features(text: str, start: int, end: int) -> list[str]:
     return out
 
 
+_SHAPE = str.maketrans("123456789", "0" * 9)
+#: Scores of shapes that a field keeps.
+CACHED_SHAPES = 100_000
+
+
 @dataclass
 class Field:
-    """The trained field: weights[feature] has one number for each kind."""
+    """The trained field: weights[feature] has one number for each kind, follows[before][kind] one for neighbours.
+
+    ``before`` is 0 where no segment is before, otherwise one more than its kind.
+    """
 
     weights: dict[str, np.ndarray]
+    follows: np.ndarray
+    cache: dict = field(default_factory=dict, repr=False, compare=False)
 
-    def scores(self, text: str, spans: list[tuple[int, int]]) -> np.ndarray:
+    def _sum(self, text: str, start: int, end: int) -> list[float]:
         zero = np.zeros(len(KINDS))
-        return np.array([sum((self.weights.get(f, zero) for f in features(text, a, b)), zero) for a, b in spans]).reshape(-1, len(KINDS))
+        return sum((self.weights.get(f, zero) for f in features(text, start, end)), zero).tolist()
+
+    def score(self, text: str, start: int, end: int, numeric: bool) -> list[float]:
+        """The span's score for each kind; spans without letters that look alike to the features are looked up."""
+        if not numeric:
+            return self._sum(text, start, end)
+        span = text[start:end]
+        n = len(_digits(span)) if span.isascii() else 0
+        key = (
+            span.translate(_SHAPE), _side(text[start - 1 : start]), _side(text[end : end + 1]),
+            span.count(".") == 3 and is_ip(span), 12 <= n <= 19 and luhn(_digits(span)),
+        )
+        found = self.cache.get(key)
+        if found is None:
+            if len(self.cache) >= CACHED_SHAPES:
+                self.cache.clear()
+            found = self.cache[key] = self._sum(text, start, end)
+        return found
 
     def best(self, text: str, start: int, end: int) -> list[Span]:
-        """The segmentation of text[start:end] with the highest score; ties go to fewer and later segments."""
-        spans = candidates(text, start, end)
-        if not spans:
-            return []
-        scores = self.scores(text, spans)
-        return best_segments(spans, scores)
-
-
-def best_segments(spans: list[tuple[int, int]], scores: np.ndarray) -> list[Span]:
-    """Maximum over all sets of disjoint segments with a kind each."""
-    ends = sorted({e for _, e in spans})
-    top = scores.argmax(axis=1)
-    by_end: dict[int, list[int]] = {}
-    for i, (_, e) in enumerate(spans):
-        by_end.setdefault(e, []).append(i)
-    value = np.zeros(len(ends) + 1)
-    choice: list[int | None] = [None] * (len(ends) + 1)
-    at = np.array(ends)
-    for k, e in enumerate(ends, 1):
-        value[k] = value[k - 1]
-        for i in by_end[e]:
-            before = value[np.searchsorted(at, spans[i][0], side="right")]
-            if before + scores[i, top[i]] > value[k]:
-                value[k], choice[k] = before + scores[i, top[i]], i
-    out, k = [], len(ends)
-    while k:
-        i = choice[k]
-        if i is None:
-            k -= 1
-        else:
-            out.append((*spans[i], KINDS[top[i]]))
-            k = int(np.searchsorted(at, spans[i][0], side="right"))
+        """The segmentation of text[start:end] with the highest score."""
+        scored = ((a, e, self.score(text, a, e, numeric)) for a, e, numeric in candidates(text, start, end))
+        return best_segments(scored, self.follows.tolist())
+
+
+def best_segments(scored: Iterable[tuple[int, int, list[float]]], follows: list[list[float]]) -> list[Span]:
+    """Maximum over all sets of disjoint segments with a kind each, of their scores and those of neighbours.
+
+    Segments come by start.  ``value[y]`` is the best of what ends up to here
+    with last kind y (0: none), ``chain[y]`` its segments, the last one first;
+    segments that end later wait.  One that is no better where it starts than
+    what is there without it can be no better where it ends.
+    """
+    kinds = range(len(KINDS))
+    value = [0.0] + [-math.inf] * len(KINDS)
+    chain: list[tuple | None] = [None] * len(value)
+    waiting: list[tuple] = []
+    here, into = -1, []
+
+    def settle(upto: float) -> bool:
+        changed = False
+        while waiting and waiting[0][0] <= upto:
+            _, _, y, total, segments = heapq.heappop(waiting)
+            if total > value[y]:
+                value[y], chain[y], changed = total, segments, True
+        return changed
+
+    for n, (a, e, score) in enumerate(scored):
+        if a != here:
+            if settle(a) or here < 0:
+                into = []
+                for y in kinds:
+                    before = max(range(len(value)), key=lambda x: value[x] + follows[x][y])
+                    into.append((value[before] + follows[before][y], chain[before]))
+            here = a
+        for y in kinds:
+            total = into[y][0] + score[y]
+            if total > value[y + 1]:
+                heapq.heappush(waiting, (e, n * len(KINDS) + y, y + 1, total, ((a, e, KINDS[y]), into[y][1])))
+    settle(math.inf)
+    last = chain[max(range(len(value)), key=value.__getitem__)]
+    out = []
+    while last is not None:
+        segment, last = last
+        out.append(segment)
     return out[::-1]
 
 
-def marginals(spans: list[tuple[int, int]], scores: np.ndarray) -> tuple[float, np.ndarray]:
-    """(log of the sum over all segmentations, probability of every span and kind): forward and backward sums."""
-    edges = np.array(sorted({x for s in spans for x in s}))
-    a = np.searchsorted(edges, [s for s, _ in spans])
-    b = np.searchsorted(edges, [e for _, e in spans])
-    each = np.logaddexp.reduce(scores, axis=1)
-    forward, backward = np.zeros(len(edges)), np.zeros(len(edges))
-    for k in range(1, len(edges)):
-        ending = np.flatnonzero(b == k)
-        forward[k] = np.logaddexp.reduce(np.concatenate([[forward[k - 1]], forward[a[ending]] + each[ending]]))
-    for k in range(len(edges) - 2, -1, -1):
-        starting = np.flatnonzero(a == k)
-        backward[k] = np.logaddexp.reduce(np.concatenate([[backward[k + 1]], backward[b[starting]] + each[starting]]))
-    return forward[-1], np.exp(forward[a][:, None] + scores + backward[b][:, None] - forward[-1])
+class Lattices:
+    """The candidate segments of many passages, for sums over all their segmentations at once.
+
+    Places are numbers of a passage's segment edges; the passages go through
+    theirs in step.
+    """
+
+    def __init__(self, spans: list[list[tuple[int, int]]]):
+        start, end, owner = [], [], []
+        for i, own in enumerate(spans):
+            edges = {x: k for k, x in enumerate(sorted({x for s in own for x in s}))}
+            start += [edges[a] for a, _ in own]
+            end += [edges[b] for _, b in own]
+            owner += [i] * len(own)
+        self.n, self.start, self.end, self.owner = len(spans), np.array(start, int), np.array(end, int), np.array(owner, int)
+        self.places = int(self.end.max()) + 1 if len(end) else 1
+        self.ending = [np.flatnonzero(self.end == k) for k in range(self.places)]
+        self.starting = [np.flatnonzero(self.start == k) for k in range(self.places)]
+
+    def marginals(self, scores: np.ndarray, follows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(log of the sum of each passage, probability of every segment and kind, expected neighbours of all)."""
+        kinds = scores.shape[1]
+        forward = np.full((self.places, self.n, kinds + 1), -np.inf)
+        forward[0, :, 0] = 0
+        into = np.empty((len(scores), kinds + 1, kinds))  # up to a segment, by the kind before it
+        for k in range(self.places):
+            if k:
+                forward[k] = forward[k - 1]
+                i = self.ending[k]
+                np.logaddexp.at(forward[k], (self.owner[i][:, None], np.arange(1, kinds + 1)[None]), _logsum(into[i], 1) + scores[i])
+            i = self.starting[k]
+            into[i] = forward[k, self.owner[i]][:, :, None] + follows
+        backward = np.zeros((self.places, self.n, kinds + 1))
+        for k in range(self.places - 2, -1, -1):
+            backward[k] = backward[k + 1]
+            i = self.starting[k]
+            rest = (scores[i] + backward[self.end[i], self.owner[i], 1:])[:, None, :] + follows
+            np.logaddexp.at(backward[k], (self.owner[i][:, None], np.arange(kinds + 1)[None]), _logsum(rest, 2))
+        total = _logsum(forward[-1], 1)
+        rest = scores + backward[self.end, self.owner, 1:] - total[self.owner][:, None]
+        p = np.exp(into + rest[:, None, :])
+        return total, p.sum(axis=1), p.sum(axis=0)
+
+
+def _logsum(values: np.ndarray, axis: int) -> np.ndarray:
+    top = values.max(axis=axis, keepdims=True, initial=-1e300)
+    return np.log(np.exp(values - top).sum(axis=axis)) + top.squeeze(axis)
 
 
 # --------------------------------------------------------------------- training
@@ -293,30 +392,38 @@ def rewritten(text: str, spans: list[Span]) -> Iterator[Example]:
 def train(examples: list[Example], rounds: int = ROUNDS) -> Field:
     """Maximum conditional likelihood by gradient steps of adapted size (adagrad)."""
     names: dict[str, int] = {}
-    data = []
+    spans, rows, targets, neighbours = [], [], [], np.zeros((len(KINDS) + 1, len(KINDS)))
     for text, gold in examples:
-        spans = candidates(text, 0, len(text))
+        own = [(a, e) for a, e, _ in candidates(text, 0, len(text))]
         wanted = {(a, b): KINDS.index(k) for a, b, k in gold}
-        rows = [[names.setdefault(f, len(names)) for f in features(text, a, b)] for a, b in spans]
-        if spans:
-            width = max(map(len, rows))
-            index = np.array([r + [-1] * (width - len(r)) for r in rows])
-            target = np.zeros((len(spans), len(KINDS)))
-            for i, s in enumerate(spans):
-                if s in wanted:
-                    target[i, wanted[s]] = 1
-            data.append((spans, index, target))
-    weights = np.zeros((len(names) + 1, len(KINDS)))  # the last row stands for no feature
-    squares = np.full_like(weights, 1e-6)
-    for _ in range(rounds if data else 0):
+        spans.append(own)
+        rows += [[names.setdefault(f, len(names)) for f in features(text, a, b)] for a, b in own]
+        target = np.zeros((len(own), len(KINDS)))
+        before = 0
+        for i, s in enumerate(own):
+            if s in wanted:
+                target[i, wanted[s]] = 1
+                neighbours[before, wanted[s]] += 1
+                before = wanted[s] + 1
+        targets.append(target)
+    weights, follows = np.zeros((len(names) + 1, len(KINDS))), np.zeros_like(neighbours)  # the last row stands for no feature
+    if not rows:
+        return Field({}, follows)
+    width = max(map(len, rows))
+    index, target = np.array([r + [-1] * (width - len(r)) for r in rows]), np.concatenate(targets)
+    lattices = Lattices(spans)
+    squares, follow_squares = np.full_like(weights, 1e-6), np.full_like(follows, 1e-6)
+    for _ in range(rounds):
+        _, p, expected = lattices.marginals(weights[index].sum(axis=1), follows)
         gradient = -L2 * weights
-        for spans, index, target in data:
-            _, p = marginals(spans, weights[index].sum(axis=1))
-            np.add.at(gradient, index, (target - p)[:, None, :])
+        np.add.at(gradient, index, (target - p)[:, None, :])
         gradient[-1] = 0
+        follow = neighbours - expected - L2 * follows
         squares += gradient**2
+        follow_squares += follow**2
         weights += 0.3 * gradient / np.sqrt(squares)
-    return Field({f: weights[i] for f, i in names.items()})
+        follows += 0.3 * follow / np.sqrt(follow_squares)
+    return Field({f: weights[i] for f, i in names.items()}, follows)
 
 
 def fit(docs: DataFrame, sample: int = SAMPLE) -> Field | None:
@@ -351,14 +458,14 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> Field | None:
     return train(examples) if any(gold for _, gold in examples) else None
 
 
-def all_spans(text: str, field: Field | None) -> tuple[list[Span], list[Span]]:
+def all_spans(text: str, trained: Field | None) -> tuple[list[Span], list[Span]]:
     """(base spans, all spans): what the field adds never overlaps a base span."""
     if not _TRIGGER.search(text):
         return [], []
     base = base_spans(text)
-    if field is None:
+    if trained is None:
         return base, base
-    added = [s for a, b in passages(text) for s in field.best(text, a, b)]
+    added = [s for a, b in passages(text) for s in trained.best(text, a, b)]
     taken = np.zeros(0, np.int64) if not base else np.array([(a, b) for a, b, _ in base])
     if len(base):
         starts, reach = taken[:, 0], np.maximum.accumulate(taken[:, 1])
@@ -373,7 +480,7 @@ def listed(spans: list[Span]) -> str:
 FOUND = "n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_added long"
 
 
-def find(docs: DataFrame, field: Field | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def find(docs: DataFrame, trained: Field | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(_row, doc_id, counts and digest of base spans, all spans) of every row of ``docs``."""
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -382,7 +489,7 @@ def find(docs: DataFrame, field: Field | None, id_col: str = "doc_id", text_col:
                 part = batch.slice(at, 512)
                 out = []
                 for text in part.column(2).to_pylist():
-                    base, spans = all_spans(text, field)
+                    base, spans = all_spans(text, trained)
                     counts = [sum(s[2] == k for s in base) for k in KINDS]
                     out.append((*counts, hashlib.sha256(listed(base).encode()).hexdigest(), listed(spans), len(spans) - len(base)))
                 kinds = [pa.int64()] * 4 + [pa.string()] * 2 + [pa.int64()]
