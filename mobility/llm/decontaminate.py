@@ -9,13 +9,17 @@ nothing is reported by hash alone.
 
 The guarantee length is the shortest window among the items (13 words, less
 where an item is shorter).  Fingerprints of the items are broadcast when the
-items' measured size bounds them; beyond the bound the same rows are
-shuffle-joined, with the words around each fingerprint carried along.
+items' measured size bounds them.  Beyond the bound a table of bits, one for
+each hash of an item (BITS_PER_HASH a hash, at most MOST_BITS), is broadcast
+instead: fingerprints whose bit is not set end in the scan, and only the others
+are shuffled, with the words around them, to the same join.
 
 Defined cases: null or empty texts have no words (n_hit 0, contaminated false;
-items without words have no window); repeated rows are judged each on its own;
-items with equal windows are all reported, items with a null id hit but are
-not listed; an empty benchmark hits nothing; extra columns are not read.
+items without words have no window); texts of any length are read whole;
+repeated rows are judged each on its own; of equal hashes in a window of grams
+the rightmost is kept; items with equal windows are all reported, items with a
+null id hit but are not listed; an empty benchmark hits nothing; extra columns
+are not read.
 """
 
 from __future__ import annotations
@@ -23,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mobility.llm.common import BROADCAST_MAX_BYTES, DOC, ROW, keyed, let, name, rows, stored, whole
+from mobility.llm.common import BROADCAST_MAX_BYTES, DOC, ROW, keyed, let, name, rows, stored, whole, written
 
 #: Fixed values of the contamination rule.
 WINDOW_WORDS = 13
@@ -34,6 +38,12 @@ GRAM_WORDS = 5
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
+#: Bits of the table for a hash of the items, and its most bits (16 MB of them).
+BITS_PER_HASH = 64
+MOST_BITS = 1 << 27
+#: Bits of a row of the table: 512 longs.
+_ROW_BITS = 15
+
 #: A fingerprint is one long: 33 hash bits above 30 position bits.  A text has
 #: fewer than 2^30 words, and the low bits count down, so that the least code
 #: is the least hash and of equal hashes the rightmost.
@@ -119,13 +129,44 @@ def item_bounds(items: DataFrame, id_col: str = "item_id", text_col: str = "text
         _item_words(items, id_col, text_col)
         .agg(
             F.min(F.least(F.lit(WINDOW_WORDS), n)).alias("shortest"),
-            F.sum((n + 1) * 64 + WINDOW_WORDS * F.octet_length(F.array_join("words", " "))).alias("bytes"),
+            # a word of a window takes 16 bytes besides its letters, rounded up to 8
+            F.sum(n * (96 + 16 * WINDOW_WORDS) + 2 * WINDOW_WORDS * F.octet_length(F.array_join("words", " "))).alias("bytes"),
         )
         .first()
     )
     return row["shortest"] or WINDOW_WORDS, row["bytes"] or 0
 
 
+def hash_bits(hashes: DataFrame) -> DataFrame:
+    """(block, longs) rows that hold a set bit for every ``hash``: together at most MOST_BITS bits."""
+    spark = hashes.sparkSession
+    hashes = hashes.distinct()
+    wanted = max(hashes.count() * BITS_PER_HASH, 1 << _ROW_BITS)
+    n_bits = min(1 << (wanted - 1).bit_length(), MOST_BITS)
+    slot = F.col("hash").bitwiseAND(F.lit(n_bits - 1))
+    bit = F.expr("shiftleft(1L, cast(slot & 63 AS INT))")
+    some = hashes.select(slot.alias("slot")).groupBy(F.shiftright("slot", 6).alias("long")).agg(F.bit_or(bit).alias("bits"))
+    longs = spark.range(n_bits >> 6).withColumnRenamed("id", "long").join(some, "long", "left")
+    at = F.struct("long", F.coalesce("bits", F.lit(0).cast("long")).alias("bits"))
+    rows = longs.groupBy(F.shiftright("long", _ROW_BITS - 6).alias("block")).agg(F.sort_array(F.collect_list(at)).alias("a"))
+    return rows.select("block", F.lit(n_bits).alias("n_bits"), F.col("a.bits").alias("longs"))
+
+
+def with_set_bits(grams: DataFrame, hashes: DataFrame) -> DataFrame:
+    """The ``grams`` whose hash may be among ``hashes`` (or is negative); the table's size is bounded."""
+    table = written(hash_bits(hashes), "bits")
+    n_bits = table.agg(F.max("n_bits")).first()[0]
+    slot = F.col("hash").bitwiseAND(F.lit(n_bits - 1))
+    joined = grams.withColumn("block", F.when(F.col("hash") >= 0, F.shiftright(slot, _ROW_BITS))).join(
+        F.broadcast(table.drop("n_bits")), "block", "left"
+    )
+    place = slot.bitwiseAND(F.lit((1 << _ROW_BITS) - 1)).cast("int")
+    held = F.col("longs")[F.shiftright(place, 6)]
+    # a one-bit field: shift it up to the sign
+    set_ = F.call_function("shiftleft", held, F.lit(63) - place.bitwiseAND(F.lit(63))) < 0
+    return joined.filter((F.col("hash") < 0) | set_).drop("block", "longs")
+
+
 def matches(docs: DataFrame, items: DataFrame, broadcast_max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
     """(_row, doc_id, n_words, hits, items) of every row of ``keyed`` docs.
 
@@ -136,8 +177,8 @@ def matches(docs: DataFrame, items: DataFrame, broadcast_max_bytes: int = BROADC
     guarantee, window_bytes = item_bounds(items)
     reach = WINDOW_WORDS - 1
     windows = benchmark_windows(items, guarantee)
-    if window_bytes <= broadcast_max_bytes:
-        windows = F.broadcast(windows)
+    bounded = window_bytes <= broadcast_max_bytes
+    windows = F.broadcast(windows) if bounded else written(windows, "windows")
     # a document's own row has a negative hash, which no window has
     own = F.array(-F.col(ROW) - 1)
     grams = (
@@ -150,12 +191,15 @@ def matches(docs: DataFrame, items: DataFrame, broadcast_max_bytes: int = BROADC
             F.when(F.col("code") < 0, F.size("words")).cast("long").alias("n_words"),
             F.when(F.col("code") < 0, F.col("code")).otherwise(_hash(F.col("code"))).alias("hash"),
             _position(F.col("code")).alias("at"),
-            F.when(
-                F.col("code") >= 0,
-                F.slice("words", F.greatest(_position(F.col("code")) - reach, F.lit(0)) + 1, 2 * reach + WINDOW_WORDS),
-            ).alias("around"),
+            "words",
         )
     )
+    if not bounded:
+        grams = with_set_bits(grams, windows.select("hash"))
+    around = F.slice("words", F.greatest(F.col("at") - reach, F.lit(0)) + 1, 2 * reach + WINDOW_WORDS)
+    grams = grams.select(ROW, "doc_id", "n_words", "hash", "at", F.when(F.col("hash") >= 0, around).alias("around"))
+    if not bounded:
+        windows = windows.hint("merge")
     joined = grams.join(windows, "hash", "left")
     start = F.col("at") - F.col("place")
     inside = start - F.greatest(F.col("at") - reach, F.lit(0))

@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from mobility.llm import decontaminate
 from mobility.llm.common import keyed
@@ -42,6 +43,39 @@ def test_edge_rows_on_both_joins(spark, which, limit):
     assert decontaminate.query(empty_docs(spark), items).collect() == []
 
 
+def test_large_benchmarks_shuffle_what_may_match(spark):
+    """Past the bound: merge join although the tables are small, the same rows, and few fingerprints before the exchange."""
+    items, docs = spark.read.parquet(f"{SF}/benchmark.parquet"), documents(spark)
+    want = as_rows(decontaminate.matches(keyed(docs), items))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = decontaminate.matches(keyed(docs), items, 0)
+        assert as_rows(found) == want
+        plan = plan_text(found, "simple")
+        final = plan.split("== Initial Plan ==")[0]
+        assert "SortMergeJoin" in final and final.count("BroadcastHashJoin") == 1  # the bits
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    words = docs.select("doc_id", decontaminate.words_of(docs["text"]).alias("words"))
+    codes = words.select("doc_id", "words", F.explode(decontaminate.fingerprints(F.col("words"), 13)).alias("code"))
+    grams = codes.select("doc_id", decontaminate._hash(F.col("code")).alias("hash"))
+    hashes = decontaminate.benchmark_windows(items, 13).select("hash")
+    kept = decontaminate.with_set_bits(grams, hashes)
+    real = grams.join(hashes.distinct(), "hash", "left_semi").count()
+    assert real <= kept.count() <= real + 0.03 * grams.count()
+
+
+@pytest.mark.parametrize("per_hash, most", [(64, 1 << 27), (1, 1 << 16)])
+def test_bits_lose_no_hash(spark, monkeypatch, per_hash, most):
+    monkeypatch.setattr(decontaminate, "BITS_PER_HASH", per_hash)
+    monkeypatch.setattr(decontaminate, "MOST_BITS", most)
+    hashes = spark.range(100_000).selectExpr("xxhash64(id) & 8589934591 AS hash").union(spark.sql("SELECT -5L AS hash"))
+    assert decontaminate.with_set_bits(hashes, hashes.filter("hash >= 0")).count() == 100_001
+    none = decontaminate.with_set_bits(hashes, hashes.limit(0))
+    assert [r.hash for r in none.collect()] == [-5]
+
+
 def decontaminate_hits(hits):
     return len({p for start, size in hits for p in range(start, start + size)})
 
