@@ -23,7 +23,8 @@ Shingles are compared as 64-bit hashes, classes by 128-bit digests of whole
 sets.  Defined cases: a null text, or one without words, has the empty set and
 is linked with nothing (its component is its own id); a text of fewer
 words than a shingle is one shingle; repeated rows are members of one class; null ids
-are ignored by the least id unless there is no other; an empty table gives an
+are ignored by the least id unless there is no other; texts of any length are
+read whole; ties in the order of shingles go by hash; an empty table gives an
 empty result; extra columns are not read.
 """
 
@@ -47,6 +48,8 @@ SHINGLE = 4
 #: Buckets of the shingle counts that give the order (a power of two), and their blocks.
 BUCKETS = 1 << 20
 BLOCK = 1 << 14
+#: Rows that are sent to all executors, 8 bytes each.
+BROADCAST_ROWS = BROADCAST_MAX_BYTES // 64
 #: Words whose hash a worker keeps.
 CACHED_WORDS = 500_000
 
@@ -178,13 +181,13 @@ def prefix_lists(signed: DataFrame) -> DataFrame:
     return entries.join(shared, "token").select("token", "g", n.alias("n"), pos.alias("pos"))
 
 
-def _can_link(a: str, b: str, percent: int) -> Column:
-    """Size and place filter: if this is their first common shingle, what is behind it must suffice.
+def _can_link(a: str, b: str, percent: int, known: Column | int = 0) -> Column:
+    """Size and place filter: if this is their first common shingle after ``known`` ones, what is behind it must suffice.
 
     Linked sets pass it at the first shingle that they share.
     """
     behind = F.least(F.col(f"{a}.n") - F.col(f"{a}.pos"), F.col(f"{b}.n") - F.col(f"{b}.pos"))
-    return _links(behind, F.col(f"{a}.n"), F.col(f"{b}.n"), percent)
+    return _links(behind + known, F.col(f"{a}.n"), F.col(f"{b}.n"), percent)
 
 
 def star_pairs(lists: DataFrame, classes: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -200,35 +203,112 @@ def star_pairs(lists: DataFrame, classes: DataFrame, percent: int = PERCENT) ->
     return between.unionByName(within).distinct()
 
 
-def open_pairs(lists: DataFrame, classes: DataFrame, labels: DataFrame, percent: int = PERCENT) -> DataFrame:
+#: Entries of a list that is joined with itself as it is; longer ones are cut by a further common shingle.
+LIST_MAX = 256
+#: Further shingles by which a list is cut at most: each gives an entry for all places where it may be.
+LEVELS = 2
+
+
+def open_lists(entries: DataFrame) -> DataFrame:
+    """The entries of lists with several components, with the list's commonest component, its size and largest n, written."""
+    sizes = entries.groupBy("token", "label").agg(F.count(F.lit(1)).alias("k"), F.max("n").alias("most_n"))
+    commonest = sizes.groupBy("token").agg(
+        F.max(F.struct("k", "label")).alias("most"), F.count(F.lit(1)).alias("labels"), F.sum("k").alias("size"),
+        F.max("most_n").alias("most_n"),
+    ).filter("labels > 1").select("token", F.col("most.label").alias("common"), "size", "most_n")
+    return written(entries.join(commonest, "token"), "mixed")
+
+
+ENTRY = ["token", "c", "n", "label", "pos", "known"]
+
+
+def finer_lists(entries: DataFrame, docs: DataFrame, order: np.ndarray, percent: int, shingle: int) -> DataFrame:
+    """The entries again, once for each shingle that can be the next common one, under the two together.
+
+    A set of n that has ``known`` + 1 shingles of a link up to place ``pos``
+    needs percent of n in all, so the next one is among as many places behind
+    as it can do without; a set that needs no more gives all its places, for
+    the partners that do.
+    """
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row, text, asked in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                found = shingles(text, shingle)
+                n = len(found)
+                rare = found[np.argsort(order[_bucket(found)].astype(np.int64), kind="stable")]
+                tokens, places, at = [], [], []
+                for i, e in enumerate(asked):
+                    first = e["pos"] + 1
+                    needed = max(-(-percent * n // 100) - e["known"] - 1, 1)
+                    last = n - needed + 1
+                    here = rare[first:last]
+                    seed = np.uint64(e["token"] & 0xFFFFFFFFFFFFFFFF)
+                    mixed = (here ^ (seed >> np.uint64(29))) * _M1 + seed
+                    tokens.append(((mixed ^ (mixed >> np.uint64(32))) * _M2).view(np.int64))
+                    places.append(np.arange(first, first + len(here)))
+                    at += [i] * len(here)
+                if at:
+                    some = {k: [asked[i][k] for i in at] for k in ("n", "label", "known")}
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.concatenate(tokens)), pa.array([row] * len(at), pa.int64()), pa.array(some["n"], pa.int64()),
+                         pa.array(some["label"], pa.int64()), pa.array(np.concatenate(places), pa.int32()),
+                         pa.array([k + 1 for k in some["known"]], pa.int32())],
+                        names=ENTRY,
+                    )
+
+    asked = written(entries.groupBy("c").agg(F.collect_list(F.struct("token", "n", "label", "pos", "known")).alias("asked")), "asked")
+    ids = asked.select("c")
+    small = ids.count() <= BROADCAST_ROWS  # else the texts are shuffled to them
+    texts = docs.select(F.col(ROW).alias("c"), "text").join(F.broadcast(ids) if small else ids, "c", "left_semi")
+    return texts.join(asked, "c").select("c", "text", "asked").mapInArrow(cut, "token long, c long, n long, label long, pos int, known int")
+
+
+def open_pairs(
+    lists: DataFrame, classes: DataFrame, labels: DataFrame, docs: DataFrame, order: np.ndarray, percent: int = PERCENT, shingle: int = SHINGLE
+) -> DataFrame:
     """(a, b): every pair of classes that can link and is not yet in one component.
 
     Of each list, the entries outside its commonest component meet all entries
-    of other components; a list in one component costs nothing.
+    of other components; a list in one component costs nothing.  A list of more
+    than LIST_MAX entries is first cut by the next shingle that linked members
+    share, so that sets with a common passage and little else do not meet; what
+    is still long after LEVELS such cuts is dealt out to several tasks.
     """
     labelled = classes.join(labels, classes["c"] == labels["node"], "left").select(
         "c", "g", "n", F.coalesce("component", "c").alias("label")
     )
     own = labelled.groupBy("g").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("g")
-    within = own.select(F.xxhash64("g", F.lit("group")).alias("token"), "g", F.lit(0).alias("pos"))
-    entries = lists.select("token", "g", "pos").unionByName(within).join(labelled, "g")
-    sizes = entries.groupBy("token", "label").agg(F.count(F.lit(1)).alias("k"))
-    commonest = sizes.groupBy("token").agg(
-        F.max(F.struct("k", "label")).alias("most"), F.count(F.lit(1)).alias("labels")
-    ).filter("labels > 1").select("token", F.col("most.label").alias("common"))
-    mixed = written(entries.join(commonest, "token"), "mixed")
+    within = own.select(F.xxhash64("g", F.lit("group")).alias("token"), "g", F.lit(None).cast("int").alias("pos"))
+    whole_prefix = F.expr(f"cast(n - ({percent} * n + 99) div 100 as int)")  # place of its last shingle
+    entries = lists.select("token", "g", "pos").unionByName(within).join(labelled, "g").select(
+        "token", "c", "n", "label", F.coalesce("pos", whole_prefix).alias("pos"), F.when(F.col("pos").isNull(), whole_prefix).otherwise(0).alias("known")
+    )
+    state, done = open_lists(entries), []
+    for _ in range(LEVELS):
+        cut = (F.col("size") > LIST_MAX) & (50 * F.col("size") > (100 - percent) * F.col("most_n"))
+        long = state.filter(cut).select(*ENTRY)
+        if long.isEmpty():
+            break
+        done.append(state.filter(~cut))
+        enough = long.filter(F.expr(f"({percent} * n + 99) div 100 <= known + 1"))  # may link by what is known
+        state = open_lists(finer_lists(long, docs, order, percent, shingle).unionByName(enough))
+    mixed = state
+    for part in done:
+        mixed = mixed.unionByName(part)
+    mixed = mixed.withColumn("shares", F.ceil(F.col("size") / LIST_MAX))
+    asked = mixed.filter("label != common").withColumn("share", F.pmod(F.xxhash64("c"), F.col("shares")))
+    met = mixed.withColumn("share", F.explode(F.sequence(F.lit(0).cast("long"), F.col("shares") - 1)))
     pairs = (
-        mixed.filter("label != common").alias("x")
-        .join(mixed.alias("y"), "token")
-        .filter((F.col("x.label") != F.col("y.label")) & _can_link("x", "y", percent))
+        asked.alias("x")
+        .join(met.alias("y"), ["token", "share"])
+        .filter((F.col("x.label") != F.col("y.label")) & _can_link("x", "y", percent, F.least("x.known", "y.known")))
     )
     return pairs.select(F.least("x.c", "y.c").alias("a"), F.greatest("x.c", "y.c").alias("b")).distinct()
 
 
 #: Members of a hub that one task's run compares with it.
 HUB_SHARE = 512
-#: Rows that are sent to all executors, 8 bytes each.
-BROADCAST_ROWS = BROADCAST_MAX_BYTES // 64
 
 
 def verified(pairs: DataFrame, docs: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE) -> DataFrame:
@@ -277,7 +357,7 @@ def joined(docs: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE) -> D
     classes = written(classes_of(signed), "classes")
     lists = written(prefix_lists(signed.select(ROW, "n", "grp", "prefix")), "lists")
     links = written(verified(star_pairs(lists, classes, percent), docs, percent, shingle), "links")
-    still = written(open_pairs(lists, classes, components(links), percent), "open")
+    still = written(open_pairs(lists, classes, components(links), docs, order, percent, shingle), "open")
     if not still.isEmpty():
         links = links.unionByName(written(verified(still, docs, percent, shingle), "links"))
     labels = components(links)

@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 
 from mobility.llm import jaccard_join
@@ -49,6 +50,48 @@ def test_group_of_near_copies(spark, monkeypatch, percent, size):
     assert len(set(got.values())) > 1  # some copies have too many edits
 
 
+def passages_mixed(n=400, seed=3):
+    """Texts of common lines that share a rarer passage: every list is long, few pairs link, some are near copies."""
+    rng = random.Random(seed)
+    lines = [" ".join(f"l{i}w{k}" for k in range(12)) for i in range(30)]
+    rows = []
+    for i in range(n):
+        chosen = rng.sample(lines, rng.randint(1, 9))
+        if rows and rng.random() < 0.2:
+            chosen = rows[rng.randrange(len(rows))][1].split(" | ")[1:]
+            chosen = [*chosen, rng.choice(lines)] if rng.random() < 0.5 else chosen[1:]
+        tail = f"x{i}" if rng.random() < 0.7 else ""
+        rows.append((i, " | ".join(["here is the shared passage", *chosen]) + f" {tail}"))
+    return rows
+
+
+@pytest.mark.parametrize("percent,size", [(85, 4), (60, 4)])
+@pytest.mark.parametrize("levels", [0, 3])
+def test_long_lists_lose_no_link(spark, monkeypatch, percent, size, levels):
+    monkeypatch.setattr(jaccard_join, "LIST_MAX", 3)
+    monkeypatch.setattr(jaccard_join, "LEVELS", levels)
+    rows = passages_mixed(100)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in jaccard_join.joined(keyed(docs), percent, size).collect()}
+    assert got == similar(dict(rows), percent, size)
+    assert len(set(got.values())) < len(rows) or percent == 85
+
+
+def test_texts_that_share_a_passage_alone_do_not_meet(spark, monkeypatch):
+    """3,000 texts with one common shingle in every prefix: their pairs would be 4.5 million."""
+    rows = [(i, " ".join(["one and the same", *(f"w{i}x{k}" for k in range(30))])) for i in range(3_000)]
+    monkeypatch.setattr(jaccard_join, "verified", lambda pairs, docs, *a, check=jaccard_join.verified: met.append(pairs.count()) or check(pairs, docs, *a))
+    met = []
+    docs = jaccard_join.stored(keyed(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)))
+    # the passage first: an order in which it is the rarest
+    first = jaccard_join.shingles("one and the same")
+    order = np.arange(1, jaccard_join.BUCKETS + 1, dtype=np.int32)
+    order[jaccard_join._bucket(first)] = 0
+    monkeypatch.setattr(jaccard_join, "bucket_counts", lambda *a: order)
+    rows = jaccard_join.joined(docs).collect()
+    assert len(rows) == 3_000 and sum(met) < 4 * 3_000
+
+
 def test_texts_moved_round_a_hub(spark):
     # chains: each text is near the next only
     words = [f"w{i}" for i in range(400)]
