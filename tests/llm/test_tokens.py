@@ -257,15 +257,50 @@ def test_edits_touch_little(encode):
 
 def test_counts_of_tables(spark, encode):
     for docs in (documents(spark), edge_docs(spark)):
-        rows = {r["_row"]: r for r in edit_counts.counted(keyed(docs), tokens.vocabulary()).collect()}
-        for k in keyed(docs).collect():
-            text, r = k.text or "", rows[k["_row"]]
+        got = sorted((r.doc_id, r.n_tokens, r.n_edits, r.n_tokens_edited) for r in edit_counts.query(docs.fillna(-1, ["doc_id"])).collect())
+        want = []
+        for r in docs.select("doc_id", "text").collect():
+            text = r.text or ""
             edits = edit_counts.cleaning_edits(text)
             edited = text
             for a, b, new in sorted(edits, reverse=True):
                 edited = edited[:a] + new + edited[b:]
-            assert (r.doc_id, r.n_tokens, r.n_edits, r.n_tokens_edited) == (
-                k.doc_id, len(plain(encode, text)), len(edits), len(plain(encode, edited)),
-            )
+            want.append((-1 if r.doc_id is None else r.doc_id, len(plain(encode, text)), len(edits), len(plain(encode, edited))))
+        assert got == sorted(want)
     assert edit_counts.query(empty_docs(spark)).collect() == []
     assert len(EDGE_TEXTS) == edit_counts.query(edge_docs(spark)).count()
+
+
+def test_rounds_of_edits_read_edited_blocks_only(spark, encode):
+    """Three rounds over kept trees: counts of the whole edited texts, blocks read and chunks encoded near the edits."""
+    rng = random.Random(12)
+    long = " ".join(f"word{i}" for i in range(3000))
+    texts = [long, *("".join(rng.choice(PARTS) for _ in range(rng.randint(0, 400))) for _ in range(12)), "", None]
+    docs = edge_docs(spark, list(enumerate(texts)))
+    table = edit_counts.TreeTable.build(keyed(docs), tokens.vocabulary())
+    ids = {r["_row"]: r.doc_id for r in table.sums().select("_row", "doc_id").collect()}
+    now = {row: texts[i] or "" for row, i in ids.items()}
+    for round_ in (1, 2, 3):
+        rows = []
+        for row, text in list(now.items()):
+            at, edits = 0, []
+            while at <= len(text) and rng.random() < 0.7 and len(edits) < 3:
+                a = min(len(text), at + rng.randint(0, 40 if ids[row] else 5000))
+                b = min(len(text), a + rng.choice([0, 0, 1, 7, 60]))
+                edits.append((a, b, "".join(rng.choice(PARTS) for _ in range(rng.randint(0, 3)))))
+                at = b + 1
+            rows += [(row, *e) for e in edits]
+            for a, b, new in reversed(edits):
+                text = text[:a] + new + text[b:]
+            now[row] = text
+        rows += [(10**9, 0, 0, "no such document")]
+        table = table.edited(spark.createDataFrame(rows, "_row long, start long, end long, text string"))
+        got = {r["_row"]: r.n_tokens for r in table.sums().select("_row", "n_tokens").collect()}
+        assert got == {row: len(plain(encode, text)) for row, text in now.items()}
+        last = {r["_row"]: r for r in table.rounds[round_].collect()}
+        assert set(last) == {r[0] for r in rows} - {10**9}
+        for row, r in last.items():
+            n = sum(e[0] == row for e in rows)
+            if ids[row] == 0:
+                assert r.n_blocks_read <= 4 * n and len(r.chars) > 8 * 80 and len(r.leaves) <= 3 * n
+                assert r.n_encoded <= 4 * n * 2 * edit_counts.LEAF_CHUNKS
