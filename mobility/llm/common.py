@@ -6,7 +6,9 @@ import os
 import tempfile
 import uuid
 import zipfile
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -64,13 +66,36 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body).getItem(0)
 
 
+#: The folder of the run that is going on, see ``run_folder``.
+_RUN: ContextVar[str | None] = ContextVar("_RUN", default=None)
+
+
+@contextmanager
+def run_folder(spark: SparkSession) -> Iterator[str]:
+    """Everything that operators write inside goes below one folder, which is removed at the end.
+
+    Results are read from there: use or write them inside.  Without it the
+    tables stay below ``spark.checkpoint.dir`` until its owner clears it.
+    """
+    path = shared_dir(spark)
+    before = _RUN.set(path)
+    try:
+        yield path
+    finally:
+        _RUN.reset(before)
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """A new folder (its URI, not yet made) below ``spark.checkpoint.dir``.
+    """A new folder (its URI, not yet made) below ``spark.checkpoint.dir``, or that of the run.
 
     The setting names storage that all executors share.  Where it is unset, a
     temporary folder is used on a local master (one machine, as in tests) and
     a cluster is refused.
     """
+    if _RUN.get():
+        return f"{_RUN.get()}/{uuid.uuid4().hex}"
     conf = spark.sparkContext.getConf()
     root = conf.get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not root:

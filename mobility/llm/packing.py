@@ -14,9 +14,11 @@ Spark does the rest at scale: every piece is ranked among the pieces of its
 length (counted per salt, so that a length with a third of all pieces is
 spread) and finds its sequence and offset from the rank by binary search.
 
-Defined cases: a null or empty text is the end id alone; longer texts are cut
-from their end into full pieces, so that only the first may be shorter; equal
-rows are packed each on its own; an empty table gives no sequence; extra
+Defined cases: a null or empty text is the end id alone; texts of any length are
+encoded whole and cut from their end into full pieces, so that only the first
+may be shorter; equal rows are packed each on its own; of pieces of one length
+the order is by a hash of row and piece, then by row (any order fills the same
+sequences); an empty table gives no sequence; extra
 columns are not read.
 """
 

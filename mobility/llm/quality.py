@@ -5,8 +5,9 @@ metrics and the table into one native projection (no user function, no
 shuffle): text in, ratios and verdict out.
 
 Defined cases: a null or empty text has no words, all counts 0, ratios 0, and
-fails (fewer than 50 words); repeated rows and ids are judged alone, an empty
-table gives an empty result, and extra columns are not read.
+fails (fewer than 50 words); texts of any length are read whole; each row is
+judged alone, so that ties cannot arise and repeated rows and ids do not matter;
+an empty table gives an empty result, and extra columns are not read.
 """
 
 from __future__ import annotations

@@ -10,9 +10,14 @@ table and decompresses only the frames of the documents it was asked for.
 Documents are range-partitioned and sorted by (doc_id, row); every task writes
 whole shards under names of its own attempt and renames them when complete,
 and the manifest (a row a shard) is committed by Spark, so an attempt that was
-lost leaves no shard in it.  Equal or null ids keep their own frames (null
-sorts first); a null text is an empty document, which holds the end id alone;
-an empty table gives no shard; extra columns are not read.
+lost leaves no shard in it; its files are removed when the manifest is there.
+Each shard's first token is a running sum over the manifest, whose rows (one for
+SHARD_BYTES of frames) meet in one task.
+
+Defined cases: equal or null ids keep their own frames (null sorts first, ties
+go by row); a null text is an empty document, which holds the end id alone; a
+text of any length is one frame, encoded whole; an empty table gives no shard;
+extra columns are not read.
 """
 
 from __future__ import annotations
@@ -169,7 +174,19 @@ def write_shards(docs: DataFrame, folder: str, vocabulary_path: str, end_id: int
         .repartitionByRange(F.col("doc_id"), F.col(ROW))
         .sortWithinPartitions("doc_id", ROW)
     )
-    return written(ordered.mapInArrow(write, MANIFEST), "manifest")
+    manifest = written(ordered.mapInArrow(write, MANIFEST), "manifest")
+    remove_lost(manifest, folder)
+    return manifest
+
+
+def remove_lost(manifest: DataFrame, folder: str) -> int:
+    """Removes the files of ``folder`` that the manifest does not name (attempts that were lost); returns their number."""
+    filesystem, path = _opened(folder)
+    kept = {r["path"].rsplit("/", 1)[1] for r in manifest.select("path").toLocalIterator()}
+    lost = [f for f in filesystem.get_file_info(fs.FileSelector(path, allow_not_found=True)) if f.base_name not in kept]
+    for f in lost:
+        filesystem.delete_file(f.path)
+    return len(lost)
 
 
 def read_shards(manifest: DataFrame) -> DataFrame:

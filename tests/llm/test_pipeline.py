@@ -7,6 +7,7 @@ import numpy as np
 import corpus_pipeline
 from mobility.llm import decontaminate, quality, registry, tokens
 from mobility.llm.common import table as read
+from mobility.llm.common import written
 from tests.llm.brute import SF, duck, edge_docs, empty_docs, secrets, similar, table
 
 
@@ -21,18 +22,18 @@ def test_stages_match_plain_versions(spark):
     texts = {r["doc_id"]: r["text"] for r in want if r["kept"]}
     assert kept.columns == columns and {r.doc_id: r.text for r in kept.collect()} == texts
 
-    kept = corpus_pipeline.written(kept, "a")
+    kept = written(kept, "a")
     single = stage["near_duplicates"](spark, kept, SF)
     first = set(similar(texts, 80, 5).values())
     assert single.columns == columns and {r.doc_id for r in single.collect()} == first
 
-    single = corpus_pipeline.written(single, "b")
+    single = written(single, "b")
     clean = stage["decontamination"](spark, single, SF)
     found = duck(decontaminate.SQL.format(source="documents"), documents=single.toArrow(), benchmark=table(SF, "benchmark"))
     left = {r["doc_id"] for r in found if not r["contaminated"]}
     assert clean.columns == columns and {r.doc_id for r in clean.collect()} == left
 
-    clean = corpus_pipeline.written(clean, "c")
+    clean = written(clean, "c")
     masked = stage["secrets_masked"](spark, clean, SF)
     assert masked.columns == columns
     out = {r.doc_id: r for r in masked.collect()}
@@ -41,7 +42,7 @@ def test_stages_match_plain_versions(spark):
         assert secrets(r.text) == [] and r.n_chars == len(r.text)
         assert r.text == texts[i] or secrets(texts[i])
 
-    masked = corpus_pipeline.written(masked, "d")
+    masked = written(masked, "d")
     rows = stage["packed_sequences"](spark, masked, SF).collect()
     encode = tokens.Encoder(tokens.vocabulary())
     for i, r in out.items():
@@ -55,7 +56,7 @@ def test_stages_on_edge_and_empty_tables(spark):
     for docs, n in ((edge_docs(spark), 1), (empty_docs(spark), 0)):
         at = docs
         for name, stage in corpus_pipeline.STAGES[:-1]:
-            at = corpus_pipeline.written(stage(spark, at, SF), name)
+            at = written(stage(spark, at, SF), name)
             assert at.schema == docs.schema
         rows = corpus_pipeline.STAGES[-1][1](spark, at, SF).collect()
         assert bool(rows) == bool(n)
@@ -65,3 +66,13 @@ def test_one_query_an_operator():
     names = list(registry.queries())
     assert [n.split("_")[0] for n in names] == [f"op{i}" for i in range(1, 14)]
     assert set(registry.oracle_sql()) <= set(names)
+
+
+def test_run_is_the_stages_in_a_row(spark):
+    at = read(spark, SF, "documents")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        at = written(stage(spark, at, SF), name)
+    columns = ["doc_id", "piece", "start", "length", "ids_crc32"]
+    want = corpus_pipeline.STAGES[-1][1](spark, at, SF).select(columns).collect()
+    got = corpus_pipeline.run(spark, SF).select(columns).collect()
+    assert sorted(got) == sorted(want) and got

@@ -112,6 +112,28 @@ def test_shared_folder_is_a_full_uri(spark, tmp_path):
         shared_dir(session(None, "yarn"))
 
 
+def test_lost_shards_and_run_folders_are_removed(spark, tmp_path):
+    import os
+
+    from mobility.llm.common import run_folder
+
+    folder = f"file://{tmp_path}/shards"
+    lost = tokenfile.ShardWriter(folder)
+    lost.add(1, np.arange(5))
+    lost.close()
+    open(f"{tmp_path}/shards/half.tok.zst.part", "w").close()
+    manifest = tokenfile.write_shards(keyed(edge_docs(spark, SHORT_TEXTS)), folder, tokens.vocabulary())
+    kept = {r.path.rsplit("/", 1)[1] for r in manifest.collect()}
+    assert set(os.listdir(f"{tmp_path}/shards")) == kept and tokenfile.read_shards(manifest).count() == len(SHORT_TEXTS)
+    with run_folder(spark) as run:
+        found = tokenfile.query(spark, edge_docs(spark, SHORT_TEXTS))
+        assert found.count() == len(SHORT_TEXTS)
+        place = run.removeprefix("file://")
+        assert len(os.listdir(place)) > 1 and all(place in f for f in manifest.sparkSession.read.parquet(run + "/*/manifest").inputFiles())
+    assert not os.path.exists(place)
+    assert not tokenfile.shared_dir(spark).startswith(run)
+
+
 def test_shard_reads_only_what_is_asked(tmp_path):
     writer = tokenfile.ShardWriter(f"file://{tmp_path}/s")
     docs = [np.arange(n, dtype="<u4") for n in (0, 5, 4000, 7)]
