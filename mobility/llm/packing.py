@@ -41,6 +41,8 @@ from mobility.llm.tokens import ID, encoder, vocabulary
 CAPACITY = 2048
 END_ID = 0
 TEXTS = 64
+#: Pieces of one length that one task ranks, in expectation.
+SALT_PIECES = 1 << 14
 
 PIECES = f"{ROW} long, doc_id long, piece int, start long, length long, ids_crc32 long, ids binary"
 
@@ -223,10 +225,15 @@ def pieces_of(docs: DataFrame, vocabulary_path: str, capacity: int = CAPACITY, e
     return docs.select(ROW, "doc_id", F.coalesce("text", F.lit("")).alias("text")).mapInArrow(cut, PIECES)
 
 
-def ranked(pieces: DataFrame) -> DataFrame:
-    """``pieces`` with ``rank``: 0, 1, ... among the pieces of the same length."""
-    salts = int(pieces.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    salted = pieces.withColumn("_salt", F.pmod(F.xxhash64(ROW, "piece"), F.lit(salts)))
+def ranked(pieces: DataFrame, histogram: dict[int, int]) -> DataFrame:
+    """``pieces`` with ``rank``: 0, 1, ... among the pieces of the same length.
+
+    A length is dealt out to as many salts as its pieces need, at most
+    SALT_PIECES each in expectation.
+    """
+    salts = [(length, -(-n // SALT_PIECES)) for length, n in histogram.items()]  # a row a length
+    salts = pieces.sparkSession.createDataFrame(salts, "length long, _salts long")
+    salted = pieces.join(F.broadcast(salts), "length").withColumn("_salt", F.pmod(F.xxhash64(ROW, "piece"), F.col("_salts")))
     counts = salted.groupBy("length", "_salt").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy("length").orderBy("_salt").rowsBetween(Window.unboundedPreceding, -1)
     counts = counts.select("length", "_salt", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
@@ -234,7 +241,7 @@ def ranked(pieces: DataFrame) -> DataFrame:
     return (
         salted.join(counts, ["length", "_salt"])
         .withColumn("rank", F.col("_before") + F.row_number().over(inside) - 1)
-        .drop("_salt", "_before")
+        .drop("_salt", "_salts", "_before")
     )
 
 
@@ -265,7 +272,7 @@ def packed(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 
     ship(pieces.sparkSession)
     schema = T.StructType([*fields, T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
-    return ranked(pieces).mapInArrow(place, schema)
+    return ranked(pieces, histogram).mapInArrow(place, schema)
 
 
 def pack(docs: DataFrame, vocabulary_path: str | None = None, id_col: str = "doc_id", text_col: str = "text"):
