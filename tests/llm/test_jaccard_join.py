@@ -6,7 +6,7 @@ import pytest
 from mobility.llm import jaccard_join
 from mobility.llm.common import keyed
 from mobility.llm.components import components
-from tests.llm.brute import PROSE, SHORT_TEXTS, components_of, documents, edge_docs, empty_docs, shingle_set, similar
+from tests.llm.brute import LONG, PROSE, SHORT_TEXTS, components_of, documents, edge_docs, empty_docs, shingle_set, similar
 
 
 def test_components(spark):
@@ -112,6 +112,13 @@ def test_edge_rows(spark):
     assert jaccard_join.query(empty_docs(spark)).collect() == []
 
 
+def test_long_texts(spark):
+    texts = [(8, LONG), (9, LONG + " and a few more words here"), (10, LONG[: len(LONG) // 2]), (11, PROSE)]
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.query(edge_docs(spark, texts)).collect()}
+    want = similar(dict(texts))
+    assert got == {i: (len(shingle_set(t)), want[i]) for i, t in texts} and want[9] == 8 != want[10]
+
+
 def test_one_of_each_keeps_rows_and_columns(spark):
     docs = edge_docs(spark, SHORT_TEXTS)
     kept = jaccard_join.one_of_each(docs)
