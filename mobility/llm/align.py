@@ -30,6 +30,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mobility.llm.common import ROW, keyed, ship, written
-from mobility.llm.tokens import ID, VISIBLE, encoder, piece_encoder, vocabulary
+from mobility.llm.tokens import CACHE_BYTES, ID, PIECE_CHUNK, VISIBLE, ChunkEncoder, Encoder, PieceEncoder, vocabulary
 
 #: Characters aligned at once (a longer stretch only where a text has no place to cut).
 PIECE_CHARS = 1 << 20
@@ -131,16 +132,53 @@ class Alignment:
 # ------------------------------------------------------------------- documents
 
 
+class ChunkPairs(ChunkEncoder):
+    """Both lists of ids of a chunk as bytes, by one cache; ``lossy`` holds the chunks that they do not give back."""
+
+    def __init__(self, first: Encoder, second: PieceEncoder, cache_bytes: int = CACHE_BYTES):
+        super().__init__(cache_bytes)
+        self.both = first, second
+        self.bytes = first.token_bytes(), second.token_bytes()
+        self.cuts = first.cuts and second.cuts
+        self.lossy: set[str] = set()
+
+    def chunks(self, text: str) -> list[str]:
+        """Chunks of both; without two spaces in a row the two patterns cut alike."""
+        return PIECE_CHUNK.findall(text) if self.cuts else [text]
+
+    def fresh(self, chunk: str) -> tuple[bytes, bytes]:
+        first, second = self.both
+        found = first.fresh(chunk), second.fresh(chunk)
+        if not self._kept(chunk, found):
+            self.lossy.add(chunk)
+        return found
+
+    def cost(self, chunk: str, found: tuple[bytes, bytes]) -> int:
+        return 260 + 3 * len(chunk) + len(found[0]) + len(found[1])
+
+    def _kept(self, text: str, found: tuple[bytes, bytes]) -> bool:
+        data, (first, second) = text.encode(), self.bytes
+        a, b = (memoryview(ids).cast("I") for ids in found)
+        return b"".join([first[i] for i in a]) == data == b"".join([second[i] for i in b])
+
+    def pair(self, text: str) -> tuple[np.ndarray, np.ndarray] | None:
+        """Both lists of ids of a text, or None if either does not give back its bytes."""
+        chunks = self.chunks(text)
+        found = tuple(map(b"".join, zip(*map(self.__getitem__, chunks))))
+        if self.lossy and not self.lossy.isdisjoint(chunks) and not self._kept(text, found):
+            return None
+        return tuple(np.frombuffer(ids, ID).astype(np.int64) for ids in found)
+
+
 class Aligner:
     """Aligns texts under two vocabularies; links are codes (first id times the second's size, plus second id)."""
 
     def __init__(self, a_path: str, b_path: str):
-        self.first, self.second = encoder(a_path, plain=True), piece_encoder(b_path)
-        self.bytes = self.first.token_bytes(), self.second.token_bytes()
-        self.sizes = tuple(np.fromiter(map(len, b), np.int64, len(b)) for b in self.bytes)
-        self.n_second = len(self.bytes[1])
-        self.code = code_type(len(self.bytes[0]), self.n_second)
-        digits = [str(i).encode() for i in range(max(map(len, self.bytes)))]
+        self.pairs = ChunkPairs(Encoder(a_path, 0, plain=True), PieceEncoder(b_path, 0))
+        sizes = [np.fromiter(map(len, b), np.int64, len(b)) for b in self.pairs.bytes]
+        self.sizes, self.n_second = sizes, len(sizes[1])
+        self.code = code_type(len(sizes[0]), self.n_second)
+        digits = [str(i).encode() for i in range(max(map(len, sizes)))]
         self.width = len(digits[-1])
         self.digits = np.array(digits, f"S{self.width}").view(np.uint8).reshape(len(digits), self.width)
         self.n_digits = np.fromiter(map(len, digits), np.int64, len(digits))
@@ -149,7 +187,7 @@ class Aligner:
         """The text after a space, cut between common ends."""
         text = " " + text
         at = 0
-        while self.first.cuts and self.second.cuts and len(text) - at > PIECE_CHARS:
+        while self.pairs.cuts and len(text) - at > PIECE_CHARS:
             place = _PLACE.search(text, at + PIECE_CHARS)
             if place is None:
                 break
@@ -157,23 +195,13 @@ class Aligner:
             at = place.start()
         yield text[at:]
 
-    def _ids(self, piece: str) -> tuple[np.ndarray, np.ndarray] | None:
-        """Both lists of ids, or None if either does not give back the bytes."""
-        data, out = piece.encode(), []
-        for encode, token in zip((self.first, self.second), self.bytes):
-            ids = np.frombuffer(encode.encoded([piece])[0], ID)
-            if b"".join(map(token.__getitem__, ids.tolist())) != data:
-                return None
-            out.append(ids.astype(np.int64))
-        return out[0], out[1]
-
     def align(self, texts: list[str | None]) -> list[tuple]:
         """(n_a, n_b, n_groups, n_links, digest, codes of the links as bytes) of every text."""
         docs = [_Document() for _ in texts]
         waiting, size = [], 0
         for doc, text in zip(docs, texts):
             for piece in self._pieces(text) if text else ():
-                ids = self._ids(piece)
+                ids = self.pairs.pair(piece)
                 if ids is None:
                     doc.lost = True
                     break
@@ -239,6 +267,12 @@ class _Document:
         return (*self.n.tolist(), n_links, self.hash.hexdigest(), codes)
 
 
+@lru_cache(maxsize=1)
+def aligner(a_path: str, b_path: str) -> Aligner:
+    """The worker process's aligner."""
+    return Aligner(a_path, b_path)
+
+
 def code_type(n_first: int, n_second: int) -> np.dtype:
     """The narrowest little-endian type that holds every code."""
     return np.dtype("<u4") if n_first * n_second <= 1 << 32 else np.dtype("<u8")
@@ -254,11 +288,11 @@ def aligned(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
     """One row a ``keyed`` document; ``links`` holds the codes of its links."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        aligner = Aligner(a_path, b_path)
+        both = aligner(a_path, b_path)
         for batch in batches:
             for at in range(0, batch.num_rows, TEXTS):
                 part = batch.slice(at, TEXTS)
-                *numbers, digest, links = zip(*aligner.align(part.column(2).to_pylist()))
+                *numbers, digest, links = zip(*both.align(part.column(2).to_pylist()))
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), part.column(1), *[pa.array(c, pa.int64()) for c in numbers],
                      pa.array(digest, pa.string()), pa.array(links, pa.binary())],
@@ -392,7 +426,7 @@ def alignments(
     docs: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id", text_col: str = "text", max_pairs: int = PAIRS
 ) -> DataFrame:
     """Every row's groups and links (see ``ALIGNED``) with n_best and count_sum."""
-    sizes = encoder(a_path, plain=True).tokenizer.get_vocab_size(), piece_encoder(b_path).processor.get_piece_size()
+    sizes = Encoder(a_path, 0).tokenizer.get_vocab_size(), PieceEncoder(b_path, 0).processor.get_piece_size()
     rows = written(aligned(keyed(docs, id_col, text_col), a_path, b_path), "aligned", compression="zstd")
     return rows.join(scored(rows, code_type(*sizes), sizes[1], max_pairs), ROW)
 

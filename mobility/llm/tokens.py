@@ -101,11 +101,15 @@ class ChunkEncoder(dict):
         """The ids of a chunk that is not cached."""
         raise NotImplementedError
 
+    def cost(self, chunk: str, ids: bytes) -> int:
+        """About the bytes of a cached chunk."""
+        return 170 + 3 * len(chunk) + len(ids)
+
     def __missing__(self, chunk: str) -> bytes:
         ids = self.old.get(chunk)
         if ids is None:
             ids = self.fresh(chunk)
-        cost = 170 + 3 * len(chunk) + len(ids)
+        cost = self.cost(chunk, ids)
         if self.used + cost > self.half:
             self.old, self.used = dict(self), 0
             self.clear()
@@ -203,9 +207,3 @@ class PieceEncoder(ChunkEncoder):
 def encoder(path: str, plain: bool = False) -> Encoder:
     """The worker process's encoder of a vocabulary file."""
     return Encoder(path, plain=plain)
-
-
-@lru_cache(maxsize=1)
-def piece_encoder(path: str) -> PieceEncoder:
-    """The worker process's encoder of a sentencepiece model."""
-    return PieceEncoder(path)
