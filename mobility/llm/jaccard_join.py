@@ -203,19 +203,25 @@ def star_pairs(lists: DataFrame, classes: DataFrame, percent: int = PERCENT) ->
     return between.unionByName(within).distinct()
 
 
-#: Entries of a list that is joined with itself as it is; longer ones are cut by a further common shingle.
-LIST_MAX = 256
+#: Pairs of a list that is joined with itself as it is; those of more are cut by a further common shingle.
+LIST_PAIRS = 1 << 20
 #: Further shingles by which a list is cut at most: each gives an entry for all places where it may be.
 LEVELS = 2
 
 
 def open_lists(entries: DataFrame) -> DataFrame:
-    """The entries of lists with several components, with the list's commonest component, its size and largest n, written."""
+    """The entries of lists with several components, written.
+
+    With the list's commonest component, its entries outside of that, the pairs
+    to be looked at (of these with all entries) and the largest n.
+    """
     sizes = entries.groupBy("token", "label").agg(F.count(F.lit(1)).alias("k"), F.max("n").alias("most_n"))
     commonest = sizes.groupBy("token").agg(
         F.max(F.struct("k", "label")).alias("most"), F.count(F.lit(1)).alias("labels"), F.sum("k").alias("size"),
         F.max("most_n").alias("most_n"),
-    ).filter("labels > 1").select("token", F.col("most.label").alias("common"), "size", "most_n")
+    ).filter("labels > 1").select(
+        "token", F.col("most.label").alias("common"), (F.col("size") - F.col("most.k")).alias("others"), "size", "most_n"
+    ).withColumn("pairs", F.col("others") * F.col("size")).drop("size")
     return written(entries.join(commonest, "token"), "mixed")
 
 
@@ -271,7 +277,7 @@ def open_pairs(
 
     Of each list, the entries outside its commonest component meet all entries
     of other components; a list in one component costs nothing.  A list of more
-    than LIST_MAX entries is first cut by the next shingle that linked members
+    than LIST_PAIRS such pairs is first cut by the next shingle that linked members
     share, so that sets with a common passage and little else do not meet; what
     is still long after LEVELS such cuts is dealt out to several tasks.
     """
@@ -286,7 +292,7 @@ def open_pairs(
     )
     state, done = open_lists(entries), []
     for _ in range(LEVELS):
-        cut = (F.col("size") > LIST_MAX) & (50 * F.col("size") > (100 - percent) * F.col("most_n"))
+        cut = (F.col("pairs") > LIST_PAIRS) & (50 * F.col("others") > (100 - percent) * F.col("most_n"))
         long = state.filter(cut).select(*ENTRY)
         if long.isEmpty():
             break
@@ -296,9 +302,10 @@ def open_pairs(
     mixed = state
     for part in done:
         mixed = mixed.unionByName(part)
-    mixed = mixed.withColumn("shares", F.ceil(F.col("size") / LIST_MAX))
+    mixed = mixed.withColumn("shares", F.ceil(F.col("pairs") / LIST_PAIRS))
     asked = mixed.filter("label != common").withColumn("share", F.pmod(F.xxhash64("c"), F.col("shares")))
-    met = mixed.withColumn("share", F.explode(F.sequence(F.lit(0).cast("long"), F.col("shares") - 1)))
+    dealt = mixed.filter("shares > 1").withColumn("share", F.explode(F.sequence(F.lit(0).cast("long"), F.col("shares") - 1)))
+    met = mixed.filter("shares = 1").withColumn("share", F.lit(0).cast("long")).unionByName(dealt)
     pairs = (
         asked.alias("x")
         .join(met.alias("y"), ["token", "share"])

@@ -68,7 +68,7 @@ def passages_mixed(n=400, seed=3):
 @pytest.mark.parametrize("percent,size", [(85, 4), (60, 4)])
 @pytest.mark.parametrize("levels", [0, 3])
 def test_long_lists_lose_no_link(spark, monkeypatch, percent, size, levels):
-    monkeypatch.setattr(jaccard_join, "LIST_MAX", 3)
+    monkeypatch.setattr(jaccard_join, "LIST_PAIRS", 9)
     monkeypatch.setattr(jaccard_join, "LEVELS", levels)
     rows = passages_mixed(100)
     docs = spark.createDataFrame(rows, "doc_id long, text string")
