@@ -33,7 +33,7 @@ columns are not read.  Very long texts are handled in blocks of windows.
 from __future__ import annotations
 
 import struct
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -261,6 +261,17 @@ def _runs(mask: np.ndarray) -> Iterator[tuple[int, int]]:
     return zip(edges[::2].tolist(), edges[1::2].tolist())
 
 
+def merged(ranges: Iterable[tuple[int, int]]) -> list[list[int]]:
+    """Sorted ranges with those that touch or overlap made one."""
+    out: list[list[int]] = []
+    for start, end in ranges:
+        if out and start <= out[-1][1]:
+            out[-1][1] = max(out[-1][1], end)
+        else:
+            out.append([start, end])
+    return out
+
+
 RANGES = f"{ROW} long, start long, end long"
 
 
@@ -330,9 +341,10 @@ def finer_runs(least: int, key: int, piece: bytes, depth: int) -> Iterator[tuple
 def split_keys(pieces: DataFrame, depth: int) -> DataFrame:
     """The runs of PIECE rows with finer keys: a row for all equal runs of a piece.
 
-    ``members`` counts the places of a run's bytes that its piece stands for,
-    ``owned`` those of the piece, and ``again`` lists where equal runs of a piece
-    that stands for one place start.
+    ``members`` counts the places of a run's bytes that its piece stands for.  Runs
+    that a piece holds twice are repeated whatever other pieces hold: for a piece
+    that stands for one place, ``repeats`` of its first row lists their merged byte
+    ranges, at most one for SPAN bytes however short the period.
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -342,19 +354,19 @@ def split_keys(pieces: DataFrame, depth: int) -> DataFrame:
                 for s, n, finer in finer_runs(least, key, piece, depth):
                     runs.setdefault((finer, *digest(piece[s : s + n - 1 + SPAN])), []).append((s, n))
                 out = [
-                    (finer, row, start + at[0][0], at[0][1], members * len(at), members, d1, d2, least, piece[at[0][0] : at[0][0] + at[0][1] - 1 + SPAN],
-                     [start + s for s, _ in at[1:]] if members == 1 else [])
+                    (finer, row, start + at[0][0], at[0][1], members * len(at), d1, d2, least, piece[at[0][0] : at[0][0] + at[0][1] - 1 + SPAN])
                     for (finer, d1, d2), at in runs.items()
                 ]
-                columns = list(zip(*out))
+                twice = [(start + s, start + s + n - 1 + SPAN) for at in runs.values() if members == 1 and len(at) > 1 for s, n in at]
+                columns = [*zip(*out), [merged(sorted(twice)), *[[]] * (len(out) - 1)]]
                 yield pa.RecordBatch.from_arrays(
-                    [*[pa.array(c, pa.int64()) for c in columns[:9]], pa.array(columns[9], pa.binary()), pa.array(columns[10], pa.list_(pa.int64()))],
-                    names=["key", ROW, "start", "windows", "members", "owned", *DIGEST, "least", "piece", "again"],
+                    [*[pa.array(c, pa.int64()) for c in columns[:8]], pa.array(columns[8], pa.binary()), pa.array(columns[9], pa.list_(pa.list_(pa.int64())))],
+                    names=["key", ROW, "start", "windows", "members", *DIGEST, "least", "piece", "repeats"],
                 )
 
     return pieces.select(*PIECE_COLUMNS, "least").mapInArrow(
-        cut, f"key long, {ROW} long, start long, windows long, members long, owned long, digest long, digest2 long, "
-        "least long, piece binary, again array<long>",
+        cut, f"key long, {ROW} long, start long, windows long, members long, digest long, digest2 long, "
+        "least long, piece binary, repeats array<array<long>>",
     )
 
 
@@ -368,9 +380,10 @@ def split_ranges(pieces: DataFrame, limit: int, depths: tuple[int, ...] = DEPTHS
             F.sum("members").alias("members"), F.min(F.struct(ROW, "start")).alias("at"), F.first("windows").alias("windows")
         )
         classes = written(classes.select("key", *DIGEST, "members", F.col(f"at.{ROW}").alias(ROW), F.col("at.start").alias("start"), "windows"), "classes")
-        more = runs.filter("owned = 1").join(classes.filter("members > 1").select("key", *DIGEST), ["key", *DIGEST])
-        starts = F.concat(F.array("start"), "again")
-        here = more.select(ROW, "windows", F.explode(starts).alias("start")).select(ROW, "start", (F.col("start") + size).alias("end"))
+        more = runs.filter("members = 1").join(classes.filter("members > 1").select("key", *DIGEST), ["key", *DIGEST])
+        here = more.select(ROW, "start", (F.col("start") + size).alias("end"))
+        repeats = runs.select(ROW, F.explode("repeats").alias("at"))
+        here = here.unionByName(repeats.select(ROW, F.col("at")[0].alias("start"), F.col("at")[1].alias("end")))
         found = here if found is None else found.unionByName(here)
         if not depth:  # single windows: their classes say all
             return found
@@ -449,15 +462,10 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 part = batch.slice(at, 256)
                 out = []
                 for text, ranges in zip(part.column(2).to_pylist(), part.column(3).to_pylist()):
-                    merged: list[list[int]] = []
-                    for r in ranges or ():
-                        if merged and r["start"] <= merged[-1][1]:
-                            merged[-1][1] = max(merged[-1][1], r["end"])
-                        else:
-                            merged.append([r["start"], r["end"]])
-                    edges = [0, *[e for m in merged for e in m], len(text)]
+                    spans = merged((r["start"], r["end"]) for r in ranges or ())
+                    edges = [0, *[e for s in spans for e in s], len(text)]
                     kept = b"".join(text[a:b] for a, b in zip(edges[::2], edges[1::2]))
-                    out.append((len(text), len(text) - len(kept), len(merged), kept))
+                    out.append((len(text), len(text) - len(kept), len(spans), kept))
                 *numbers, kept = zip(*out)
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), part.column(1), *[pa.array(c, pa.int64()) for c in numbers], pa.array(kept, pa.binary())],

@@ -77,6 +77,26 @@ def test_a_key_of_many_texts_is_split(spark, monkeypatch, limit, depths):
     _check(edge_docs(spark, list(enumerate(texts))))
 
 
+def test_a_period_is_few_ranges(spark, monkeypatch):
+    """A text that repeats a short word is repeated as a whole: not a row for each time the word occurs."""
+    monkeypatch.setattr(suffix_dedup, "ARRAY_BYTES", 0)
+    rng = random.Random(9)
+    text = "Is onhe. " * 250
+    texts = [f"{rng.random()} {text[: rng.randint(1500, 2200)]} {rng.random()}" for _ in range(30)]
+    texts += [f"{rng.random()} {(str(rng.random())[:9] + ' ') * 100} {rng.random()}" for _ in range(5)]
+    docs = edge_docs(spark, list(enumerate(texts)))
+    _check(docs)
+    data = docs.selectExpr("doc_id AS _row", "CAST(text AS binary) AS data")
+    counted = suffix_dedup.repeated_ranges(data).groupBy("_row").count().collect()
+    assert len(counted) == len(texts)
+    assert max(r["count"] for r in counted) <= 4 * (len(suffix_dedup.DEPTHS) + 1)
+
+
+def test_merged_ranges():
+    assert suffix_dedup.merged([]) == []
+    assert suffix_dedup.merged([(0, 5), (1, 3), (5, 6), (7, 9), (8, 12)]) == [[0, 6], [7, 12]]
+
+
 def test_finer_runs_tile_a_piece_and_keep_equal_windows_together():
     rng = random.Random(6)
     span = suffix_dedup.SPAN
