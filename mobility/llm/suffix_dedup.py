@@ -376,10 +376,12 @@ def split_ranges(pieces: DataFrame, limit: int, depths: tuple[int, ...] = DEPTHS
     for depth in (*depths, 0):
         runs = written(split_keys(pieces, depth), "runs", compression="zstd")
         size = F.col("windows") - 1 + SPAN
+        # the bytes of a class and its least hash are those of any member
         classes = runs.groupBy("key", *DIGEST).agg(
-            F.sum("members").alias("members"), F.min(F.struct(ROW, "start")).alias("at"), F.first("windows").alias("windows")
-        )
-        classes = written(classes.select("key", *DIGEST, "members", F.col(f"at.{ROW}").alias(ROW), F.col("at.start").alias("start"), "windows"), "classes")
+            F.sum("members").alias("members"), F.min(F.struct(ROW, "start")).alias("at"),
+            *[F.first(c).alias(c) for c in ("windows", "least", "piece")],
+        )
+        classes = written(classes.select("key", *DIGEST, "members", "at.*", "windows", "least", "piece"), "classes", compression="zstd")
         more = runs.filter("members = 1").join(classes.filter("members > 1").select("key", *DIGEST), ["key", *DIGEST])
         here = more.select(ROW, "start", (F.col("start") + size).alias("end"))
         repeats = runs.select(ROW, F.explode("repeats").alias("at"))
@@ -389,14 +391,12 @@ def split_ranges(pieces: DataFrame, limit: int, depths: tuple[int, ...] = DEPTHS
             return found
         kinds = classes.groupBy("key").agg(F.sum(size).alias("bytes"), F.count(F.lit(1)).alias("classes")).filter("classes > 1")
         kinds = written(kinds.select("key", "bytes"), "kinds")
-        firsts = classes.select("key", *DIGEST, ROW, "start", "members").join(kinds, "key")
-        pieces = runs.select("key", *DIGEST, ROW, "start", "least", "piece").join(firsts, ["key", *DIGEST, ROW, "start"])
-        pieces = pieces.select(*PIECE_COLUMNS, "least")
-        pieces = written(pieces, "pieces", compression="zstd")
-        found = found.unionByName(array_ranges(pieces.filter(F.col("bytes") <= limit), limit))
-        pieces = pieces.filter(F.col("bytes") > limit)
-        if pieces.isEmpty():
+        large = F.col("bytes") > limit
+        pieces = classes.join(kinds.filter(~large), "key").select(*PIECE_COLUMNS)
+        found = found.unionByName(array_ranges(pieces, limit))
+        if kinds.filter(large).isEmpty():
             return found
+        pieces = classes.join(kinds.filter(large), "key").select(*PIECE_COLUMNS, "least")
     return found
 
 
@@ -422,15 +422,18 @@ def repeated_ranges(docs: DataFrame, limit: int | None = None) -> DataFrame:
     kinds = classes.groupBy("key").agg(
         F.count(F.lit(1)).alias("classes"), F.max("own").alias("o"), F.sum(F.col("windows") - 1 + SPAN).alias("bytes")
     )
-    kinds = written(kinds.filter("classes > 1 or o > 0").select("key", "bytes"), "kinds")
-    pieces = written(_pieces(docs, classes.join(kinds, "key")), "pieces")
-    found = whole.unionByName(array_ranges(pieces.filter(F.col("bytes") <= limit), limit))
-    large = pieces.filter(F.col("bytes") > limit)
-    return found if large.isEmpty() else found.unionByName(split_ranges(large, limit))
+    kinds = written(kinds.filter("classes > 1 or o > 0").select("key", "bytes"), "kinds")  # so that a key's classes can be joined in several tasks
+    wanted = classes.join(kinds, "key").groupBy(ROW, (F.col("bytes") > limit).alias("large")).agg(
+        F.collect_list(F.struct("key", "bytes", "start", "members", "windows")).alias("wanted")
+    )
+    wanted = written(wanted, "wanted")
+    found = whole.unionByName(array_ranges(_pieces(docs, wanted.filter("not large")), limit))
+    large = wanted.filter("large")
+    return found if large.isEmpty() else found.unionByName(split_ranges(_pieces(docs, large), limit))
 
 
-def _pieces(docs: DataFrame, classes: DataFrame) -> DataFrame:
-    """``classes`` with the bytes of their first member."""
+def _pieces(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The classes that a text is ``wanted`` for, with the bytes of their first member."""
 
     def slice_(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -441,8 +444,6 @@ def _pieces(docs: DataFrame, classes: DataFrame) -> DataFrame:
                     [*[pa.array(c, pa.int64()) for c in columns[:5]], pa.array(columns[5], pa.binary())], names=PIECE_COLUMNS
                 )
 
-    wanted = classes.groupBy(ROW).agg(F.collect_list(F.struct("key", "bytes", "start", "members", "windows")).alias("wanted"))
-    wanted = written(wanted, "wanted")
     ids = wanted.select(ROW)
     small = ids.count() <= BROADCAST_ROWS
     texts = docs.select(ROW, "data").join(F.broadcast(ids) if small else ids, ROW, "left_semi")

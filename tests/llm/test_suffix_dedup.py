@@ -92,6 +92,21 @@ def test_a_period_is_few_ranges(spark, monkeypatch):
     assert max(r["count"] for r in counted) <= 4 * (len(suffix_dedup.DEPTHS) + 1)
 
 
+def test_pieces_are_not_written(spark, monkeypatch):
+    """A split writes its runs, classes and keys; no table repeats the bytes that these hold."""
+    monkeypatch.setattr(suffix_dedup, "ARRAY_BYTES", 0)
+    names, write = [], suffix_dedup.written
+    monkeypatch.setattr(suffix_dedup, "written", lambda df, name, **options: names.append(name) or write(df, name, **options))
+    rng = random.Random(4)
+
+    def noise(n):
+        return "".join(rng.choice("abcdefgh") for _ in range(n))
+
+    mark = noise(300)
+    _check(edge_docs(spark, [(i, noise(150) + mark + noise(150)) for i in range(12)]))
+    assert names == ["segments", "classes", "kinds", "wanted", *["runs", "classes", "kinds"] * len(suffix_dedup.DEPTHS), "runs", "classes"]
+
+
 def test_merged_ranges():
     assert suffix_dedup.merged([]) == []
     assert suffix_dedup.merged([(0, 5), (1, 3), (5, 6), (7, 9), (8, 12)]) == [[0, 6], [7, 12]]
